@@ -14,28 +14,26 @@ def content_tag(value: Column) -> Column:
     return F.md5(value)
 
 
-def sealed(value: Column) -> Column:
-    """Parse ``[<value>,"<hash of value>"]`` to an array of variants.
+def sealed(value: Column, document: str = "") -> Column:
+    """Parse ``[<value>,{"seal":"<hash of value>"}]`` to an array of structs.
 
     Spark's JSON parsers stop after the first complete value and ignore what
-    follows. With the hash as a closing element, the array has exactly two
+    follows. With the hash in a closing element, the array has exactly two
     elements and ends in the hash only if ``value`` is one complete JSON value:
     a stray bracket closes the array early, a second value makes it longer, and
-    no text can contain its own hash.
+    no text can contain its own hash. A value that is no object gives null.
+
+    ``document`` names the fields to read as ``name:type`` pairs.
     """
-    wrapped = F.concat(F.lit("["), value, F.lit(',"'), F.md5(value), F.lit('"]'))
-    return F.from_json(wrapped, "array<variant>", STRICT)
+    wrapped = F.concat(F.lit("["), value, F.lit(',{"seal":"'), F.md5(value), F.lit('"}]'))
+    fields = f"seal:string,{document}" if document else "seal:string"
+    return F.from_json(wrapped, f"array<struct<{fields}>>", STRICT)
 
 
 def is_intact(parsed: Column, value: Column) -> Column:
-    """Whether ``sealed(value)`` holds one complete JSON value."""
-    closing = F.try_variant_get(F.get(parsed, 1), "$", "string")
-    return F.coalesce((F.size(parsed) == 2) & (closing == F.md5(value)), F.lit(False))
-
-
-def is_object_text(value: Column) -> Column:
-    """Whether intact JSON text is an object."""
-    return F.ltrim(value, F.lit(" \t\r\n")).startswith("{")
+    """Whether ``sealed(value)`` holds one JSON object and nothing else."""
+    whole = (F.size(parsed) == 2) & (F.get(parsed, 1)["seal"] == F.md5(value))
+    return F.coalesce(whole & F.get(parsed, 0).isNotNull(), F.lit(False))
 
 
 def base_name(path: Column) -> Column:
@@ -56,4 +54,5 @@ def iso_instant(text: Column) -> Column:
     Spark also reads a bare time of day and would add today's date, so a full
     date is asked for.
     """
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
+    dated = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return F.when(dated, F.try_to_timestamp(text))

@@ -63,7 +63,7 @@ def classify_files(texts: DataFrame) -> DataFrame:
     value = F.col("value")
     tag = T.content_tag(value)
     etag = F.coalesce("etag", tag) if "etag" in texts.columns else tag
-    whole = T.is_object_text(value) & T.is_intact(F.col("parsed"), value)
+    whole = T.is_intact(F.col("parsed"), value)
     route = F.when(whole, route_of(F.col("file_path"))).otherwise(REJECTED_ROUTE)
     fine = F.col("route").isin(*ROUTE.values())
     return (

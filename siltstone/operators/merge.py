@@ -10,21 +10,27 @@ from siltstone.operators.rank import first_by
 
 
 def unseen(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], stable: Sequence[str] = ()
+    rows: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    stable: Sequence[str] = (),
+    candidates: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of ``source`` whose key is not in ``target``.
+    """``rows`` whose key is not in ``target``.
 
-    The target's keys are first cut down to those of the source. For a small
-    source Spark broadcasts its keys and the target is scanned without a
-    shuffle; for a large one both sides shuffle once on the key and the second
-    join reuses that layout. ``source`` must hold each key once.
+    The target's keys are first cut down to those at hand. For a small batch
+    Spark broadcasts its keys and the target is scanned without a shuffle; for a
+    large one both sides shuffle once on the key and the second join reuses that
+    layout.
 
     ``stable`` names columns that never change for a key, such as a partition
-    column; they let Spark prune the target's partitions.
+    column; they let Spark prune the target's partitions. ``candidates`` is
+    where to take the keys from if ``rows`` is costly to compute twice.
     """
     on = [*keys, *stable]
-    known = target.select(*on).join(source.select(*on), on, "left_semi")
-    return source.join(known, on, "left_anti")
+    at_hand = (rows if candidates is None else candidates).select(*on).distinct()
+    known = target.select(*on).join(at_hand, on, "left_semi").distinct()
+    return rows.join(known, on, "left_anti")
 
 
 def insert_new(
@@ -40,8 +46,10 @@ def insert_new(
     equals nothing, so rows with one are all inserted.
     """
     null_key = " OR ".join(f"`{k}` IS NULL" for k in keys)
-    keyed = first_by(source.filter(f"NOT ({null_key})"), keys, order)
-    return unseen(keyed, target, keys, stable).unionByName(source.filter(null_key))
+    keyed = source.filter(f"NOT ({null_key})")
+    once = first_by(keyed, keys, order)
+    new = unseen(once, target, keys, stable, candidates=keyed)
+    return new.unionByName(source.filter(null_key))
 
 
 def spread(df: DataFrame, partition: str | None) -> DataFrame:

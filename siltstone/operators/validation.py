@@ -12,50 +12,71 @@ from siltstone.operators.columns import computed_once, require_columns
 from siltstone.schemas import CONTRACT, DOMAINS, SILVER
 
 _HEADER = ("file_id", "domain", "source_system")
-_ENVELOPE_TEXT = ("event_id", "event_type", "source")
+_ENVELOPE = ("event_id", "event_type", "source")
+_EVENT_TYPE = (
+    "struct<event_id:string,event_type:string,source:string,"
+    "event_ts:string,ingest_ts:string,payload:variant>"
+)
+_DOCUMENT_TYPE = (
+    "file_id:string,domain:string,source_system:string,created_at:string,"
+    f"events:array<{_EVENT_TYPE}>"
+)
 _PAYLOAD_TEXT = tuple(
     dict.fromkeys(f for fields in CONTRACT.values() for f in fields if f != "amount")
 )
 
 
-def parse_containers(texts: DataFrame) -> DataFrame:
-    """File text to one container row: header fields, events and their number.
+def _mixed_events(value: Column) -> Column:
+    """Events of a file whose list also holds something else than objects.
 
-    ``texts`` has ``etag`` and ``value``. The text is parsed once, to VARIANT,
-    so a file's content never changes the types another file is read with.
-    Text that is not one JSON object gives an empty container.
+    The reader gives no list at all then. Read as variants, each element stands
+    for itself; one that is no object becomes an event with only a payload.
     """
-    require_columns(texts, ["etag", "value"])
-    value = F.col("value")
-    document = F.when(
-        T.is_object_text(value) & T.is_intact(F.col("parsed"), value), F.get("parsed", 0)
+    elements = F.try_variant_get(F.try_parse_json(value), "$.events", "array<variant>")
+    names = ("event_id", "event_type", "source", "event_ts", "ingest_ts")
+    stray = F.struct(*[F.lit(None).cast("string").alias(n) for n in names], F.lit(0).alias("_"))
+    return F.transform(
+        elements,
+        lambda e: F.coalesce(
+            F.try_variant_get(e, "$", _EVENT_TYPE),
+            stray.dropFields("_").withField("payload", e),
+        ),
     )
-    sealed = texts.select("etag", "value", T.sealed(value).alias("parsed"))
-    parsed = computed_once(sealed, "doc", document)
 
-    def header(name: str) -> Column:
-        return F.try_variant_get("doc", f"$.{name}", "string")
 
-    return parsed.select(
+def parse_containers(texts: DataFrame) -> DataFrame:
+    """File text to one container row: header fields and events.
+
+    ``texts`` has ``etag`` and ``value``. The schema is fixed and payloads are
+    VARIANT, so a file's content never changes the types another file is read
+    with. Text that is not one JSON object gives an empty container.
+    """
+    require_columns(texts, ["etag", "value"])
+    value = F.col("value")
+    sealed = texts.select("etag", "value", T.sealed(value, _DOCUMENT_TYPE).alias("parsed"))
+    document = F.when(T.is_intact(F.col("parsed"), value), F.get("parsed", 0))
+    read = computed_once(sealed, "document", document)
+    listed = F.col("document.events")
+    return read.select(
         "etag",
         "value",
-        "doc",
-        *[header(name).alias(name) for name in _HEADER],
-        T.iso_instant(header("created_at")).alias("created_at"),
-        F.try_variant_get("doc", "$.events", "array<variant>").alias("events"),
+        *[F.col(f"document.{name}") for name in _HEADER],
+        T.iso_instant(F.col("document.created_at")).alias("created_at"),
+        F.when(listed.isNotNull(), listed)
+        .when(F.col("document").isNotNull(), _mixed_events(value))
+        .alias("events"),
     )
 
 
 def judge_containers(containers: DataFrame) -> DataFrame:
-    """Adds the container stage's reason and, for rejected files, the raw JSON."""
-    raw = F.coalesce(F.to_json("doc"), F.col("value"))
+    """Adds the container stage's reason and, for rejected files, their text."""
     return containers.withColumn("container_reason", R.container_reason()).select(
         "etag",
         *_HEADER,
         "created_at",
         "events",
         "container_reason",
-        F.when(F.col("container_reason").isNotNull(), raw).alias("container_json"),
+        F.when(F.col("container_reason").isNotNull(), F.col("value")).alias("container_json"),
     )
 
 
@@ -66,7 +87,7 @@ def open_events(containers: DataFrame) -> DataFrame:
     number of events it held; every other row weighs 1.
     """
     rejected = F.col("container_reason").isNotNull()
-    closed = F.array(F.lit(None).cast("variant"))
+    closed = F.array(F.lit(None).cast(_EVENT_TYPE))
     weight = F.when(rejected, F.coalesce(F.size("events"), F.lit(0))).otherwise(1)
     opened = containers.select(
         "etag",
@@ -77,28 +98,24 @@ def open_events(containers: DataFrame) -> DataFrame:
         weight.cast("bigint").alias("weight"),
         F.explode(F.when(rejected, closed).otherwise(F.col("events"))).alias("event"),
     )
-
-    def text(name: str) -> Column:
-        return F.try_variant_get("event", f"$.{name}", "string")
-
     return opened.select(
         "*",
-        *[text(name).alias(name) for name in _ENVELOPE_TEXT],
-        text("event_ts").alias("event_ts_text"),
-        text("ingest_ts").alias("ingest_ts_text"),
-        F.try_variant_get("event", "$.payload", "variant").alias("payload"),
+        *[F.col(f"event.{name}") for name in _ENVELOPE],
+        F.col("event.event_ts").alias("event_ts_text"),
+        F.col("event.ingest_ts").alias("ingest_ts_text"),
+        F.to_json("event.payload").alias("payload_json"),
     )
 
 
 def read_payload(events: DataFrame) -> DataFrame:
     """Payload kind, fields outside the contract, and the typed payload fields."""
-    payload, names = F.col("payload"), F.col("payload_keys")
-    return events.withColumn("payload_keys", P.keys(payload)).select(
-        "*",
-        P.kind(payload, names).alias("payload_kind"),
-        P.unexpected(F.col("event_type"), names).alias("unexpected_fields"),
-        *[P.field(payload, name).alias(name) for name in _PAYLOAD_TEXT],
-        P.money(P.field(payload, "amount")).alias("amount"),
+    text, fields = F.col("payload_json"), F.col("payload_fields")
+    return events.withColumn("payload_fields", P.as_text_map(text)).select(
+        *events.columns,
+        P.kind(text).alias("payload_kind"),
+        P.unexpected(F.col("event_type"), F.map_keys(fields)).alias("unexpected_fields"),
+        *[P.field(fields, name).alias(name) for name in _PAYLOAD_TEXT],
+        P.money(P.field(fields, "amount")).alias("amount"),
     )
 
 
@@ -122,28 +139,19 @@ def judge_events(events: DataFrame, as_of: Column, on_unexpected: str = "fail")
     early = F.coalesce("container_reason", "envelope_reason", "type_reason")
     reason = F.coalesce(early, R.payload_reason(on_unexpected), R.domain_reason())
     judged = computed_once(staged, "reason", reason)
-    whole_event = F.to_json(
-        F.struct(
-            *_ENVELOPE_TEXT,
-            F.col("event_ts_text").alias("event_ts"),
-            F.col("ingest_ts_text").alias("ingest_ts"),
-            "payload",
-        )
-    )
     raw = (
         F.when(F.col("reason").isNull(), F.lit(None).cast("string"))
         .when(F.col("container_reason").isNotNull(), F.col("container_json"))
-        .when(F.col("envelope_reason").isNotNull(), F.to_json("event"))
-        .when(F.col("type_reason").isNotNull(), whole_event)
+        .when(F.coalesce("envelope_reason", "type_reason").isNotNull(), F.to_json("event"))
         .when(F.col("payload_kind") == "null", F.lit(None).cast("string"))
-        .when(F.col("payload_kind") == "string", F.try_variant_get("payload", "$", "string"))
-        .otherwise(F.to_json("payload"))
+        .when(F.col("payload_kind") == "string", F.try_variant_get("event.payload", "$", "string"))
+        .otherwise(F.col("payload_json"))
     )
     return judged.select(
         "etag",
         *_HEADER,
         "created_at",
-        *_ENVELOPE_TEXT,
+        *_ENVELOPE,
         "event_ts",
         "ingest_ts",
         F.to_date("event_ts").alias("event_date"),

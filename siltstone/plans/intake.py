@@ -39,7 +39,9 @@ def run_intake(
     held = classified.join(mine, ["etag", "file_path"], "left_semi")
     stored = fresh(spark, lake.routed)
     append(
-        unseen(held.select("file_path", "etag", "value", "route"), stored, ["etag"]),
+        unseen(
+            held.select("file_path", "etag", "value", "route"), stored, ["etag"], candidates=mine
+        ),
         lake.routed,
         "route",
     )

@@ -64,13 +64,15 @@ def run_silver_batch(
             if hold == "table":
                 events = accepted(judged.filter(F.col("outcome") == domain), domain)
             table = lake.silver(domain)
-            new = unseen(one_per_event(events), fresh(spark, table), ["event_id"])
+            new = unseen(
+                one_per_event(events), fresh(spark, table), ["event_id"], candidates=events
+            )
             append(new, table, PARTITION[domain])
         turned_down = rejections(
             judged.filter("outcome = 'rejected'") if hold == "table" else judged
         )
         if once_per_file:
-            turned_down = unseen_files(turned_down, fresh(spark, lake.rejected))
+            turned_down = unseen(turned_down, fresh(spark, lake.rejected), ["etag"])
         append(turned_down, lake.rejected, PARTITION["rejected_events"])
         metrics = cut_lineage(file_metrics(judged))
         append(metrics, lake.metrics)
@@ -80,12 +82,6 @@ def run_silver_batch(
             judged.unpersist()
 
 
-def unseen_files(rows: DataFrame, target: DataFrame) -> DataFrame:
-    """``rows`` of files that have none in ``target`` yet."""
-    known = target.select("etag").join(rows.select("etag").distinct(), "etag", "left_semi")
-    return rows.join(known.distinct(), "etag", "left_anti")
-
-
 def run_pending(
     spark: SparkSession,
     run_id: str,

@@ -70,7 +70,7 @@ def opened_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = V.read_payload(V.open_events(containers.filter("container_reason IS NULL")))
     kind = (
         F.when(F.col("payload_kind") != "other", F.col("payload_kind"))
-        .when(F.schema_of_variant("payload").startswith("ARRAY"), "array")
+        .when(F.col("payload_json").startswith("["), "array")
         .otherwise("number")
     )
     return feeds.plain(
