@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.operators.merge import fresh, overwrite_partitions
+
 SAMPLE_ROWS = 4096
 
 
@@ -77,16 +79,26 @@ def cluster_table(
     columns: Sequence[str],
     files: int,
     partition: str | None = None,
+    where: str | None = None,
     bits: int = 6,
 ) -> None:
-    """Rewrite ``table`` clustered by ``columns``, then swap the copy in."""
-    schema, short = table.split(".")
-    copy, old = f"{schema}.{short}__clustered", f"{schema}.{short}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {copy}")
-    writer = clustered(spark.table(table), columns, files, partition, bits).write.format("parquet")
+    """Rewrite ``table`` clustered by ``columns``.
+
+    A partitioned table gets its partitions replaced in place; ``where`` may
+    limit that to some of them and must be a predicate on the partition column.
+    Any other table is written as a copy that is then swapped in.
+    """
+    rows = fresh(spark, table)
     if partition:
-        writer = writer.partitionBy(partition)
-    writer.saveAsTable(copy)
+        rows = rows.filter(where) if where else rows
+        overwrite_partitions(clustered(rows, columns, files, partition, bits), table)
+        spark.catalog.refreshTable(table)
+        return
+    if where:
+        raise ValueError("only a partitioned table can be rewritten in part")
+    copy, old = f"{table}__clustered", f"{table}__old"
+    spark.sql(f"DROP TABLE IF EXISTS {copy}")
+    clustered(rows, columns, files, bits=bits).write.format("parquet").saveAsTable(copy)
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {copy} RENAME TO {table}")
     spark.sql(f"DROP TABLE {old}")

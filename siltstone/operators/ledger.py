@@ -28,6 +28,15 @@ def current(log: DataFrame) -> DataFrame:
     return latest_by(log, ["etag"], ["seq"])
 
 
+def current_of(log: DataFrame, files: DataFrame) -> DataFrame:
+    """``current`` for the etags in ``files`` only.
+
+    The log keeps growing, a batch does not: its etags cut the log down before
+    rows are ranked, without a shuffle while they are few enough to broadcast.
+    """
+    return current(log.join(files.select("etag").distinct(), "etag", "left_semi"))
+
+
 def decide(
     files: DataFrame, log: DataFrame, as_of: Column, lease_seconds: int = LEASE_SECONDS
 ) -> DataFrame:
@@ -35,7 +44,7 @@ def decide(
 
     Files with the same etag are decided once, under the lowest path.
     """
-    seen = current(log).select(
+    seen = current_of(log, files).select(
         "etag", "status", "lease_expiry", "created_at", "retry_count", "seq"
     )
     now = F.unix_seconds(as_of)
@@ -97,7 +106,7 @@ def transition(
         *([F.col("run_id").alias("new_run")] if "run_id" in updates.columns else []),
     )
     return (
-        current(log)
+        current_of(log, updates)
         .filter(F.col("status") == expected)
         .join(wanted, "etag")
         .withColumns(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,12 +69,37 @@ def append(df: DataFrame, table: str, partition: str | None = None) -> None:
     )
 
 
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def overwrite(df: DataFrame, table: str, partition: str | None = None) -> None:
-    """Replace a table's rows; columns are matched by name, not by position."""
-    df.sparkSession.sql(
-        f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}",
-        rows=spread(df, partition),
-    )
+    """Replace all rows of a table; columns are matched by name, not by position."""
+    with _overwrite_mode(df.sparkSession, "static"):
+        df.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}",
+            rows=spread(df, partition),
+        )
+
+
+def overwrite_partitions(df: DataFrame, table: str, partition: str | None = None) -> None:
+    """Replace the partitions that ``df`` has rows for and leave the others.
+
+    New files are staged and moved in at the end, so ``df`` may read ``table``.
+    ``partition`` lets AQE size the tasks; leave it out to keep the layout.
+    """
+    rows = spread(df, partition) if partition else df
+    with _overwrite_mode(df.sparkSession, "dynamic"):
+        df.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=rows
+        )
 
 
 def fresh(spark: SparkSession, table: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators import star
-from siltstone.operators.merge import fresh, overwrite
+from siltstone.operators.merge import fresh, overwrite, overwrite_partitions
 from siltstone.schemas import PARTITION, Lake
 from siltstone.session import scratch_path
 
@@ -44,24 +44,23 @@ def update_gold(spark: SparkSession, since: str, lake: Lake = Lake()) -> None:
     """Refresh gold from event dates on or after ``since`` only.
 
     Payments of those dates replace their partitions. Orders and users are
-    written aside first, since Spark does not overwrite a table it reads.
+    written aside first, since a whole table cannot be overwritten while read.
     """
     orders = fresh(spark, lake.silver("order_events"))
     payments = fresh(spark, lake.silver("payment_events"))
     users = fresh(spark, lake.silver("user_events"))
 
     recent = payments.filter(F.col("event_date") >= F.lit(since).cast("date"))
-    kept = fresh(spark, lake.gold("fact_payments")).filter(
-        F.col("payment_date") < F.lit(since).cast("date")
+    overwrite_partitions(
+        star.fact_payments(recent), lake.gold("fact_payments"), PARTITION["fact_payments"]
     )
-    plans = {
-        "fact_payments": kept.unionByName(star.fact_payments(recent)),
+    merged = {
         "fact_orders": changed_orders(
             orders, payments, fresh(spark, lake.gold("fact_orders")), since
         ),
         "dim_users": changed_users(users, fresh(spark, lake.gold("dim_users")), since),
     }
-    for table, plan in plans.items():
+    for table, rows in merged.items():
         aside = scratch_path(spark, table)
-        plan.write.parquet(aside)
+        rows.write.parquet(aside)
         overwrite(spark.read.parquet(aside), lake.gold(table), PARTITION.get(table))

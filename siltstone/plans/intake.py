@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,16 +38,14 @@ def run_intake(
 
     mine = claimed.select("etag", "file_path")
     held = classified.join(mine, ["etag", "file_path"], "left_semi")
-    stored = fresh(spark, lake.routed)
-    append(
-        unseen(
-            held.select("file_path", "etag", "value", "route"), stored, ["etag"], candidates=mine
-        ),
-        lake.routed,
-        "route",
-    )
-
-    outcome = cut_lineage(held.select("etag", "file_path", "status"))
+    held = held.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        texts_by_route = held.select("file_path", "etag", "value", "route")
+        stored = fresh(spark, lake.routed)
+        append(unseen(texts_by_route, stored, ["etag"], candidates=mine), lake.routed, "route")
+        outcome = cut_lineage(held.select("etag", "file_path", "status"))
+    finally:
+        held.unpersist()
     done = L.transition(fresh(spark, lake.ledger), outcome, L.IN_PROGRESS, now)
     append(cut_lineage(done), lake.ledger)
     return outcome.filter(F.col("status") == L.VALIDATED).select("file_path", "etag")

@@ -49,13 +49,17 @@ def run_silver_batch(
     on_unexpected: str = "fail",
     once_per_file: bool = False,
     hold: str = "cache",
+    stable_dates: bool = False,
 ) -> DataFrame:
     """Load ``texts(etag, value)`` into the silver tables; returns the file metrics.
 
     A batch may be run again: events already present are not inserted twice.
     Rejections are appended each time unless ``once_per_file`` leaves out files
-    that already have some. Tables are written in the order silver, rejections,
-    metrics, so a file is only reported once its rows are in place.
+    that already have some. ``stable_dates`` says that an event id always comes
+    with the same event date; only the batch's dates are then looked up in the
+    silver tables, instead of all their keys. Tables are written in the order
+    silver, rejections, metrics, so a file is only reported once its rows are in
+    place.
     """
     judged = _held(check_files(texts, instant(as_of), on_unexpected), hold)
     try:
@@ -65,7 +69,11 @@ def run_silver_batch(
                 events = accepted(judged.filter(F.col("outcome") == domain), domain)
             table = lake.silver(domain)
             new = unseen(
-                one_per_event(events), fresh(spark, table), ["event_id"], candidates=events
+                one_per_event(events),
+                fresh(spark, table),
+                ["event_id"],
+                stable=["event_date"] if stable_dates else [],
+                candidates=events,
             )
             append(new, table, PARTITION[domain])
         turned_down = rejections(
