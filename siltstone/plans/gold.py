@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siltstone.operators import star
 from siltstone.operators.merge import fresh, overwrite, overwrite_partitions
 from siltstone.schemas import PARTITION, Lake
-from siltstone.session import scratch_path
+from siltstone.session import cut_lineage, scratch_path
 
 
 def refresh_gold(spark: SparkSession, lake: Lake = Lake()) -> None:
@@ -23,19 +23,47 @@ def refresh_gold(spark: SparkSession, lake: Lake = Lake()) -> None:
     overwrite(orders, lake.gold("fact_orders"), PARTITION["fact_orders"])
 
 
+# Keys that a broadcast may hold; some tens of megabytes at most.
+TOUCHED_LIMIT = 1_000_000
+
+
+def _touched(frames: list[DataFrame], key: str, since: str, limit: int) -> DataFrame | None:
+    """Keys with recent events, marked for broadcast; None if there are too many.
+
+    They are computed once, from the recent date partitions only, and counted.
+    """
+    keys = cut_lineage(star.touched_keys(frames, key, since))
+    return F.broadcast(keys) if keys.count() <= limit else None
+
+
 def changed_orders(
-    order_events: DataFrame, payment_events: DataFrame, existing: DataFrame, since: str
+    order_events: DataFrame,
+    payment_events: DataFrame,
+    existing: DataFrame,
+    since: str,
+    limit: int = TOUCHED_LIMIT,
 ) -> DataFrame:
-    """``fact_orders`` after recomputing orders with an event on or after ``since``."""
-    touched = star.touched_keys([order_events, payment_events], "order_id", since)
+    """``fact_orders`` after recomputing orders with an event on or after ``since``.
+
+    The touched orders are picked out inside the scans, so no event of another
+    order is shuffled and a hot order is still cut down before the shuffle. With
+    more than ``limit`` of them all orders are recomputed.
+    """
+    touched = _touched([order_events, payment_events], "order_id", since, limit)
+    if touched is None:
+        return star.fact_orders(order_events, star.fact_payments(payment_events))
     orders = order_events.join(touched, "order_id", "left_semi")
     payments = star.fact_payments(payment_events.join(touched, "order_id", "left_semi"))
     return star.patched(existing, touched, star.fact_orders(orders, payments), "order_id")
 
 
-def changed_users(user_events: DataFrame, existing: DataFrame, since: str) -> DataFrame:
+def changed_users(
+    user_events: DataFrame, existing: DataFrame, since: str, limit: int = TOUCHED_LIMIT
+) -> DataFrame:
     """``dim_users`` after recomputing users with an event on or after ``since``."""
-    touched = star.touched_keys([user_events], "user_id", since)
+    touched = _touched([user_events], "user_id", since, limit)
+    if touched is None:
+        return star.dim_users(user_events)
     events = user_events.join(touched, "user_id", "left_semi")
     return star.patched(existing, touched, star.dim_users(events), "user_id")
 

@@ -40,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     names none gets a temporary folder, since other machines cannot see it.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")

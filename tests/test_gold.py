@@ -2,7 +2,7 @@ import pytest
 
 from siltstone.operators import star
 from siltstone.operators.merge import append
-from siltstone.plans.gold import refresh_gold, update_gold
+from siltstone.plans.gold import changed_orders, changed_users, refresh_gold, update_gold
 from siltstone.queries import feeds
 from siltstone.schemas import GOLD, PARTITION, SILVER
 
@@ -92,3 +92,18 @@ def test_update_equals_refresh(spark, lake, loaded):
     assert updated == contents(spark, lake)
     assert updated != before
     assert all(updated.values())
+
+
+def test_too_many_touched_keys_recompute_all(spark):
+    sf = "/root/testdata/sf0.001"
+    orders, paid, users = (
+        f(spark, sf) for f in (feeds.order_events, feeds.payment_events, feeds.user_events)
+    )
+    want = star.fact_orders(orders, star.fact_payments(paid))
+    nothing = want.filter("false")
+    for limit in (0, 10**6):
+        got = changed_orders(orders, paid, nothing, "1900-01-01", limit)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    none = star.dim_users(users).filter("false")
+    for limit in (0, 10**6):
+        assert changed_users(users, none, "1900-01-01", limit).count() == star.dim_users(users).count()

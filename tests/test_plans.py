@@ -10,6 +10,7 @@ from siltstone.operators import validation as V
 from siltstone.operators.merge import insert_new, unseen
 from siltstone.operators.metrics import file_metrics
 from siltstone.operators.rank import latest_by
+from siltstone.plans.gold import changed_orders
 from siltstone.queries import QUERIES, feeds
 from siltstone.session import instant
 
@@ -60,6 +61,14 @@ def test_fact_orders_join_adds_no_shuffle(spark):
     assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
 
 
+def test_touched_orders_are_picked_inside_the_scans(spark):
+    orders, paid = feeds.order_events(spark, SF), feeds.payment_events(spark, SF)
+    existing = star.fact_orders(orders, star.fact_payments(paid)).limit(0)
+    text = plan(changed_orders(orders, paid, existing, "2001-06-01"))
+    assert count(r"BroadcastHashJoin.*LeftSemi", text) == 2
+    assert count(r"SortMergeJoin.*LeftSemi", text) == 0
+
+
 def test_columns_are_pruned_at_the_scan(spark):
     text = star.payment_summary(star.fact_payments(feeds.payment_events(spark, SF)))
     scan = re.search(r"ReadSchema: struct<([^>]*)>", text._jdf.queryExecution().toString()).group(1)
