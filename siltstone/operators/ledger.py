@@ -132,3 +132,9 @@ def file_results(metrics: DataFrame, run_id: str) -> DataFrame:
     return metrics.select(
         "etag", F.col("file_status").alias("status"), F.lit(run_id).alias("run_id")
     )
+
+
+def reported_results(results: DataFrame, run_id: str) -> DataFrame:
+    """``job_result`` rows back to ledger updates."""
+    status = F.from_json("result", "status string")["status"]
+    return results.select("etag", status.alias("status"), F.lit(run_id).alias("run_id"))

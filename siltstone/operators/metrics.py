@@ -50,3 +50,14 @@ def combine_counts(files: DataFrame, totals: DataFrame, rejected: DataFrame) ->
     """Metrics from separate counts; files missing from a count have 0 there."""
     counts = files.select("etag").join(totals, "etag", "left").join(rejected, "etag", "left")
     return with_status(counts.fillna(0, ["total_events", "rejected_events"]))
+
+
+def job_result(metrics: DataFrame) -> DataFrame:
+    """Metrics as reported to a caller: one JSON text per file."""
+    report = F.struct(
+        F.col("total_events").alias("total"),
+        F.col("valid_events").alias("valid"),
+        F.col("rejected_events").alias("rejected"),
+        F.col("file_status").alias("status"),
+    )
+    return metrics.select("etag", F.to_json(report).alias("result"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siltstone.operators import metrics as M
 from siltstone.operators import validation as V
 from siltstone.operators.columns import union_by_name
+from siltstone.operators.ledger import reported_results as reported
 from siltstone.plans.silver import one_per_event
 from siltstone.queries import feeds
 from siltstone.queries.registry import query
@@ -220,6 +221,24 @@ def file_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.file_metrics(judged(spark, sf_dir))
 
 
+@query(
+    "job_result",
+    f"""{_W}, {METRICS_SQL} SELECT etag, '{{"total":' || total_events || ',"valid":' || valid_events ||
+      ',"rejected":' || rejected_events || ',"status":"' || file_status || '"}}' AS result
+    FROM file_metrics""",
+)
+def job_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.job_result(M.file_metrics(judged(spark, sf_dir)))
+
+
+@query(
+    "reported_results",
+    f"{_W}, {METRICS_SQL} SELECT etag, file_status AS status, 'run-3' AS run_id FROM file_metrics",
+)
+def reported_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reported(M.job_result(M.file_metrics(judged(spark, sf_dir))), "run-3")
+
+
 @query(
     "events_per_file",
     f"{_W} SELECT etag, count(*) AS total_events FROM opened GROUP BY etag",

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.session import widened
+
 AS_OF = "2030-01-01T00:00:00+00:00"
 
 
@@ -58,11 +60,11 @@ def planted(k: str, i: str) -> dict[str, str]:
         f"ELSE {DOMAIN_OF.replace('event_type', 'row_type')} END",
         "source": f"CASE WHEN {k} % 43 = 4 THEN NULL ELSE 'app' END",
         "event_ts": f"CASE WHEN {k} % 47 = 5 OR {k} % 53 = 6 THEN NULL "
-        f"WHEN {k} % 59 = 7 OR {k} % 71 = 10 THEN TIMESTAMP '2999-01-01 00:00:00' "
+        f"WHEN {k} % 59 = 7 OR {k} % 71 = 10 THEN TIMESTAMP '2100-01-01 00:00:00' "
         f"ELSE {step} END",
         "bad_time": f"{k} % 53 = 6 AND {k} % 47 <> 5",
         "ingest_ts": f"CASE WHEN {k} % 61 = 8 THEN NULL "
-        f"WHEN {k} % 71 = 10 THEN TIMESTAMP '2999-01-02 00:00:00' "
+        f"WHEN {k} % 71 = 10 THEN TIMESTAMP '2100-01-02 00:00:00' "
         f"WHEN {k} % 67 = 9 THEN ts - INTERVAL '1' HOUR "
         f"ELSE {step} + INTERVAL '5' SECOND END",
         "kind": f"CASE WHEN {k} % 73 = 11 THEN 'null' WHEN {k} % 79 = 12 THEN 'absent' "
@@ -147,7 +149,7 @@ def _event_json() -> str:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``eid, file_path, etag, value``: one container document per row of `events`."""
-    header = load(spark, sf_dir, "events").selectExpr(
+    header = widened(load(spark, sf_dir, "events")).selectExpr(
         "event_id AS eid",
         "CAST(ts AS TIMESTAMP) AS ts",
         "event_type AS row_type",

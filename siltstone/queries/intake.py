@@ -16,7 +16,7 @@ from siltstone.sources.files import with_etags, write_routed
 @query(
     "notification_unnest",
     """SELECT 'lake' AS bucket, 'raw/order_' || o_orderkey || '_' || i || '.json' AS key,
-      md5(o_orderkey || ':' || i) AS etag,
+      md5(o_orderkey || ':' || i) AS etag
     FROM (SELECT o_orderkey, unnest(range(o_orderkey % 4)) AS i FROM orders)""",
 )
 def notification_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@ import os
 import subprocess
 import sys
 
-from siltstone.session import instant, scratch_path, shared_folder
+from siltstone.session import instant, scratch_path, shared_folder, widened
 
 _NAMED = """
 import sys
@@ -36,3 +36,9 @@ def test_instants(spark):
         instant().isNotNull().alias("c"),
     ).first()
     assert tuple(row) == ("2024-06-01 00:00:00", "2024-06-01 00:00:00", True)
+
+
+def test_only_narrow_scans_are_spread(spark):
+    assert widened(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 8
+    wide = spark.range(100, numPartitions=20)
+    assert widened(wide) is wide
