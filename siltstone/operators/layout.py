@@ -12,20 +12,23 @@ from siltstone.operators.merge import fresh, overwrite_partitions
 SAMPLE_ROWS = 4096
 
 
-def bucket_bounds(df: DataFrame, column: str, bits: int, sample_rows: int = SAMPLE_ROWS) -> list:
-    """At most ``2**bits - 1`` cut points, from a sample of fixed size.
+def bucket_bounds(
+    df: DataFrame, columns: Sequence[str], bits: int, sample_rows: int = SAMPLE_ROWS
+) -> dict[str, list]:
+    """At most ``2**bits - 1`` cut points per column, from one sample of fixed size.
 
-    Rows are ranked by a hash over value and row position and the lowest are
-    taken, a top-k that each task cuts to ``sample_rows`` before it leaves.
+    Rows are ranked by a hash of their position and the lowest are taken, a
+    top-k that each task cuts to ``sample_rows`` before it leaves.
     """
-    marked = df.filter(F.col(column).isNotNull()).select(
-        column, F.xxhash64(column, F.monotonically_increasing_id()).alias("draw")
-    )
-    drawn = marked.orderBy("draw").limit(sample_rows).select(column).collect()
-    values = sorted(row[0] for row in drawn)
+    marked = df.select(*columns, F.xxhash64(F.monotonically_increasing_id()).alias("_draw"))
+    drawn = marked.orderBy("_draw").limit(sample_rows).drop("_draw").collect()
     parts = 2**bits
-    cuts = [values[len(values) * i // parts] for i in range(1, parts)] if values else []
-    return sorted(set(cuts))
+    bounds = {}
+    for position, column in enumerate(columns):
+        values = sorted(row[position] for row in drawn if row[position] is not None)
+        cuts = {values[len(values) * i // parts] for i in range(1, parts)} if values else set()
+        bounds[column] = sorted(cuts)
+    return bounds
 
 
 def bucket_of(column: Column, bounds: list, data_type: str) -> Column:
@@ -48,9 +51,10 @@ def interleaved(buckets: Sequence[Column], bits: int) -> Column:
 
 
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """Z-value column over ``columns``; draws one sample per column."""
+    """Z-value column over ``columns``; draws one sample of ``df``."""
     types = dict(df.dtypes)
-    buckets = [bucket_of(F.col(c), bucket_bounds(df, c, bits), types[c]) for c in columns]
+    bounds = bucket_bounds(df, columns, bits)
+    buckets = [bucket_of(F.col(c), bounds[c], types[c]) for c in columns]
     return interleaved(buckets, bits)
 
 

@@ -14,7 +14,7 @@ def test_interleaved_bits(spark):
 
 def test_bounds_split_evenly(spark):
     df = spark.range(8000).select(F.concat(F.lit("k"), F.lpad("id", 6, "0")).alias("k"))
-    bounds = bucket_bounds(df, "k", 3)
+    bounds = bucket_bounds(df, ["k"], 3)["k"]
     assert len(bounds) == 7
     sizes = df.groupBy(bucket_of(F.col("k"), bounds, "string").alias("b")).count().collect()
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 1600
@@ -22,12 +22,21 @@ def test_bounds_split_evenly(spark):
 
 def test_bounds_of_few_values(spark):
     df = spark.range(100).select(F.lit("same").alias("k"))
-    assert bucket_bounds(df, "k", 3) == ["same"]
-    assert bucket_bounds(df.filter("false"), "k", 3) == []
+    assert bucket_bounds(df, ["k"], 3) == {"k": ["same"]}
+    assert bucket_bounds(df.filter("false"), ["k"], 3) == {"k": []}
     nulls = spark.createDataFrame([(None,), ("a",)], "k string")
     assert {r[0] for r in nulls.select(bucket_of(F.col("k"), ["a"], "string")).collect()} == {0, 1}
 
 
+def test_clustering_narrows_every_column(spark):
+    """A range in either column touches few of the tasks."""
+    df = spark.range(20000).selectExpr("hash(id) AS a", "hash(id, 7) AS b")
+    out = clustered(df, ["a", "b"], files=16).withColumn("p", F.spark_partition_id())
+    for column in ("a", "b"):
+        low = df.selectExpr(f"percentile_approx({column}, 0.1)").first()[0]
+        assert out.filter(F.col(column) < low).select("p").distinct().count() <= 8
+
+
 def test_hot_key_is_spread(spark):
     """A third of the rows share one key; no task gets them all."""
     df = spark.range(9000).selectExpr("IF(id % 3 = 0, 'hot', 'k' || id) AS k", "id % 7 AS v")

@@ -1,4 +1,3 @@
-import pytest
 
 from conftest import AS_OF
 from siltstone.operators import ledger as L

@@ -89,3 +89,24 @@ def test_spread_keeps_all_rows_of_one_partition_value(spark, lake):
     )
     append(rows, table, "payment_date")
     assert spark.table(table).count() == 5000
+
+
+def test_one_hot_partition_value_is_written_by_many_tasks(spark, lake):
+    """Two thirds of the rows share one date; AQE splits that slice."""
+    table = lake.gold("fact_payments")
+    rows = spark.range(0, 200_000, numPartitions=8).selectExpr(
+        "sha2(CAST(id AS STRING), 256) AS payment_id", "sha2(CAST(-id AS STRING), 256) AS order_id",
+        "CAST(1 AS DECIMAL(10,2)) AS payment_amount", "'USD' AS currency",
+        "'payment_failed' AS payment_status",
+        "IF(id % 3 < 2, DATE '2024-01-01', DATE '2024-01-02') AS payment_date",
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2MB")
+    try:
+        append(rows, table, "payment_date")
+    finally:
+        spark.conf.set(key, before)
+    hot = spark.table(table).filter("payment_date = DATE '2024-01-01'")
+    assert hot.select("_metadata.file_path").distinct().count() > 2
+    assert spark.table(table).count() == 200_000
