@@ -1,4 +1,3 @@
-
 from conftest import AS_OF
 from siltstone.operators import ledger as L
 from siltstone.schemas import LEDGER, ddl
