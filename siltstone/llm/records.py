@@ -153,7 +153,9 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
         "length",
         (F.col("base") + F.coalesce(F.sum("tokens").over(earlier), F.lit(0))).alias("start"),
     )
-    spread = runs.repartition(F.xxhash64("file", "begin"))
+    # a number of partitions of its own: these rows are few and small, what they name is not
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = runs.repartition(tasks, F.xxhash64("file", "begin"))
     data = f"{folder}/data"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
