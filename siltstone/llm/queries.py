@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import packing, prefix_counts, records
+from siltstone.llm import decontaminate, packing, prefix_counts, records
+from siltstone.llm.near_dup import near_duplicates
 from siltstone.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +66,87 @@ def prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_tokens") > 512).alias("over_limit"),
         "prefix_chars",
     )
+
+
+_ALNUM_SQL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_DECONTAMINATION_SQL = rf"""
+WITH dw AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_LOWER_SQL}, '{_ALNUM_SQL}'), []) AS w FROM documents
+), bw AS (
+  SELECT item_id, regexp_extract_all({_LOWER_SQL}, '{_ALNUM_SQL}') AS w
+  FROM benchmark WHERE text IS NOT NULL
+), patterns AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m, w[i : i + least(len(w), 10) - 1] AS p
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM bw WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT m FROM patterns),
+spots AS (
+  SELECT doc_id, m, i, w[i : i + m - 1] AS p
+  FROM (SELECT doc_id, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM dw, lengths
+        WHERE len(w) >= m)
+), found AS (
+  SELECT doc_id, i, s.m, item_id FROM spots s JOIN patterns b ON s.m = b.m AND s.p = b.p
+), hit AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op4_decontamination", _DECONTAMINATION_SQL)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words in every document."""
+    found = decontaminate.benchmark_hits(
+        load(spark, sf_dir, "documents").select("doc_id", "text"),
+        load(spark, sf_dir, "benchmark"),
+        window=10,
+    )
+    marks = F.hex("hit_words")  # "01" for a hit word, "00" for another
+    n_hit = F.length(marks) - F.length(F.replace(marks, F.lit("1"), F.lit("")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.coalesce(n_hit.cast("bigint"), F.lit(0).cast("bigint")).alias("n_hit"),
+        F.size("hit_items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        F.col("hit_words").isNotNull().alias("contaminated"),
+    )
+
+
+_NEAR_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_LOWER_SQL}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, w[i : i + least(len(w), 4) - 1] AS g
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS i FROM w WHERE len(w) > 0)
+), size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM met JOIN size x ON a = x.doc_id JOIN size y ON b = y.doc_id
+  WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)
+), side AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, side.b FROM reach r JOIN side ON r.other = side.a
+), least_one AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least_one LEFT JOIN size USING (doc_id)
+"""
+
+
+@query("op2_near_dup", _NEAR_SQL)
+def near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose four-word shingle sets are alike by 0.8."""
+    found = near_duplicates(load(spark, sf_dir, "documents"), shingle=4, per_cent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
