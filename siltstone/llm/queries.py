@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import decontaminate, packing, prefix_counts, records
+from siltstone.llm import decontaminate, packing, prefix_counts, records, toxicity
+from siltstone.llm.fitting import remainder
 from siltstone.llm.near_dup import near_duplicates
+from siltstone.llm.shipping import ship
 from siltstone.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -150,3 +153,19 @@ def near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose four-word shingle sets are alike by 0.8."""
     found = near_duplicates(load(spark, sf_dir, "documents"), shingle=4, per_cent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op5_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from the rows that are not held out."""
+    docs = load(spark, sf_dir, "documents")
+    rest = remainder("doc_id", 3)
+    net = toxicity.fit(docs, load(spark, sf_dir, "labels"), learn_from=rest != 1)
+    scored = toxicity.with_toxicity(docs.select("doc_id", "lang", "text"), net)
+    return scored.select(
+        "doc_id",
+        (rest == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        toxicity.over_threshold(net, F.col("score"), F.col("lang")).alias("over_threshold"),
+    )
