@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import decontaminate, packing, prefix_counts, records, toxicity
+from siltstone.llm import cotrain, decontaminate, packing, prefix_counts, records, toxicity
 from siltstone.llm.fitting import remainder
 from siltstone.llm.near_dup import near_duplicates
 from siltstone.llm.shipping import ship
@@ -169,3 +169,13 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
         toxicity.over_threshold(net, F.col("score"), F.col("lang")).alias("over_threshold"),
     )
+
+
+@query("op9_cotrained_quality")
+def cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by its content, its metadata and both."""
+    docs = load(spark, sf_dir, "documents")
+    judge = cotrain.fit(docs, load(spark, sf_dir, "labels"))
+    return cotrain.with_quality(docs, judge).select(
+        "doc_id", "content_score", "metadata_score", "quality_score", "good"
+    )
