@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import cotrain, decontaminate, packing, prefix_counts, records, toxicity
+from siltstone.llm import cotrain, decontaminate, lm, packing, prefix_counts, records, toxicity
 from siltstone.llm.fitting import remainder
 from siltstone.llm.near_dup import near_duplicates
 from siltstone.llm.shipping import ship
@@ -179,3 +179,13 @@ def cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.with_quality(docs, judge).select(
         "doc_id", "content_score", "metadata_score", "quality_score", "good"
     )
+
+
+@query("op7_lm_scores")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's log10 chance by word counts and by the mixed attention model."""
+    return lm.score_texts(
+        load(spark, sf_dir, "documents"),
+        held_out=remainder("doc_id", 10) == 0,
+        tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
+    )
