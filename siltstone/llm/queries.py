@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import cotrain, decontaminate, lm, packing, prefix_counts, records, toxicity
+from siltstone.llm import cotrain, decontaminate, lm, packing, prefix_counts, records, toxicity, warc
 from siltstone.llm.fitting import remainder
 from siltstone.llm.near_dup import near_duplicates
 from siltstone.llm.shipping import ship
@@ -189,3 +189,30 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         held_out=remainder("doc_id", 10) == 0,
         tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
     )
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS original FROM p),
+d AS (
+  SELECT page_id, strlen(html) AS payload_bytes, original,
+         list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + list_sum(list_transform(range(0, 5),
+             lambda b: CAST(substr(bits, 5 * i + b + 1, 1) AS INTEGER) * CAST(2 ** (4 - b) AS INTEGER))) AS BIGINT), 1)) AS letters
+  FROM (SELECT *, array_to_string(list_transform(range(1, 41), lambda j:
+          substr('0000000100100011010001010110011110001001101010111100110111101111',
+                 4 * instr('0123456789abcdef', substr(sha1(html), j, 1)) - 3, 4)), '') AS bits FROM k)
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(letters, '') AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM d
+"""
+
+
+@query("op10_warc", _WARC_SQL)
+def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page converted from ARC to WARC and read back."""
+    found = warc.archive(load(spark, sf_dir, "pages"), least_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
