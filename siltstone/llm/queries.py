@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import cotrain, decontaminate, lm, packing, prefix_counts, records, toxicity, warc
+from siltstone.llm import ann, cotrain, decontaminate, lm, packing, prefix_counts, records, toxicity, warc
 from siltstone.llm.fitting import remainder
 from siltstone.llm.near_dup import near_duplicates
 from siltstone.llm.shipping import ship
@@ -216,3 +216,11 @@ def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page converted from ARC to WARC and read back."""
     found = warc.archive(load(spark, sf_dir, "pages"), least_bytes=0)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op1_nearest")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth id, found in shard graphs."""
+    vectors = load(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
