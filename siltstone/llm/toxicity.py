@@ -28,13 +28,14 @@ SIZE = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 HEADS = (4, 5, 7)
-_PAD = max(WIDTHS) - 1
+_PAD = max(WIDTHS)
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Four bucket numbers per word, texts parted by padding rows, and where texts begin.
 
-    Padding has bucket ``BUCKETS``, whose embedding is zero.
+    Padding has bucket ``BUCKETS``, whose embedding is zero. A text is followed by as many
+    rows of it as the widest filter spans.
     """
     words = Words(texts, ALNUM)
     keys = [words.keys]
@@ -68,8 +69,8 @@ class Network:
             out += self.table[ids[:, i]]
         return out
 
-    def maps(self, x: np.ndarray) -> np.ndarray:
-        """Each filter's value at each place; texts end in padding, so none overlap."""
+    def maps(self, x: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Each filter's value where it starts at a word or at the first padding row."""
         wide = np.concatenate((x, np.zeros((_PAD, x.shape[1]), x.dtype)))
         out = np.empty((len(x), len(WIDTHS) * FILTERS), np.float32)
         for k, (width, weights) in enumerate(zip(WIDTHS, self.filters)):
@@ -77,13 +78,16 @@ class Network:
             np.matmul(x, weights[0], out=part)
             for j in range(1, width):
                 part += wide[j : j + len(x)] @ weights[j]
+        ends = np.append(begin[1:], len(x))
+        for back in range(1, _PAD):  # from here a filter would reach into the next text
+            out[ends - back] = -np.inf
         return out
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         out = np.empty(len(texts))
         for a, b in blocks(texts, 256 << 10):
             ids, begin = features(texts[a:b])
-            pooled = np.maximum.reduceat(self.maps(self.embedded(ids)), begin, axis=0)
+            pooled = np.maximum.reduceat(self.maps(self.embedded(ids), begin), begin, axis=0)
             out[a:b] = np.maximum(pooled + self.bias, 0) @ self.weights + self.shift
         return out
 
@@ -150,7 +154,7 @@ def _step(net: Network, adam: _Adam, ids: list[np.ndarray], y: np.ndarray, shift
     length = np.array([len(i) for i in ids])
     begin = np.cumsum(length) - length
     x = net.embedded(flat)
-    maps = net.maps(x)
+    maps = net.maps(x, begin)
     pooled = np.maximum.reduceat(maps, begin, axis=0)
     same = maps == np.repeat(pooled, length, axis=0)
     place = np.empty(pooled.shape, np.int64)
