@@ -91,8 +91,8 @@ def _classes(texts: list[np.ndarray], vocabulary: int, end: int, seed: int = 3)
     """Class of every id by k-means of its neighbours; the end has class 0 for itself."""
     rng = np.random.default_rng(seed)
     wide = 64
-    hashed = rng.integers(0, wide, vocabulary + 1)
-    kind = 1 + rng.integers(0, CLASSES - 1, vocabulary + 1)
+    hashed = rng.integers(0, wide, vocabulary)
+    kind = 1 + rng.integers(0, CLASSES - 1, vocabulary)
     kind[end] = 0
     stream = np.concatenate([np.append(t, end) for t in texts])
     seen, place, count = np.unique(stream, return_inverse=True, return_counts=True)
@@ -128,7 +128,7 @@ def train(
     texts = texts or [np.empty(0, np.int64)]
     kind = _classes(texts, vocabulary, end)
     model = Attention(
-        table=normal(vocabulary + 1, SIZE),
+        table=normal(vocabulary, SIZE),
         place=normal(WINDOW, SIZE, scale=0.05),
         query=normal(SIZE, SIZE),
         key=normal(SIZE, SIZE),
@@ -162,6 +162,7 @@ def train(
             rate = 0.01 * (1 - 0.9 * turn / steps)
             for name, rows, gradient in _gradients(model, x[order[a : a + batch]], y[order[a : a + batch]]):
                 _adam(getattr(model, name), rows, gradient, moments, name, rate, turn)
+    model.out_shift[np.bincount(kind, minlength=CLASSES) == 0] = -1e4  # no chance for no id
     return model
 
 

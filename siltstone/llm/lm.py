@@ -2,11 +2,12 @@
 
 A text is its lower-cased words and an end. Each word has the chance
 
-    share * (its part of all training tokens) + (1 - share) * (attention model)
+    a * (its part of all training tokens) + b * (its part of the text so far) + c * (attention model)
 
 where the attention model multiplies the chances of the word's subword ids, given the ids
-before them. Word counts cover every training document. The most frequent words go to
-all tasks, as many as a fixed bound allows; every other word's count is joined.
+before them, and a + b + c = 1. Word counts cover every training document. The most
+frequent words go to all tasks, as many as a fixed bound allows; every other word's count
+is joined.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.attention import Attention, train
-from siltstone.llm.bytesets import END, LOWER, SPACED, Words, blocks, joined, rolling, span_keys, texts_of
+from siltstone.llm.bytesets import END, LOWER, SPACED, Words, blocks, joined, mixed, rolling, span_keys, texts_of
 from siltstone.llm.fitting import bounded_sample
 from siltstone.llm.pieces import cut, encoder
 from siltstone.session import scratch_path
@@ -31,6 +33,8 @@ HEAD_WORDS = 400_000
 HELD_WORDS = 1_000_000
 #: The end of a text as a word.
 END_KEY = 0
+#: Words that the start of a text weighs against what it has repeated.
+EARLY = 5
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +88,7 @@ class Model:
     counts: np.ndarray
     tokens: int
     distinct: int
-    share: float
+    weights: tuple[float, float, float]
     attention: Attention
     tokenizer: str
 
@@ -98,10 +102,13 @@ class Model:
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
 
-    def mixed(self, counts: np.ndarray, log_chance: np.ndarray) -> np.ndarray:
-        """log10 of a word's chance from its count and the attention model's natural log."""
-        part = self.share * counts / max(self.tokens, 1)
-        return np.log10(part + (1 - self.share) * np.exp(log_chance.astype(np.float64)) + 1e-300)
+    def besides(self, repeated: np.ndarray, log_chance: np.ndarray) -> np.ndarray:
+        """A word's chance without its count: by repetition and by the attention model."""
+        return self.weights[1] * repeated + self.weights[2] * np.exp(log_chance) + 1e-300
+
+    def mixed(self, counts: np.ndarray, besides: np.ndarray) -> np.ndarray:
+        """log10 of a word's whole chance."""
+        return np.log10(self.weights[0] * counts / max(self.tokens, 1) + besides)
 
 
 class WordStream:
@@ -136,6 +143,18 @@ class WordStream:
     def __len__(self) -> int:
         return len(self.first) - 1
 
+    def repeated(self) -> np.ndarray:
+        """Each word's part of the words before it in its text, early ones held down."""
+        of = np.repeat(np.arange(len(self)), np.diff(self.first))
+        key = self.keys ^ mixed(of.astype(np.uint64) + np.uint64(1))
+        order = np.argsort(key, kind="stable")
+        new = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0)))
+        nth = np.arange(len(key)) - np.repeat(new, np.diff(np.append(new, len(key))))
+        seen = np.empty(len(key), np.int64)
+        seen[order] = nth
+        before = np.arange(len(key)) - self.first[of]
+        return seen / (before + EARLY)
+
 
 def word_chances(stream: WordStream, attention: Attention) -> tuple[np.ndarray, np.ndarray]:
     """Natural log chance of each word, and of each text's end."""
@@ -154,29 +173,38 @@ def word_chances(stream: WordStream, attention: Attention) -> tuple[np.ndarray,
     return (total[stop] - total[stop - stream.per_word]), chance[at].astype(np.float64)
 
 
-def _mixing_share(streams: list[tuple[WordStream, np.ndarray]], tokens: int, attention: Attention) -> float:
-    """Share of the word counts by expectation maximisation, each text's own words left out."""
-    parts, chances = [], []
-    for stream, counts in streams:
-        chance, _ = word_chances(stream, attention)
-        known = counts >= 0
-        parts.append(np.maximum(counts[known] - 1, 0) / max(tokens, 1))
-        chances.append(np.exp(chance[known]))
-        parts.append(np.zeros((~known).sum()))
-        chances.append(np.exp(chance[~known]))
-    if not parts:
-        return 0.5
-    part, chance, share = np.concatenate(parts), np.concatenate(chances) + 1e-300, 0.5
-    for _ in range(20):
-        share = float(np.clip(np.mean(share * part / (share * part + (1 - share) * chance)), 0.05, 0.95))
-    return share
+def _mixing_weights(parts: list[np.ndarray]) -> tuple[float, float, float]:
+    """Weights of a word's three chances by expectation maximisation over words."""
+    held = np.column_stack(parts) + 1e-300
+    weights = np.full(3, 1 / 3)
+    if len(held):
+        for _ in range(50):
+            own = held * weights
+            weights = np.clip((own / own.sum(axis=1, keepdims=True)).mean(axis=0), 0.01, None)
+            weights /= weights.sum()
+    return tuple(weights.tolist())
+
+
+def _counts_of(keys: np.ndarray, model: Model, counts: DataFrame) -> np.ndarray:
+    """Counts of words, those of rare ones looked up in the stored table."""
+    out = model.found(keys)
+    rare = np.unique(keys[out < 0]).view(np.int64)
+    if len(rare):
+        asked = counts.sparkSession.createDataFrame(pd.DataFrame({"word": rare}))
+        got = counts.join(asked, "word").toPandas().sort_values("word")
+        names, numbers = got["word"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+        found = keys.view(np.int64)
+        at = np.minimum(np.searchsorted(names, found), max(len(names) - 1, 0))
+        known = (out < 0) & (names[at] == found) if len(names) else np.zeros(len(keys), bool)
+        out[known] = numbers[at[known]]
+    return np.maximum(out, 0)
 
 
 def fit(texts: DataFrame, counts: DataFrame, tokenizer: str, sample: int = 1200) -> Model:
     """Model from training texts (``doc_id, text``) and their stored ``word_counts``.
 
     The attention model learns from about ``sample`` of the texts, chosen by a hash of the
-    id; a tenth of them settles the share of the word counts. Counts are of all texts.
+    id; a tenth of them settles the three weights. Counts are of all texts.
     """
     totals = counts.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("distinct")).first()
     # how many words have a count of at least each of a hundred-odd steps
@@ -202,13 +230,17 @@ def fit(texts: DataFrame, counts: DataFrame, tokenizer: str, sample: int = 1200)
         head["n"].to_numpy(np.int64)[order],
         int(totals.tokens or 0),
         int(totals.distinct or 0),
-        0.5,
+        (1 / 3, 1 / 3, 1 / 3),
         train(_ids(learned, tokenizer), end + 1, end),
         tokenizer,
     )
     streams = [WordStream(kept[a:b], tokenizer) for a, b in blocks(kept)]
-    pairs = [(s, model.found(s.keys)) for s in streams]
-    model.share = _mixing_share(pairs, model.tokens, model.attention)
+    if streams:
+        keys = np.concatenate([s.keys for s in streams])
+        own = np.maximum(_counts_of(keys, model, counts) - 1, 0)  # less the word itself
+        repeated = np.concatenate([s.repeated() for s in streams])
+        chance = np.concatenate([word_chances(s, model.attention)[0] for s in streams])
+        model.weights = _mixing_weights([own / max(model.tokens, 1), repeated, np.exp(chance)])
     return model
 
 
@@ -228,7 +260,7 @@ _SCORED = (
 
 
 def _first_scores(rows: DataFrame, model: Model) -> DataFrame:
-    """Scores by the frequent words, and the other words with their attention chance."""
+    """Scores by the frequent words, and the other words with log10 of their chance besides."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,12 +276,13 @@ def _first_scores(rows: DataFrame, model: Model) -> DataFrame:
                 first = stream.first
                 sums = lambda x: np.diff(np.concatenate(([0.0], np.cumsum(x)))[first])  # noqa: B023, E731
                 base = sums(np.where(known, own.base(counts.clip(0)), 0)) + own.base(end_count)
-                score = sums(np.where(known, own.mixed(counts.clip(0), chance), 0))
-                score += own.mixed(np.repeat(end_count, b - a), end_chance)
+                besides = own.besides(stream.repeated(), chance)
+                score = sums(np.where(known, own.mixed(counts.clip(0), besides), 0))
+                score += own.mixed(end_count, own.besides(0, end_chance))
                 rare = np.concatenate(([0], np.cumsum(~known)))[first].astype(np.int32)
                 lists = [
                     pa.ListArray.from_arrays(pa.array(rare), pa.array(values[~known]))
-                    for values in (stream.keys.view(np.int64), chance.astype(np.float32))
+                    for values in (stream.keys.view(np.int64), np.log10(besides).astype(np.float32))
                 ]
                 columns = [batch.column(i).slice(a, b - a) for i in range(3)]
                 columns += [
@@ -300,13 +333,13 @@ def score_texts(
         "rid", F.col("pair.words").alias("word"), F.col("pair.chances").alias("chance")
     )
     n = F.coalesce("n", F.lit(0))
-    part = n * F.lit(model.share / max(model.tokens, 1))
+    part = n * F.lit(model.weights[0] / max(model.tokens, 1))
     smooth = F.lit(model.tokens + 0.1 * (model.distinct + 1))
     rest = rare.join(counts, "word", "left").select(
         "rid",
         (n > 0).cast("bigint").alias("known"),
         F.log10((n + 0.1) / smooth).alias("base"),
-        F.log10(part + F.lit(1 - model.share) * F.exp(F.col("chance").cast("double")) + 1e-300).alias("own"),
+        F.log10(part + F.pow(F.lit(10.0), F.col("chance").cast("double"))).alias("own"),
     )
     rest = rest.groupBy("rid").agg(*(F.sum(c).alias(c) for c in ("known", "base", "own")))
     return scored.drop("words", "chances").join(rest, "rid", "left").select(
