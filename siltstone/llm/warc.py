@@ -25,7 +25,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.bytesets import texts_of
 from siltstone.llm.files import Staged, read_range
 from siltstone.session import scratch_path
 
@@ -174,58 +173,46 @@ def _http(payload: bytes) -> bytes:
     return head.encode() + payload
 
 
-def to_arc(pages: DataFrame) -> DataFrame:
-    """``page_id, url, copy, refers_to, html`` rows as ARC blocks of bounded size.
+_KEYS = pa.struct([("page_id", pa.int64()), ("copy", pa.bool_()), ("refers_to", pa.int64())])
+_PAGES = ("page_id", "url", "copy", "refers_to", "html")
 
-    Blocks take turns in the two versions. ``keys`` names the pages of a block in order.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        version = 1
-        parts, keys, size = [], [], 0
+def _arc_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages, in the order of ``_PAGES``, as ARC blocks that take turns in the two versions."""
+    version = 1
+    parts, keys, size = [], [], 0
 
-        def block() -> pa.RecordBatch:
-            data = arc_version_block(version) + b"".join(parts)
-            kind = pa.struct([("page_id", pa.int64()), ("copy", pa.bool_()), ("refers_to", pa.int64())])
-            return pa.RecordBatch.from_arrays(
-                [pa.array([data]), pa.array([keys], pa.list_(kind))], ["arc", "keys"]
-            )
+    def block() -> pa.RecordBatch:
+        data = arc_version_block(version) + b"".join(parts)
+        return pa.RecordBatch.from_arrays([pa.array([data]), pa.array([keys], pa.list_(_KEYS))], ["arc", "keys"])
 
-        for batch in batches:
-            rows = batch.select(["page_id", "copy", "refers_to"]).to_pylist()
-            for key, url, html in zip(rows, batch.column(1).to_pylist(), texts_of(batch.column(4))):
-                day = (key["page_id"] or 0) % 28 + 1
-                parts.append(arc_record(version, url, f"200001{day:02d}000000", _http(html)))
-                keys.append(key)
-                size += len(parts[-1])
-                if size >= ARC_BLOCK:
-                    yield block()
-                    version, parts, keys, size = 3 - version, [], [], 0
-        if parts:
-            yield block()
-
-    return pages.select("page_id", "url", "copy", "refers_to", "html").mapInArrow(
-        run, "arc binary, keys array<struct<page_id: bigint, copy: boolean, refers_to: bigint>>"
-    )
+    for batch in batches:
+        rows = batch.select(["page_id", "copy", "refers_to"]).to_pylist()
+        for key, url, html in zip(rows, batch.column(1).to_pylist(), batch.column(4)):
+            day = (key["page_id"] or 0) % 28 + 1
+            body = _http((html.as_py() or "").encode())
+            parts.append(arc_record(version, url, f"200001{day:02d}000000", body))
+            keys.append(key)
+            size += len(parts[-1])
+            if size >= ARC_BLOCK:
+                yield block()
+                version, parts, keys, size = 3 - version, [], [], 0
+    if parts:
+        yield block()
 
 
 _MANIFEST = "file string, begin bigint, length bigint, records bigint"
 
 
-def convert(blocks: DataFrame, folder: str) -> DataFrame:
-    """Write the WARC form of ARC blocks as ``.warc.gz`` files, a gzip member per record.
-
-    Returns the manifest, kept in ``folder``: a row per run of records.
-    """
-    spark = blocks.sparkSession
-    data = f"{folder}/data"
+def _warc_files(data: str):
+    """Turns ARC blocks into one ``.warc.gz`` file of a task, a gzip member per record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, rows, begin, records = None, [], 0, 0
         for batch in batches:
-            for arc, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for arc, keys in zip(batch.column(0), batch.column(1).to_pylist()):
                 out = out or Staged(data, f"part-{TaskContext.get().partitionId():05d}.warc.gz")
-                for record, key in zip(arc_records(arc), keys, strict=True):
+                for record, key in zip(arc_records(arc.as_py()), keys, strict=True):
                     made = warc_record(record, key["page_id"], key["refers_to"], key["copy"])
                     out.write([gzip.compress(made, 1, mtime=0)])
                     records += 1
@@ -238,12 +225,37 @@ def convert(blocks: DataFrame, folder: str) -> DataFrame:
             out.publish()
             names = [c.split()[0] for c in _MANIFEST.split(", ")]
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    return run
+
+
+def to_arc(pages: DataFrame) -> DataFrame:
+    """``page_id, url, copy, refers_to, html`` rows as ARC blocks of bounded size.
+
+    ``keys`` names the pages of a block in order.
+    """
+    keys = "array<struct<page_id: bigint, copy: boolean, refers_to: bigint>>"
+    return pages.select(*_PAGES).mapInArrow(_arc_blocks, f"arc binary, keys {keys}")
+
+
+def convert(blocks: DataFrame, folder: str) -> DataFrame:
+    """Write the WARC form of ARC blocks (``arc, keys``) as ``.warc.gz`` files.
+
+    Returns the manifest, kept in ``folder``: a row per run of records.
+    """
+    return _kept(blocks.select("arc", "keys").mapInArrow(_warc_files(f"{folder}/data"), _MANIFEST), folder)
+
+
+def convert_pages(pages: DataFrame, folder: str) -> DataFrame:
+    """``convert(to_arc(pages))`` in one pass of a task: a block is converted as soon as made."""
+    files = _warc_files(f"{folder}/data")
+    return _kept(pages.select(*_PAGES).mapInArrow(lambda b: files(_arc_blocks(b)), _MANIFEST), folder)
+
 
-    blocks.mapInArrow(run, _MANIFEST).write.parquet(f"{folder}/manifest")
-    return spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
+def _kept(manifest: DataFrame, folder: str) -> DataFrame:
+    manifest.write.parquet(f"{folder}/manifest")
+    return manifest.sparkSession.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -351,5 +363,5 @@ def archive(
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
     marked = with_copies(pages, least_bytes, id_col, url_col, html_col)
-    convert(to_arc(marked), folder)
+    convert_pages(marked, folder)
     return read_warc(spark, folder)

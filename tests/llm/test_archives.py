@@ -6,6 +6,7 @@ import hashlib
 import pytest
 
 from siltstone.llm import warc
+from siltstone.session import scratch_path
 
 
 def test_both_header_forms():
@@ -61,6 +62,15 @@ def test_archive(spark):
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+def test_blocks_as_a_table(spark):
+    rows = [(i, f"http://a/{i}", f"page {i}") for i in range(40)]
+    marked = warc.with_copies(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    folder = scratch_path(spark, "warc")
+    warc.convert(warc.to_arc(marked), folder)
+    got = warc.read_warc(spark, folder).collect()
+    assert sorted((r.page_id, r.url, r.payload_bytes) for r in got) == [(i, u, len(h)) for i, u, h in rows]
+
+
 def test_broken_warc():
     record = warc.ArcRecord("http://a/", "0.0.0.0", "2024", "text/html", warc._http(b"abc"))
     made = warc.warc_record(record, 1, None, False)
