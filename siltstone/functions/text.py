@@ -49,10 +49,17 @@ def plain_path(path: Column) -> Column:
 
 
 def iso_instant(text: Column) -> Column:
-    """ISO-8601 text to TIMESTAMP, null where it is none.
+    """ISO-8601 text to TIMESTAMP, null where it is none; without an offset it is UTC.
 
     Spark also reads a bare time of day and would add today's date, so a full
-    date is asked for.
+    date is asked for. A text that has an offset cannot be read with a second one.
     """
     dated = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
-    return F.when(dated, F.try_to_timestamp(text))
+    as_utc = [F.try_to_timestamp(F.concat(text, F.lit(end))) for end in ("Z", "T00:00:00Z")]
+    return F.when(dated, F.coalesce(*as_utc, F.try_to_timestamp(text)))
+
+
+def utc_day(instant: Column) -> Column:
+    """Calendar day of an instant in UTC, whatever the session's zone."""
+    seconds = F.unix_seconds(instant)
+    return F.date_from_unix_date(((seconds - F.pmod(seconds, F.lit(86400))) / 86400).cast("int"))

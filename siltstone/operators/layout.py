@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators.merge import fresh, overwrite_partitions
+from siltstone.schemas import CLUSTER_BY, PARTITION, SILVER, Lake
 
 SAMPLE_ROWS = 4096
 
@@ -15,13 +17,17 @@ SAMPLE_ROWS = 4096
 def bucket_bounds(
     df: DataFrame, columns: Sequence[str], bits: int, sample_rows: int = SAMPLE_ROWS
 ) -> dict[str, list]:
-    """At most ``2**bits - 1`` cut points per column, from one sample of fixed size.
+    """At most ``2**bits - 1`` cut points per column, from one sample of bounded size.
 
-    Rows are ranked by a hash of their position and the lowest are taken, a
-    top-k that each task cuts to ``sample_rows`` before it leaves.
+    A count sets the rate at which each task keeps rows by a hash of their position, so
+    all tasks together pass on about four samples, however many they are.
     """
-    marked = df.select(*columns, F.xxhash64(F.monotonically_increasing_id()).alias("_draw"))
-    drawn = marked.orderBy("_draw").limit(sample_rows).drop("_draw").collect()
+    scale = 1 << 40
+    kept = int(scale * min(1.0, 4 * sample_rows / max(df.count(), 1)))
+    draw = F.xxhash64(F.monotonically_increasing_id())
+    marked = df.select(*columns, draw.alias("_draw"))
+    thin = marked.filter(F.pmod("_draw", F.lit(scale)) < kept)
+    drawn = thin.orderBy("_draw").limit(sample_rows).drop("_draw").collect()
     parts = 2**bits
     bounds = {}
     for position, column in enumerate(columns):
@@ -32,11 +38,19 @@ def bucket_bounds(
 
 
 def bucket_of(column: Column, bounds: list, data_type: str) -> Column:
-    """Number of bounds at or below the value; null counts as the lowest."""
-    known = F.array(*[F.lit(b) for b in bounds]).cast(f"array<{data_type}>")
-    return F.when(column.isNull(), 0).otherwise(
-        F.size(F.filter(known, lambda bound: bound <= column))
-    )
+    """Number of bounds at or below the value; null counts as the lowest.
+
+    Nested conditions halve the bounds, which stays within generated code.
+    """
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        reached = column >= F.lit(bounds[middle]).cast(data_type)
+        return F.when(reached, between(middle + 1, high)).otherwise(between(low, middle))
+
+    return F.when(column.isNull(), 0).otherwise(between(0, len(bounds)))
 
 
 def interleaved(buckets: Sequence[Column], bits: int) -> Column:
@@ -77,6 +91,23 @@ def clustered(
     )
 
 
+def _only_partition(rows: DataFrame, partition: str, where: str) -> None:
+    """Refuse a predicate that reads anything but the partition column."""
+    kind = dict(rows.dtypes)[partition]
+    alone = rows.sparkSession.createDataFrame([], f"`{partition}` {kind}")
+    try:
+        alone.filter(where).schema
+    except AnalysisException as error:
+        raise ValueError(f"{where!r} must be a predicate on {partition} alone") from error
+
+
+def maintain(spark: SparkSession, lake: Lake = Lake(), files: int = 200) -> None:
+    """Cluster every table that has clustering columns."""
+    for name, columns in CLUSTER_BY.items():
+        table = lake.silver(name) if name in SILVER else lake.gold(name)
+        cluster_table(spark, table, columns, files, PARTITION[name])
+
+
 def cluster_table(
     spark: SparkSession,
     table: str,
@@ -89,19 +120,26 @@ def cluster_table(
     """Rewrite ``table`` clustered by ``columns``.
 
     A partitioned table gets its partitions replaced in place; ``where`` may
-    limit that to some of them and must be a predicate on the partition column.
-    Any other table is written as a copy that is then swapped in.
+    limit that to some of them and must be a predicate on the partition column
+    alone, or rows of the touched partitions would be lost; any other is refused.
+    Any other table is written as a copy that is then swapped in; a swap that was
+    broken off is undone by the next call.
     """
+    copy, old = f"{table}__clustered", f"{table}__old"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(old):
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
     rows = fresh(spark, table)
     if partition:
+        if where:
+            _only_partition(rows, partition, where)
         rows = rows.filter(where) if where else rows
         overwrite_partitions(clustered(rows, columns, files, partition, bits), table)
         spark.catalog.refreshTable(table)
         return
     if where:
         raise ValueError("only a partitioned table can be rewritten in part")
-    copy, old = f"{table}__clustered", f"{table}__old"
     spark.sql(f"DROP TABLE IF EXISTS {copy}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
     clustered(rows, columns, files, bits=bits).write.format("parquet").saveAsTable(copy)
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {copy} RENAME TO {table}")

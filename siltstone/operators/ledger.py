@@ -97,8 +97,9 @@ def transition(
 ) -> DataFrame:
     """Log rows for ``updates(etag, status[, run_id])`` on files in state ``expected``.
 
-    Files in any other state are left alone.
+    Files in any other state are left alone. An etag reported more than once makes one row.
     """
+    updates = first_by(updates, ["etag"], [c for c in updates.columns if c != "etag"])
     run_id = F.col("new_run") if "run_id" in updates.columns else F.col("run_id")
     wanted = updates.select(
         "etag",

@@ -62,31 +62,45 @@ def spread(df: DataFrame, partition: str | None) -> DataFrame:
     return df.hint("rebalance", partition) if partition else df.hint("rebalance")
 
 
-def append(df: DataFrame, table: str, partition: str | None = None) -> None:
-    """Append by column name."""
-    df.sparkSession.sql(
-        f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=spread(df, partition)
-    )
-
-
 @contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
+def _with_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _insert(verb: str, df: DataFrame, table: str, partition: str | None, settings: dict[str, str]) -> None:
+    """Write ``df`` by column name.
+
+    A write to date partitions costs by its files more than by its bytes, so AQE may make
+    small tasks, as many as there are cores. Rows of a date still meet in one task unless
+    they are many: the number of files stays the same.
+    """
+    rows = df
+    if partition:
+        settings = settings | {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k"}
+        rows = spread(df, partition)
+    with _with_conf(df.sparkSession, settings):
+        df.sparkSession.sql(f"INSERT {verb} {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
+
+
+_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def append(df: DataFrame, table: str, partition: str | None = None) -> None:
+    """Append by column name."""
+    _insert("INTO", df if partition else spread(df, None), table, partition, {})
 
 
 def overwrite(df: DataFrame, table: str, partition: str | None = None) -> None:
     """Replace all rows of a table; columns are matched by name, not by position."""
-    with _overwrite_mode(df.sparkSession, "static"):
-        df.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}",
-            rows=spread(df, partition),
-        )
+    rows = df if partition else spread(df, None)
+    _insert("OVERWRITE TABLE", rows, table, partition, {_MODE: "static"})
 
 
 def overwrite_partitions(df: DataFrame, table: str, partition: str | None = None) -> None:
@@ -95,11 +109,7 @@ def overwrite_partitions(df: DataFrame, table: str, partition: str | None = None
     New files are staged and moved in at the end, so ``df`` may read ``table``.
     ``partition`` lets AQE size the tasks; leave it out to keep the layout.
     """
-    rows = spread(df, partition) if partition else df
-    with _overwrite_mode(df.sparkSession, "dynamic"):
-        df.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=rows
-        )
+    _insert("OVERWRITE TABLE", df, table, partition, {_MODE: "dynamic"})
 
 
 def fresh(spark: SparkSession, table: str) -> DataFrame:

@@ -154,7 +154,7 @@ def judge_events(events: DataFrame, as_of: Column, on_unexpected: str = "fail")
         *_ENVELOPE,
         "event_ts",
         "ingest_ts",
-        F.to_date("event_ts").alias("event_date"),
+        T.utc_day(F.col("event_ts")).alias("event_date"),
         *_PAYLOAD_TEXT,
         "amount",
         "weight",
@@ -195,6 +195,6 @@ def rejections(judged: DataFrame) -> DataFrame:
         F.col("reason").alias("rejection_reason"),
         "raw_event_json",
         F.col("as_of").alias("rejection_ts"),
-        F.to_date("as_of").alias("rejection_date"),
+        T.utc_day(F.col("as_of")).alias("rejection_date"),
         reject_hash().alias("reject_hash"),
     )

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators import star
 from siltstone.operators.merge import fresh, overwrite, overwrite_partitions
-from siltstone.schemas import PARTITION, Lake
-from siltstone.session import cut_lineage, scratch_path
+from siltstone.operators.rank import latest_by
+from siltstone.schemas import GOLD, PARTITION, Lake
+from siltstone.session import scratch_path
 
 
 def refresh_gold(spark: SparkSession, lake: Lake = Lake()) -> None:
     """Rebuild the star schema; orders come last, as they read the payments."""
-    users = fresh(spark, lake.silver("user_events"))
-    overwrite(star.dim_users(users), lake.gold("dim_users"))
+    _write_users(spark, star.latest_users(fresh(spark, lake.silver("user_events"))), lake)
     payments = star.fact_payments(fresh(spark, lake.silver("payment_events")))
     overwrite(payments, lake.gold("fact_payments"), PARTITION["fact_payments"])
     orders = star.fact_orders(
@@ -23,72 +26,89 @@ def refresh_gold(spark: SparkSession, lake: Lake = Lake()) -> None:
     overwrite(orders, lake.gold("fact_orders"), PARTITION["fact_orders"])
 
 
-# Keys that a broadcast may hold; some tens of megabytes at most.
-TOUCHED_LIMIT = 1_000_000
+def _write_users(spark: SparkSession, latest: DataFrame, lake: Lake) -> None:
+    """Both user tables from one computation, kept aside since it may read the first."""
+    aside = scratch_path(spark, "users")
+    latest.write.parquet(aside)
+    latest = spark.read.parquet(aside)
+    overwrite(latest, lake.user_latest)
+    overwrite(latest.select(*GOLD["dim_users"]), lake.gold("dim_users"))
 
 
-def _touched(frames: list[DataFrame], key: str, since: str, limit: int) -> DataFrame | None:
-    """Keys with recent events, marked for broadcast; None if there are too many.
+def touched_days(*events: DataFrame) -> list[date]:
+    """Event dates of inserted rows: what an update has to look at. One entry per day."""
+    days = events[0].select("event_date")
+    for more in events[1:]:
+        days = days.unionByName(more.select("event_date"))
+    return sorted(r[0] for r in days.distinct().collect() if r[0] is not None)
 
-    They are computed once, from the recent date partitions only, and counted.
-    """
-    keys = cut_lineage(star.touched_keys(frames, key, since))
-    return F.broadcast(keys) if keys.count() <= limit else None
+
+def on_days(column: str, days: Iterable[date]) -> Column:
+    """Whether a date is one of ``days``; literals, so that partitions are pruned."""
+    listed = [F.lit(str(d)).cast("date") for d in days]
+    return F.col(column).isin(*listed) if listed else F.lit(False)
 
 
 def changed_orders(
-    order_events: DataFrame,
-    payment_events: DataFrame,
-    existing: DataFrame,
-    since: str,
-    limit: int = TOUCHED_LIMIT,
+    order_events: DataFrame, payment_events: DataFrame, existing: DataFrame, payments: DataFrame, days: Iterable[date]
 ) -> DataFrame:
-    """``fact_orders`` after recomputing orders with an event on or after ``since``.
+    """Rows of ``fact_orders`` that events of the touched ``days`` change, with ``old_date``.
 
-    The touched orders are picked out inside the scans, so no event of another
-    order is shuffled and a hot order is still cut down before the shuffle. With
-    more than ``limit`` of them all orders are recomputed.
+    Of the events only the partitions of those days are read. ``payments`` is the whole
+    ``fact_payments``; two of its columns are read for orders that are new.
     """
-    touched = _touched([order_events, payment_events], "order_id", since, limit)
-    if touched is None:
-        return star.fact_orders(order_events, star.fact_payments(payment_events))
-    orders = order_events.join(touched, "order_id", "left_semi")
-    payments = star.fact_payments(payment_events.join(touched, "order_id", "left_semi"))
-    return star.patched(existing, touched, star.fact_orders(orders, payments), "order_id")
+    days = list(days)
+    recent = star.fact_payments(payment_events.filter(on_days("event_date", days)))
+    orders = order_events.filter(on_days("event_date", days))
+    return star.merged_orders(existing, orders, payments, recent, on_days("order_date", days))
 
 
-def changed_users(
-    user_events: DataFrame, existing: DataFrame, since: str, limit: int = TOUCHED_LIMIT
-) -> DataFrame:
-    """``dim_users`` after recomputing users with an event on or after ``since``."""
-    touched = _touched([user_events], "user_id", since, limit)
-    if touched is None:
-        return star.dim_users(user_events)
-    events = user_events.join(touched, "user_id", "left_semi")
-    return star.patched(existing, touched, star.dim_users(events), "user_id")
+def changed_users(user_events: DataFrame, latest: DataFrame, days: Iterable[date]) -> DataFrame:
+    """``latest`` (a row per user with its event) after the events of the touched ``days``."""
+    recent = star.latest_users(user_events.filter(on_days("event_date", days)))
+    return latest_by(latest.unionByName(recent), ["user_id"], ["event_ts", "event_id"])
 
 
-def update_gold(spark: SparkSession, since: str, lake: Lake = Lake()) -> None:
-    """Refresh gold from event dates on or after ``since`` only.
+def update_gold(spark: SparkSession, days: Iterable[date], lake: Lake = Lake()) -> None:
+    """Bring gold forward after inserts that touched the event dates ``days``, late ones or new.
 
-    Payments of those dates replace their partitions. Orders and users are
-    written aside first, since a whole table cannot be overwritten while read.
+    Silver is read in the partitions of those days only. Payments of the days replace
+    their partitions. Changed orders are found first and kept aside; then the partitions
+    of their old and new dates are written, and those left empty are dropped. A run that
+    died may be run again: it finds what is not yet in place.
     """
-    orders = fresh(spark, lake.silver("order_events"))
+    days = list(days)
     payments = fresh(spark, lake.silver("payment_events"))
-    users = fresh(spark, lake.silver("user_events"))
+    recent = star.fact_payments(payments.filter(on_days("event_date", days)))
+    overwrite_partitions(recent, lake.gold("fact_payments"), PARTITION["fact_payments"])
+
+    aside = scratch_path(spark, "changed-orders")
+    changed_orders(
+        fresh(spark, lake.silver("order_events")),
+        payments,
+        fresh(spark, lake.gold("fact_orders")),
+        fresh(spark, lake.gold("fact_payments")),
+        days,
+    ).write.parquet(aside)
+    _replace_orders(spark, spark.read.parquet(aside), lake)
 
-    recent = payments.filter(F.col("event_date") >= F.lit(since).cast("date"))
-    overwrite_partitions(
-        star.fact_payments(recent), lake.gold("fact_payments"), PARTITION["fact_payments"]
-    )
-    merged = {
-        "fact_orders": changed_orders(
-            orders, payments, fresh(spark, lake.gold("fact_orders")), since
-        ),
-        "dim_users": changed_users(users, fresh(spark, lake.gold("dim_users")), since),
-    }
-    for table, rows in merged.items():
-        aside = scratch_path(spark, table)
-        rows.write.parquet(aside)
-        overwrite(spark.read.parquet(aside), lake.gold(table), PARTITION.get(table))
+    users = fresh(spark, lake.silver("user_events"))
+    _write_users(spark, changed_users(users, fresh(spark, lake.user_latest), days), lake)
+
+
+def _replace_orders(spark: SparkSession, changed: DataFrame, lake: Lake) -> None:
+    table = lake.gold("fact_orders")
+    dates = changed.select(F.explode(F.array("order_date", "old_date")).alias("day")).distinct()
+    dates = {r[0] for r in dates.collect() if r[0] is not None}  # days, however many orders
+    if not dates:
+        return
+    there = fresh(spark, table).filter(on_days("order_date", dates))
+    kept = there.join(changed.select("order_id"), "order_id", "left_anti")
+    aside = scratch_path(spark, "orders")
+    kept.unionByName(changed.drop("old_date")).write.parquet(aside)
+    rows = spark.read.parquet(aside)
+    overwrite_partitions(rows, table, PARTITION["fact_orders"])
+    filled = {r[0] for r in rows.select("order_date").distinct().collect()}
+    had = {r[0] for r in there.select("order_date").distinct().collect()}
+    for day in sorted(had & dates - filled):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (order_date = DATE '{day}')")

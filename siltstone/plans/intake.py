@@ -25,7 +25,8 @@ def run_intake(
     """Claim new files, store their text by route, and record the outcome.
 
     Returns ``file_path, etag`` of the files that passed. Files done before, and
-    copies of one content under several names, are skipped by etag. A run that
+    copies of one content under several names, are skipped by etag, and a file
+    delivered more than once counts once. A run that
     dies leaves its claims to expire; the next run after that takes the files
     again and stores only what is not stored yet.
     """
@@ -38,6 +39,7 @@ def run_intake(
 
     mine = claimed.select("etag", "file_path")
     held = classified.join(mine, ["etag", "file_path"], "left_semi")
+    held = held.dropDuplicates(["etag"])  # queues deliver at least once
     held = held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         texts_by_route = held.select("file_path", "etag", "value", "route")

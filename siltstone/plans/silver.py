@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.operators import ledger as L
@@ -41,6 +41,23 @@ def _held(judged: DataFrame, hold: str) -> DataFrame:
     raise ValueError(f"hold must be 'cache' or 'table', not {hold!r}")
 
 
+def _not_there(rows: DataFrame, target: DataFrame) -> DataFrame:
+    """Rejections that ``target`` lacks, also after a run that stored a part of them.
+
+    Equal rejections of one file are counted off, so that each finds its counterpart;
+    the time of the rejection does not matter.
+    """
+    what = [c for c in rows.columns if c not in ("etag", "rejection_ts", "rejection_date")]
+    nth = F.row_number().over(Window.partitionBy("etag", "_what").orderBy(F.lit(0)))
+
+    def numbered(df: DataFrame) -> DataFrame:
+        return df.withColumn("_what", F.xxhash64(*what)).withColumn("_nth", nth)
+
+    stored = target.join(rows.select("etag").distinct(), "etag", "left_semi")
+    new = numbered(rows).join(numbered(stored).select("etag", "_what", "_nth"), ["etag", "_what", "_nth"], "left_anti")
+    return new.select(rows.columns)
+
+
 def run_silver_batch(
     spark: SparkSession,
     texts: DataFrame,
@@ -53,15 +70,16 @@ def run_silver_batch(
 ) -> DataFrame:
     """Load ``texts(etag, value)`` into the silver tables; returns the file metrics.
 
-    A batch may be run again: events already present are not inserted twice.
-    Rejections are appended each time unless ``once_per_file`` leaves out files
-    that already have some. ``stable_dates`` says that an event id always comes
+    A batch may be run again: events already present are not inserted twice, and
+    a file given more than once in a batch counts once. Rejections and metrics are
+    appended each time unless ``once_per_file`` adds only those not there yet. ``stable_dates`` says that an event id always comes
     with the same event date; only the batch's dates are then looked up in the
     silver tables, instead of all their keys. Tables are written in the order
     silver, rejections, metrics, so a file is only reported once its rows are in
     place.
     """
-    judged = _held(check_files(texts, instant(as_of), on_unexpected), hold)
+    once = texts.dropDuplicates(["etag"])
+    judged = _held(check_files(once, instant(as_of), on_unexpected), hold)
     try:
         for domain in DOMAINS:
             events = accepted(judged, domain)
@@ -80,10 +98,13 @@ def run_silver_batch(
             judged.filter("outcome = 'rejected'") if hold == "table" else judged
         )
         if once_per_file:
-            turned_down = unseen(turned_down, fresh(spark, lake.rejected), ["etag"])
+            turned_down = _not_there(turned_down, fresh(spark, lake.rejected))
         append(turned_down, lake.rejected, PARTITION["rejected_events"])
         metrics = cut_lineage(file_metrics(judged))
-        append(metrics, lake.metrics)
+        fresh_metrics = metrics
+        if once_per_file:
+            fresh_metrics = unseen(metrics, fresh(spark, lake.metrics), ["etag"])
+        append(fresh_metrics, lake.metrics)
         return metrics
     finally:
         if hold == "cache":
@@ -97,6 +118,7 @@ def run_pending(
     as_of: datetime | str | None = None,
     limit: int | None = 10,
     on_unexpected: str = "fail",
+    stable_dates: bool = False,
 ) -> DataFrame:
     """Take waiting files from the ledger through silver and record the result.
 
@@ -110,7 +132,9 @@ def run_pending(
     append(cut_lineage(L.transition(log, start, L.VALIDATED, now)), lake.ledger)
     try:
         texts = fresh(spark, lake.routed).join(batch, "etag", "left_semi")
-        metrics = run_silver_batch(spark, texts, lake, as_of, on_unexpected)
+        metrics = run_silver_batch(
+            spark, texts, lake, as_of, on_unexpected, stable_dates=stable_dates
+        )
         result = L.file_results(metrics, run_id)
     except Exception:
         _finish(spark, lake, batch.withColumn("status", F.lit(L.VALIDATED)), now)
@@ -119,6 +143,17 @@ def run_pending(
     return metrics
 
 
+def drain_pending(
+    spark: SparkSession, run_id: str, lake: Lake = Lake(), limit: int = 10, **options
+) -> int:
+    """``run_pending`` batch after batch until nothing waits; returns the number of batches."""
+    number = 0
+    while not L.pending(fresh(spark, lake.ledger), 1).isEmpty():
+        run_pending(spark, f"{run_id}-{number}", lake, limit=limit, **options)
+        number += 1
+    return number
+
+
 def _finish(spark: SparkSession, lake: Lake, updates: DataFrame, now) -> None:
     log = fresh(spark, lake.ledger)
     append(cut_lineage(L.transition(log, updates, L.IN_SILVER, now)), lake.ledger)

@@ -203,6 +203,7 @@ for _domain in DOMAINS:
 
 # --- counts per file ---------------------------------------------------------------
 
+# File states.
 METRICS_SQL = """
 metrics AS (
   SELECT etag, CAST(sum(weight) AS BIGINT) AS total_events,

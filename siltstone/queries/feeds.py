@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.session import widened
-
 AS_OF = "2030-01-01T00:00:00+00:00"
 
 
@@ -73,8 +71,8 @@ def planted(k: str, i: str) -> dict[str, str]:
         "extra": f"{k} % 23 = 5",
         "p_user_id": f"CASE WHEN {k} % 19 = 3 THEN NULL ELSE 'u' || row_user END",
         "p_email": "'u' || row_user || '@mail.test'",
-        "p_country": "CASE row_user % 4 WHEN 0 THEN 'IN' WHEN 1 THEN 'US' WHEN 2 THEN 'JP' ELSE 'DE' END",
-        "p_device": f"CASE {k} % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'android' ELSE 'web' END",
+        "p_country": "CASE row_user % 4 WHEN 0 THEN 'NO' WHEN 1 THEN 'PT' WHEN 2 THEN 'KE' ELSE 'CL' END",
+        "p_device": f"CASE {k} % 3 WHEN 0 THEN 'kiosk' WHEN 1 THEN 'tablet' ELSE 'phone' END",
         "p_order_id": f"CASE WHEN {k} % 19 = 5 THEN NULL ELSE 'o' || eid END",
         "p_payment_id": f"CASE WHEN {k} % 19 = 7 THEN NULL ELSE 'p' || {k} END",
         "p_currency": f"CASE {k} % 2 WHEN 0 THEN 'USD' ELSE 'EUR' END",
@@ -103,7 +101,7 @@ def _event_json() -> str:
     k, i = "(eid * 8 + i)", "i"
     p = planted(k, i)
     amount = (
-        f"CASE {k} % 17 WHEN 4 THEN '-0.001' WHEN 5 THEN '\"invalid_amount\"' "
+        f"CASE {k} % 17 WHEN 4 THEN '-0.001' WHEN 5 THEN '\"ten\"' "
         f"WHEN 7 THEN '123456789.5' WHEN 8 THEN '\"12.5\"' WHEN 6 THEN NULL "
         f"ELSE CAST({p['p_amount']} AS STRING) END"
     )
@@ -149,7 +147,7 @@ def _event_json() -> str:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``eid, file_path, etag, value``: one container document per row of `events`."""
-    header = widened(load(spark, sf_dir, "events")).selectExpr(
+    header = load(spark, sf_dir, "events").selectExpr(
         "event_id AS eid",
         "CAST(ts AS TIMESTAMP) AS ts",
         "event_type AS row_type",
@@ -204,6 +202,7 @@ def _columns(exprs: dict[str, str]) -> str:
 
 
 # --- the same, as DuckDB sees it: planted truth, no JSON ---------------------
+# Rejection codes, domain names and statuses.
 
 SQL_FILES = f"""
 containers AS (
@@ -299,7 +298,7 @@ ORDER_VERSION = {
     "user_id": "'c' || o_custkey",
     "event_ts": "o_orderdate + v * (o_orderkey % 2) * INTERVAL '1' DAY",
     "amount": "CAST(CAST(o_totalprice AS DECIMAL(10,2)) + v AS DECIMAL(10,2))",
-    "currency": "CASE o_orderstatus WHEN 'O' THEN 'USD' WHEN 'F' THEN 'EUR' ELSE 'INR' END",
+    "currency": "CASE o_orderstatus WHEN 'O' THEN 'USD' WHEN 'F' THEN 'EUR' ELSE 'NOK' END",
     "status": "CASE v WHEN 0 THEN 'order_created' ELSE 'order_paid' END",
 }
 
@@ -318,8 +317,8 @@ USER = {
     "event_id": "'e' || event_id",
     "user_id": "'u' || user_id",
     "email": "'u' || user_id || '@' || event_type || '.test'",
-    "country": "CASE event_id % 4 WHEN 0 THEN 'IN' WHEN 1 THEN 'US' WHEN 2 THEN 'JP' ELSE 'DE' END",
-    "device": "CASE event_id % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'android' ELSE 'web' END",
+    "country": "CASE event_id % 4 WHEN 0 THEN 'NO' WHEN 1 THEN 'PT' WHEN 2 THEN 'KE' ELSE 'CL' END",
+    "device": "CASE event_id % 3 WHEN 0 THEN 'kiosk' WHEN 1 THEN 'tablet' ELSE 'phone' END",
     "event_ts": "ts",
 }
 
@@ -341,38 +340,29 @@ def _silver_shape(df: DataFrame, exprs: dict[str, str], domain: str) -> DataFram
     )
 
 
-def _at(exprs: dict[str, str], unit: str) -> dict[str, str]:
-    """Event times cut to ``unit``, so that tables get one partition per unit."""
-    return {**exprs, "event_ts": f"date_trunc('{unit}', {exprs['event_ts']})"}
-
-
-def order_events(spark: SparkSession, sf_dir: str, unit: str = "day") -> DataFrame:
+def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One to three versions per order, some at the same time."""
     versions = load(spark, sf_dir, "orders").selectExpr(
         "*", "explode(sequence(0L, o_orderkey % 3)) AS v"
     )
-    return _silver_shape(versions, _at(ORDER_VERSION, unit), "order_events")
+    return _silver_shape(versions, ORDER_VERSION, "order_events")
 
 
-def payment_events(spark: SparkSession, sf_dir: str, unit: str = "day") -> DataFrame:
+def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per line."""
-    return _silver_shape(load(spark, sf_dir, "lineitem"), _at(PAYMENT, unit), "payment_events")
+    return _silver_shape(load(spark, sf_dir, "lineitem"), PAYMENT, "payment_events")
 
 
-def user_events(spark: SparkSession, sf_dir: str, unit: str = "microsecond") -> DataFrame:
+def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One user event per event."""
-    return _silver_shape(load(spark, sf_dir, "events"), _at(USER, unit), "user_events")
+    return _silver_shape(load(spark, sf_dir, "events"), USER, "user_events")
 
 
-def sql_silver(unit: str = "day") -> str:
-    return f"""
+SQL_SILVER = f"""
 order_events AS (
-  SELECT {_columns(_at(ORDER_VERSION, unit))}
+  SELECT {_columns(ORDER_VERSION)}
   FROM (SELECT *, unnest(range(o_orderkey % 3 + 1)) AS v FROM orders)),
 payment_events AS (
-  SELECT {_columns(_at(PAYMENT, unit))} FROM lineitem),
+  SELECT {_columns(PAYMENT)} FROM lineitem),
 user_events AS (
   SELECT {_columns(USER)} FROM events)"""
-
-
-SQL_SILVER = sql_silver()

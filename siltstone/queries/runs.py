@@ -10,12 +10,13 @@ from siltstone.operators import ledger as L
 from siltstone.operators import validation as V
 from siltstone.operators.columns import union_by_name
 from siltstone.operators.layout import cluster_table
+from siltstone.operators.merge import append, fresh
 from siltstone.plans.intake import run_intake
 from siltstone.plans.silver import run_pending, run_silver_batch
 from siltstone.queries import feeds
 from siltstone.queries.checks import ALL_FIELDS, METRICS_SQL, silver_sql
 from siltstone.queries.registry import query
-from siltstone.schemas import CONTRACT, DOMAINS, Lake, create_tables
+from siltstone.schemas import CLUSTER_BY, CONTRACT, DOMAINS, PARTITION, SILVER, Lake, create_tables
 from siltstone.session import scratch_path
 from siltstone.sources.files import read_texts, stream_texts
 from siltstone.streaming.silver import start_silver_stream
@@ -168,3 +169,58 @@ def cluster_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders.write.format("parquet").saveAsTable(table)
     cluster_table(spark, table, ["o_custkey", "o_orderpriority"], files=8)
     return spark.table(table)
+
+
+@query("cluster_partitioned", f"WITH {feeds.SQL_SILVER} SELECT event_id, order_id, amount, event_date FROM "
+       "(SELECT *, CAST(event_ts AS DATE) AS event_date FROM order_events)")
+def cluster_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned table clustered as a whole and again in part holds the same rows."""
+    lake = _new_lake(spark)
+    table = lake.silver("order_events")
+    rows = feeds.order_events(spark, sf_dir).select(*SILVER["order_events"])
+    append(rows, table, PARTITION["order_events"])
+    columns = list(CLUSTER_BY["order_events"])
+    cluster_table(spark, table, columns, 16, "event_date")
+    cluster_table(spark, table, columns, 4, "event_date", "event_date >= DATE '2000-01-01'")
+    return spark.table(table).select("event_id", "order_id", "amount", "event_date")
+
+
+@query(
+    "intake_duplicates",
+    f"""WITH {feeds.SQL_JUDGED}, {METRICS_SQL}, {feeds.SQL_DAMAGE}
+    SELECT d.etag, d.route IN ('rejected', 'unrouted') AS turned_down, CAST(1 AS BIGINT) AS stored,
+      CAST(1 AS BIGINT) AS ledger_rows_per_state,
+      CASE WHEN d.route NOT IN ('rejected', 'unrouted') THEN m.total_events END AS total_events,
+      CASE WHEN d.route NOT IN ('rejected', 'unrouted') THEN m.rejected_events END AS rejected_events
+    FROM damaged d JOIN file_metrics m ON d.etag = m.etag""",
+)
+def intake_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file notified twice in one batch is stored, counted and recorded once."""
+    lake = _new_lake(spark)
+    texts = feeds.damaged_documents(spark, sf_dir).drop("eid")
+    run_intake(spark, texts.union(texts), lake, feeds.AS_OF)
+    run_pending(spark, "run-1", lake, feeds.AS_OF, limit=None, on_unexpected="reject")
+    turned_down = F.first("route").isin("rejected", "unrouted").alias("turned_down")
+    stored = fresh(spark, lake.routed).groupBy("etag").agg(turned_down, F.count("*").alias("stored"))
+    states = fresh(spark, lake.ledger).groupBy("etag", "status").agg(F.count("*").alias("n"))
+    states = states.groupBy("etag").agg(F.max("n").alias("ledger_rows_per_state"))
+    metrics = fresh(spark, lake.metrics).select("etag", "total_events", "rejected_events")
+    return stored.join(states, "etag", "full").join(metrics, "etag", "left")
+
+
+@query("silver_replay", f"""WITH {feeds.SQL_JUDGED}, {METRICS_SQL}
+    SELECT etag, CAST(1 AS BIGINT) AS metric_rows,
+      CAST(sum(n) AS BIGINT) AS rejection_rows
+    FROM (SELECT etag, 0 AS n FROM file_metrics
+          UNION ALL SELECT etag, 1 FROM judged WHERE reason IS NOT NULL) GROUP BY etag""")
+def silver_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics and rejections after a batch is loaded twice are those of one load."""
+    lake = _new_lake(spark)
+    texts = feeds.documents(spark, sf_dir)
+    for _ in range(2):
+        run_silver_batch(spark, texts, lake, feeds.AS_OF, on_unexpected="reject", once_per_file=True)
+    metrics = fresh(spark, lake.metrics).groupBy("etag").agg(F.count("*").alias("metric_rows"))
+    rejected = fresh(spark, lake.rejected).groupBy("etag").agg(F.count("*").alias("n"))
+    return metrics.join(rejected, "etag", "full").select(
+        "etag", "metric_rows", F.coalesce("n", F.lit(0)).cast("bigint").alias("rejection_rows")
+    )

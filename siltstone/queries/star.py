@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators import star
+from siltstone.operators.columns import union_by_name
 from siltstone.operators.merge import append, insert_new
 from siltstone.operators.rank import first_by
-from siltstone.plans.gold import changed_orders, changed_users, refresh_gold, update_gold
+from siltstone.plans.gold import changed_orders, changed_users, refresh_gold, touched_days, update_gold
 from siltstone.queries import feeds
 from siltstone.queries.registry import query
 from siltstone.schemas import PARTITION, SILVER, Lake, create_tables
@@ -16,35 +17,33 @@ from siltstone.session import scratch_path
 
 SINCE = "2000-01-01"
 
-
-def _latest_order(unit: str = "day") -> str:
-    return f"""WITH {feeds.sql_silver(unit)},
-latest AS (
-  SELECT *, row_number() OVER (PARTITION BY order_id
-      ORDER BY event_ts DESC NULLS LAST, event_id DESC) AS rn FROM order_events),
-summary AS (
-  SELECT order_id, max(CASE WHEN status = 'payment_success' THEN 1 ELSE 0 END) AS paid
-  FROM payment_events GROUP BY order_id)"""
-
-
-def _fact_orders(unit: str = "day") -> str:
-    return f"""{_latest_order(unit)}
-SELECT o.order_id, o.user_id, o.amount AS order_amount, o.currency, o.status AS order_status,
-  coalesce(s.paid = 1, FALSE) AS is_paid_flag, CAST(o.event_ts AS DATE) AS order_date
-FROM latest o LEFT JOIN summary s ON o.order_id = s.order_id WHERE o.rn = 1"""
+# Fixed value in the SQL: the payment status that counts as paid.
+_PAID = f"""WITH {feeds.SQL_SILVER},
+paid AS (SELECT order_id, coalesce(bool_or(status = 'payment_success'), FALSE) AS is_paid
+         FROM payment_events GROUP BY order_id)"""
+
+_FACT_ORDERS = f"""{_PAID},
+newest AS (
+  SELECT order_id, arg_max(
+    {{'user_id': user_id, 'amount': amount, 'currency': currency, 'status': status, 'event_ts': event_ts}},
+    {{'at': event_ts, 'id': event_id}}) AS e
+  FROM order_events GROUP BY order_id)
+SELECT order_id, e.user_id, e.amount AS order_amount, e.currency, e.status AS order_status,
+  order_id IN (SELECT order_id FROM paid WHERE is_paid) AS is_paid_flag,
+  CAST(e.event_ts AS DATE) AS order_date
+FROM newest"""
 
 _DIM_USERS = f"""WITH {feeds.SQL_SILVER}
-SELECT user_id, email, country FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id
-      ORDER BY event_ts DESC NULLS LAST, event_id DESC) AS rn FROM user_events)
-WHERE rn = 1"""
+SELECT user_id, u.email, u.country FROM (
+  SELECT user_id, arg_max({{'email': email, 'country': country}}, {{'at': event_ts, 'id': event_id}}) AS u
+  FROM user_events GROUP BY user_id)"""
 
 _FACT_PAYMENTS = f"""WITH {feeds.SQL_SILVER}
 SELECT payment_id, order_id, amount AS payment_amount, currency, status AS payment_status,
   CAST(event_ts AS DATE) AS payment_date FROM payment_events"""
 
 
-@query("fact_orders", _fact_orders())
+@query("fact_orders", _FACT_ORDERS)
 def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     payments = star.fact_payments(feeds.payment_events(spark, sf_dir))
     return star.fact_orders(feeds.order_events(spark, sf_dir), payments)
@@ -62,7 +61,7 @@ def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "payment_summary",
-    f"{_latest_order()} SELECT order_id, paid = 1 AS is_paid FROM summary",
+    f"{_PAID} SELECT order_id, is_paid FROM paid",
 )
 def payment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.payment_summary(star.fact_payments(feeds.payment_events(spark, sf_dir)))
@@ -70,7 +69,9 @@ def payment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "latest_order_row",
-    f"{_latest_order()} SELECT order_id, event_id, status FROM latest WHERE rn = 1",
+    f"""WITH {feeds.SQL_SILVER} SELECT order_id, e.event_id, e.status FROM (
+      SELECT order_id, arg_max({{'event_id': event_id, 'status': status}}, {{'at': event_ts, 'id': event_id}}) AS e
+      FROM order_events GROUP BY order_id)""",
 )
 def latest_order_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.operators.rank import latest_by
@@ -118,51 +119,90 @@ def insert_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- whole gold runs -------------------------------------------------------------
 
 
-def _loaded_lake(spark: SparkSession, sf_dir: str, until: str | None = None) -> Lake:
+def _tables_sql(orders: str, payments: str, users: str) -> str:
+    """The rows of all three gold tables, under their table's name."""
+    parts = {"fact_orders": orders, "fact_payments": payments, "dim_users": users}
+    return " UNION ALL BY NAME ".join(f"(SELECT '{t}' AS gold_table, * FROM ({sql}))" for t, sql in parts.items())
+
+
+_GOLD = _tables_sql(_FACT_ORDERS, _FACT_PAYMENTS, _DIM_USERS)
+
+
+def _gold_rows(spark: SparkSession, lake: Lake) -> DataFrame:
+    tables = [
+        spark.table(lake.gold(t)).withColumn("gold_table", F.lit(t))
+        for t in ("fact_orders", "fact_payments", "dim_users")
+    ]
+    return union_by_name(tables, fill_missing=True)
+
+
+def _new_lake(spark: SparkSession) -> Lake:
     path = scratch_path(spark, "lake")
     lake = Lake(prefix=f"q{path[-12:]}_")
     create_tables(spark, lake, location=path)
-    _load(spark, sf_dir, lake, "TRUE" if until is None else f"event_date < DATE '{until}'")
     return lake
 
 
-def _load(spark: SparkSession, sf_dir: str, lake: Lake, keep: str) -> None:
+def _load(spark: SparkSession, sf_dir: str, lake: Lake, keep: str = "TRUE") -> list:
+    """Append the silver rows that ``keep`` picks; returns the days they touch."""
+    loaded = []
     for domain in SILVER:
-        unit = "day" if domain == "user_events" else "quarter"
-        rows = getattr(feeds, domain)(spark, sf_dir, unit).filter(keep)
-        append(rows.select(*SILVER[domain]), lake.silver(domain), PARTITION[domain])
+        rows = getattr(feeds, domain)(spark, sf_dir).filter(keep).select(*SILVER[domain])
+        append(rows, lake.silver(domain), PARTITION[domain])
+        loaded.append(rows)
+    return touched_days(*loaded)
 
 
-@query("gold_refresh", _fact_orders("quarter"))
+@query("gold_refresh", _GOLD)
 def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver tables loaded, gold rebuilt twice: the overwrite replaces all rows."""
-    lake = _loaded_lake(spark, sf_dir)
+    lake = _new_lake(spark)
+    _load(spark, sf_dir, lake)
     refresh_gold(spark, lake)
     refresh_gold(spark, lake)
-    return spark.table(lake.gold("fact_orders"))
+    return _gold_rows(spark, lake)
 
 
-@query("gold_update", _fact_orders("quarter"))
+@query("gold_update", _GOLD)
 def gold_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold built up to a date, then brought forward from the newer dates only."""
-    lake = _loaded_lake(spark, sf_dir, until=SINCE)
+    """Gold built up to a date, then brought forward by the newer dates."""
+    lake = _new_lake(spark)
+    _load(spark, sf_dir, lake, f"event_date < DATE '{SINCE}'")
     refresh_gold(spark, lake)
-    _load(spark, sf_dir, lake, f"event_date >= DATE '{SINCE}'")
-    update_gold(spark, SINCE, lake)
-    return spark.table(lake.gold("fact_orders"))
+    update_gold(spark, _load(spark, sf_dir, lake, f"event_date >= DATE '{SINCE}'"), lake)
+    return _gold_rows(spark, lake)
 
 
-@query("changed_orders", _fact_orders())
-def orders_brought_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("gold_update_late", _GOLD)
+def gold_update_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold brought forward by events that come late, of any date."""
+    lake = _new_lake(spark)
+    late = "pmod(xxhash64(event_id), 3) = 0"
+    _load(spark, sf_dir, lake, f"NOT {late}")
+    refresh_gold(spark, lake)
+    update_gold(spark, _load(spark, sf_dir, lake, late), lake)
+    return _gold_rows(spark, lake)
+
+
+def _brought_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, payments = feeds.order_events(spark, sf_dir), feeds.payment_events(spark, sf_dir)
     old = f"event_date < DATE '{SINCE}'"
     before = star.fact_orders(orders.filter(old), star.fact_payments(payments.filter(old)))
-    return changed_orders(orders, payments, before, SINCE)
+    recent = [f.filter(f"NOT ({old})") for f in (orders, payments)]
+    changed = changed_orders(orders, payments, before, star.fact_payments(payments), touched_days(*recent))
+    kept = before.join(changed.select("order_id"), "order_id", "left_anti")
+    return kept.unionByName(changed.drop("old_date"))
+
+
+@query("changed_orders", _FACT_ORDERS)
+def orders_brought_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _brought_forward(spark, sf_dir)
 
 
 @query("changed_users", _DIM_USERS)
 def users_brought_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = feeds.user_events(spark, sf_dir)
-    since = "2024-01-10"
-    before = star.dim_users(users.filter(F.col("event_date") < F.lit(since).cast("date")))
-    return changed_users(users, before, since)
+    old = "event_date < DATE '2024-01-10'"
+    before = star.latest_users(users.filter(old))
+    after = changed_users(users, before, touched_days(users.filter(f"NOT ({old})")))
+    return after.select("user_id", "email", "country")

@@ -100,6 +100,15 @@ PARTITION = {
     "fact_payments": "payment_date",
 }
 
+# Latest user event per user: what ``dim_users`` is taken from.
+USER_LATEST = {
+    "user_id": "STRING",
+    "email": "STRING",
+    "country": "STRING",
+    "event_ts": "TIMESTAMP",
+    "event_id": "STRING",
+}
+
 # Columns each table is clustered by on a rewrite.
 CLUSTER_BY = {
     "user_events": ("event_id",),
@@ -142,6 +151,10 @@ class Lake:
     def metrics(self) -> str:
         return f"{self.schema('control')}.file_metrics"
 
+    @property
+    def user_latest(self) -> str:
+        return f"{self.schema('control')}.user_latest"
+
     @property
     def routed(self) -> str:
         return f"{self.schema('bronze')}.routed_files"
@@ -154,6 +167,7 @@ class Lake:
             self.routed: ROUTED,
             **{self.gold(table): columns for table, columns in GOLD.items()},
             self.ledger: LEDGER,
+            self.user_latest: USER_LATEST,
             self.metrics: FILE_METRICS,
         }
 

@@ -61,15 +61,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def widened(df: DataFrame) -> DataFrame:
-    """Spread a scan of fewer splits than cores, for heavy work per row.
-
-    A scan that already fills the cluster is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def instant(as_of: datetime | str | None = None) -> Column:
     """``as_of`` as a TIMESTAMP literal; the clock is read once, on the driver."""
     if as_of is None:

@@ -74,7 +74,7 @@ CASES = {
     "order without order": (container([event(payload=payload(order_id=None))]), "MISSING_ORDER_ID"),
     "negative amount": (container([event(payload=payload(amount=-1))]), "INVALID AMOUNT"),
     "just negative": (container([event(payload=payload(amount=-0.001))]), "INVALID AMOUNT"),
-    "text amount": (container([event(payload=payload(amount="invalid_amount"))]), "INVALID AMOUNT"),
+    "text amount": (container([event(payload=payload(amount="ten"))]), "INVALID AMOUNT"),
     "no amount": (container([event(payload=payload(amount=DROP))]), "INVALID AMOUNT"),
     "large amount": (container([event(payload=payload(amount=123456789))]), "INVALID AMOUNT"),
     "true amount": (container([event(payload=payload(amount=True))]), "INVALID AMOUNT"),

@@ -1,8 +1,9 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from siltstone.operators.layout import bucket_bounds, bucket_of, cluster_table, clustered, interleaved
+from siltstone.operators.layout import bucket_bounds, bucket_of, cluster_table, clustered, interleaved, maintain
 from siltstone.schemas import PARTITION, SILVER
 
 
@@ -50,7 +51,8 @@ def test_table_rewrite(spark, lake):
     from siltstone.operators.merge import append
     from siltstone.queries import feeds
 
-    rows = feeds.order_events(spark, "/root/testdata/sf0.001", "year").select(*SILVER["order_events"])
+    rows = feeds.order_events(spark, "/root/testdata/sf0.001").filter("event_date < DATE '1995-06-01'")
+    rows = rows.select(*SILVER["order_events"])
     table = lake.silver("order_events")
     append(rows, table, PARTITION["order_events"])
     columns = spark.table(table).columns
@@ -58,9 +60,53 @@ def test_table_rewrite(spark, lake):
     cluster_table(spark, table, ["event_id", "order_id"], files=4, partition="event_date")
     cluster_table(
         spark, table, ["event_id"], files=2, partition="event_date",
-        where="event_date >= DATE '1999-01-01'",
+        where="event_date >= DATE '1995-04-01'",
     )
     assert spark.table(table).columns == columns
     assert sorted(map(tuple, spark.table(table).collect()), key=repr) == before
     parts = spark.sql(f"SHOW PARTITIONS {table}").count()
     assert parts == rows.select("event_date").distinct().count()
+
+
+def test_predicate_beyond_the_partition_is_refused(spark, lake):
+    from siltstone.operators.merge import append
+    from siltstone.queries import feeds
+
+    table = lake.silver("order_events")
+    rows = feeds.order_events(spark, "/root/testdata/sf0.001").filter("event_date < DATE '1995-03-01'")
+    append(rows.select(*SILVER["order_events"]), table, PARTITION["order_events"])
+    before = spark.table(table).count()
+    with pytest.raises(ValueError, match="event_date alone"):
+        cluster_table(spark, table, ["event_id"], 2, "event_date", "amount > 100")
+    assert spark.table(table).count() == before > 0
+
+
+def test_sample_does_not_grow_with_tasks(spark):
+    df = spark.range(0, 400_000, 1, numPartitions=200).withColumnRenamed("id", "k")
+    bounds = bucket_bounds(df, ["k"], 2, sample_rows=500)["k"]
+    assert len(bounds) == 3 and all(abs(b - 100_000 * (i + 1)) < 30_000 for i, b in enumerate(bounds))
+
+
+def test_broken_swap_is_undone(spark, lake):
+    table = f"{lake.schema('gold')}.swapped"
+    spark.range(50).withColumnRenamed("id", "k").write.format("parquet").saveAsTable(table)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+    cluster_table(spark, table, ["k"], files=2)
+    assert spark.table(table).count() == 50
+    assert not spark.catalog.tableExists(f"{table}__old")
+
+
+def test_maintain_keeps_all_rows(spark, lake):
+    from siltstone.operators.merge import append
+    from siltstone.plans.gold import refresh_gold
+    from siltstone.queries import feeds
+
+    keep = "event_date < DATE '1995-02-01'"
+    for domain in SILVER:
+        rows = getattr(feeds, domain)(spark, "/root/testdata/sf0.001").filter(keep)
+        append(rows.select(*SILVER[domain]), lake.silver(domain), PARTITION[domain])
+    refresh_gold(spark, lake)
+    tables = [lake.silver(d) for d in SILVER] + [lake.gold(t) for t in ("fact_orders", "fact_payments")]
+    before = {t: sorted(map(tuple, spark.table(t).collect()), key=repr) for t in tables}
+    maintain(spark, lake, files=4)
+    assert {t: sorted(map(tuple, spark.table(t).collect()), key=repr) for t in tables} == before

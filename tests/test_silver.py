@@ -5,7 +5,10 @@ import pytest
 from conftest import AS_OF, container, event, silver_rows, table_rows, texts
 from siltstone.operators import ledger as L
 from siltstone.plans.intake import run_intake
-from siltstone.plans.silver import run_pending, run_silver_batch
+from siltstone.operators.validation import accepted, check_files
+from siltstone.plans.silver import drain_pending, run_pending, run_silver_batch
+from siltstone.schemas import Lake, create_tables
+from siltstone.session import instant, scratch_path
 
 DOCUMENTS = [
     container([event(1), event(2, source=None), event(3)]),
@@ -38,8 +41,59 @@ def test_batch_and_rerun(spark, lake, hold):
     run_silver_batch(spark, batch, lake, AS_OF, hold=hold)
     assert ids(spark, lake) == ["e1", "e3", "e4"]
     assert len(table_rows(spark, lake.rejected)) == 4  # audit rows are appended each time
+    metric_rows = len(table_rows(spark, lake.metrics))
     run_silver_batch(spark, batch, lake, AS_OF, hold=hold, once_per_file=True)
     assert len(table_rows(spark, lake.rejected)) == 4
+    assert len(table_rows(spark, lake.metrics)) == metric_rows
+
+
+def test_rejections_lost_in_a_commit_are_added(spark, lake):
+    from siltstone.operators.merge import append
+
+    batch = texts(spark, [container([event(1, source=None), event(1, source=None), event(3, source=None)])])
+    whole = Lake(prefix=lake.prefix + "w_")
+    create_tables(spark, whole, location=scratch_path(spark, "lake"))
+    run_silver_batch(spark, batch, whole, AS_OF)
+    stored = spark.table(whole.rejected)
+    part = stored.filter("event_id = 'e1'").limit(1)
+    append(part, lake.rejected, "rejection_date")
+    for _ in range(2):
+        run_silver_batch(spark, batch, lake, AS_OF, once_per_file=True)
+        assert sorted(r.event_id for r in table_rows(spark, lake.rejected)) == ["e1", "e1", "e3"]
+
+
+def test_delivered_twice_counts_once(spark, lake):
+    files = raw_files(spark, [("order_1.json", container([event(1), event(2, source=None)]))] * 2)
+    assert run_intake(spark, files, lake, AS_OF).count() == 1
+    assert len(table_rows(spark, lake.routed)) == 1
+    metrics = run_pending(spark, "run-1", lake, AS_OF).collect()
+    assert [m.total_events for m in metrics] == [2]
+    assert len(table_rows(spark, lake.rejected)) == 1
+
+
+def test_days_do_not_depend_on_the_sessions_zone(spark, lake):
+    batch = texts(spark, [
+        container([event(1, event_ts="2024-01-01T02:00:00Z", ingest_ts="2024-01-01T02:00:01Z"),
+                   event(2, event_ts="2024-01-01T23:30:00", ingest_ts="2024-01-01T23:30:01"),
+                   event(3, event_ts="2024-01-02", ingest_ts="2024-01-02 00:00:01+00:00")]),
+    ])
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            rows = accepted(check_files(batch, instant("2024-01-02T00:00:02Z")), "order_events").collect()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+        days = sorted((r.event_id, str(r.event_date)) for r in rows)
+        assert days == [("e1", "2024-01-01"), ("e2", "2024-01-01"), ("e3", "2024-01-02")], zone
+
+
+def test_drain(spark, lake):
+    files = [(f"order_{i:02}.json", container([event(i)], n=i)) for i in range(7)]
+    run_intake(spark, raw_files(spark, files), lake, AS_OF)
+    assert drain_pending(spark, "run", lake, limit=3, as_of=AS_OF) == 3
+    assert len(ids(spark, lake)) == 7
+    assert drain_pending(spark, "run", lake, limit=3, as_of=AS_OF) == 0
 
 
 def test_later_batch_adds_only_new_events(spark, lake):
