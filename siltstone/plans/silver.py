@@ -131,7 +131,8 @@ def run_pending(
     start = batch.withColumn("status", F.lit(L.IN_SILVER))
     append(cut_lineage(L.transition(log, start, L.VALIDATED, now)), lake.ledger)
     try:
-        texts = fresh(spark, lake.routed).join(batch, "etag", "left_semi")
+        routed = fresh(spark, lake.routed).filter(F.col("route").isin(*DOMAINS))
+        texts = routed.join(batch, "etag", "left_semi")
         metrics = run_silver_batch(
             spark, texts, lake, as_of, on_unexpected, stable_dates=stable_dates
         )

@@ -71,7 +71,7 @@ def test_update_reads_touched_days_only(spark, lake):
     )
     text = plan(changed)
     scans = re.findall(r"FileScan parquet \S*silver\.\S*\[.*?PartitionFilters: \[(.*?)\]", text)
-    assert len(scans) == 2 and all("event_date" in s for s in scans)
+    assert len(scans) >= 2 and all("event_date" in s for s in scans)
 
 
 def test_columns_are_pruned_at_the_scan(spark):
