@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark import StorageLevel
@@ -9,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.operators import ledger as L
+from siltstone.operators.columns import require_columns
 from siltstone.operators.merge import append, fresh, unseen
 from siltstone.operators.metrics import file_metrics
 from siltstone.operators.rank import first_by
 from siltstone.operators.validation import accepted, check_files, rejections
 from siltstone.schemas import DOMAINS, PARTITION, Lake
 from siltstone.session import cut_lineage, instant, scratch_path
+from siltstone.sources.files import read_containers
 
 
 def one_per_event(events: DataFrame) -> DataFrame:
@@ -111,6 +114,18 @@ def run_silver_batch(
             judged.unpersist()
 
 
+def run_silver_files(
+    spark: SparkSession, files: Sequence[dict] | dict, lake: Lake = Lake(), **options
+) -> DataFrame:
+    """``run_silver_batch`` of listed files, ``{file_path, etag}`` each; one needs no list.
+
+    A listed file that cannot be read, or a file without an etag, fails the job.
+    """
+    texts = read_containers(spark, files)
+    require_columns(texts, ["file_path", "etag", "value"])
+    return run_silver_batch(spark, texts.select("etag", "value"), lake, **options)
+
+
 def run_pending(
     spark: SparkSession,
     run_id: str,

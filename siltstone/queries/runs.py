@@ -12,10 +12,10 @@ from siltstone.operators.columns import union_by_name
 from siltstone.operators.layout import cluster_table
 from siltstone.operators.merge import append, fresh
 from siltstone.plans.intake import run_intake
-from siltstone.plans.silver import run_pending, run_silver_batch
+from siltstone.plans.silver import run_pending, run_silver_batch, run_silver_files
 from siltstone.queries import feeds
 from siltstone.queries.checks import ALL_FIELDS, METRICS_SQL, silver_sql
-from siltstone.queries.registry import query
+from siltstone.queries.registry import ORACLE, query
 from siltstone.schemas import CLUSTER_BY, CONTRACT, DOMAINS, PARTITION, SILVER, Lake, create_tables
 from siltstone.session import scratch_path
 from siltstone.sources.files import read_texts, stream_texts
@@ -224,3 +224,25 @@ def silver_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.join(rejected, "etag", "full").select(
         "etag", "metric_rows", F.coalesce("n", F.lit(0)).cast("bigint").alias("rejection_rows")
     )
+
+
+@query("silver_from_file_list", _SILVER_SQL)
+def silver_from_file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written one per file, then loaded from a list of paths and etags."""
+    folder = scratch_path(spark, "files")
+    documents = feeds.documents(spark, sf_dir).select("value")
+    documents.write.option("maxRecordsPerFile", 1).text(folder)
+    listed = read_texts(spark, folder).select("file_path", content_tag(F.col("value")).alias("etag"))
+    files = [r.asDict() for r in listed.collect()]
+    lake = _new_lake(spark)
+    run_silver_files(spark, files, lake, as_of=feeds.AS_OF, on_unexpected="reject")
+    return _all_silver(spark, lake)
+
+
+@query("rejected_events_table", ORACLE["rejection_records"])
+def rejected_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejection table after one batch."""
+    lake = _new_lake(spark)
+    run_silver_batch(spark, feeds.documents(spark, sf_dir), lake, feeds.AS_OF, on_unexpected="reject")
+    rows = fresh(spark, lake.rejected)
+    return feeds.plain(rows.withColumn("has_raw", F.col("raw_event_json").isNotNull()).drop("raw_event_json"))

@@ -110,5 +110,6 @@ def test_no_query_crosses_or_pulls_rows_together(spark, name):
 _RUNS = {
     "silver_batch", "silver_batch_staged", "silver_stream", "file_lifecycle", "gold_refresh",
     "gold_update", "gold_update_late", "cluster_rewrite", "cluster_partitioned", "routed_sink",
-    "container_roundtrip", "intake_duplicates", "silver_replay",
+    "container_roundtrip", "intake_duplicates", "silver_replay", "silver_from_file_list",
+    "rejected_events_table",
 }
