@@ -91,22 +91,19 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_silver(spark, lake)
 
 
-@query(
-    "container_roundtrip",
-    "SELECT 'e' || event_id AS event_id, event_type, 'u' || user_id AS user_id, "
-    "ts AS event_ts FROM events",
-)
-def container_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events packed into files of at most 500, one document each, and read back.
+def _packs(spark: SparkSession, sf_dir: str, event_type: str) -> str:
+    """Folder of container files with at most 500 events each, one document per file.
 
     The pack number counts rows inside a scan task, so no pack can grow with
     the data or with a hot key.
     """
+    time = F.expr("date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") || '+00:00'")
     event = F.struct(
         F.expr("'e' || event_id").alias("event_id"),
-        "event_type",
+        F.expr(event_type).alias("event_type"),
         F.lit("app").alias("source"),
-        F.expr("date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") || '+00:00'").alias("event_ts"),
+        time.alias("event_ts"),
+        time.alias("ingest_ts"),
         F.struct(F.expr("'u' || user_id").alias("user_id")).alias("payload"),
     )
     packed = feeds.load(spark, sf_dir, "events").select(
@@ -126,6 +123,17 @@ def container_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = scratch_path(spark, "containers")
     documents.select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    return folder
+
+
+@query(
+    "container_roundtrip",
+    "SELECT 'e' || event_id AS event_id, event_type, 'u' || user_id AS user_id, "
+    "ts AS event_ts FROM events",
+)
+def container_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events packed into files of at most 500, one document each, and read back."""
+    folder = _packs(spark, sf_dir, "event_type")
     texts = read_texts(spark, folder).withColumn("etag", content_tag(F.col("value")))
     events = V.read_payload(V.open_events(V.judge_containers(V.parse_containers(texts))))
     return feeds.plain(
@@ -226,17 +234,20 @@ def silver_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("silver_from_file_list", _SILVER_SQL)
+@query(
+    "silver_from_file_list",
+    "SELECT 'e' || event_id AS event_id, 'u' || user_id AS user_id, ts AS event_ts, "
+    "CAST(ts AS DATE) AS event_date FROM events",
+)
 def silver_from_file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written one per file, then loaded from a list of paths and etags."""
-    folder = scratch_path(spark, "files")
-    documents = feeds.documents(spark, sf_dir).select("value")
-    documents.write.option("maxRecordsPerFile", 1).text(folder)
-    listed = read_texts(spark, folder).select("file_path", content_tag(F.col("value")).alias("etag"))
-    files = [r.asDict() for r in listed.collect()]
+    """Container files of at most 500 events, loaded from a list of paths and etags."""
+    texts = read_texts(spark, _packs(spark, sf_dir, "'user_events'"))
+    listed = texts.select("file_path", content_tag(F.col("value")).alias("etag"))
     lake = _new_lake(spark)
-    run_silver_files(spark, files, lake, as_of=feeds.AS_OF, on_unexpected="reject")
-    return _all_silver(spark, lake)
+    files = [r.asDict() for r in listed.collect()]
+    run_silver_files(spark, files, lake, as_of=feeds.AS_OF)
+    rows = fresh(spark, lake.silver("user_events"))
+    return feeds.plain(rows.select("event_id", "user_id", "event_ts", "event_date"))
 
 
 @query("rejected_events_table", ORACLE["rejection_records"])
