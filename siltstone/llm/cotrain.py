@@ -27,6 +27,7 @@ from siltstone.llm.fitting import best_threshold, bounded_sample, calibration, l
 BUCKETS = 1 << 15
 SOURCES = 32
 LANGS = 16
+_WIDTH = SOURCES + LANGS + 1  # the metadata that is not layout
 _SIGNS = np.zeros(256, bool)
 _SIGNS[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 
@@ -69,7 +70,7 @@ def _slot(name: str | None, size: int) -> int:
 
 def metadata(texts: list[bytes], sources: list, langs: list, lengths: list) -> np.ndarray:
     """The metadata view's matrix; a null length counts as zero."""
-    head = np.zeros((len(texts), SOURCES + LANGS + 1))
+    head = np.zeros((len(texts), _WIDTH))
     for i, (source, lang, length) in enumerate(zip(sources, langs, lengths)):
         head[i, _slot(source, SOURCES)] = 1
         head[i, SOURCES + _slot(lang, LANGS)] = 1
@@ -190,16 +191,45 @@ def co_train(labelled, y: np.ndarray, unlabelled, rounds: int = 4, per_round: fl
     return judge
 
 
-def _views(rows: list) -> tuple[list[np.ndarray], np.ndarray]:
-    texts = [(r.text or "").encode() for r in rows]
-    ids: list[np.ndarray] = []
-    for a, b in blocks(texts):
-        flat, first = content(texts[a:b])
-        ids += np.split(flat, first[1:-1])
-    if not texts:
-        return [], np.zeros((0, SOURCES + LANGS + 1 + layout([b""]).shape[1]))
-    columns = ([r.source for r in rows], [r.lang for r in rows], [r.length for r in rows])
-    return ids, metadata(texts, *columns)
+def _views(rows: DataFrame) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+    """Content buckets, metadata, labels and held marks of ``id, text, source, lang, length, label, held``.
+
+    Both views are made in the tasks that read the texts; the driver gets the buckets as
+    16-bit numbers and never a text. Rows are ordered by id and content.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, rest = texts_of(batch.column(1)), [batch.column(i).to_pylist() for i in (2, 3, 4)]
+            for a, b in blocks(texts):
+                flat, first = content(texts[a:b])
+                ids = np.split(flat.astype(np.uint16), first[1:-1])
+                x = metadata(texts[a:b], *(r[a:b] for r in rest))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a),
+                        pa.array([i.tobytes() for i in ids], pa.binary()),
+                        pa.array([v.tobytes() for v in x], pa.binary()),
+                        batch.column(5).slice(a, b - a),
+                        batch.column(6).slice(a, b - a),
+                    ],
+                    ["id", "ids", "x", "label", "held"],
+                )
+
+    kind = rows.schema["id"].dataType.simpleString()
+    made = rows.select("id", "text", "source", "lang", "length", "label", "held").mapInArrow(
+        run, f"id {kind}, ids binary, x binary, label double, held boolean"
+    )
+    got = sorted(made.collect(), key=lambda r: (r.id, r.ids))
+    if not got:
+        none = np.zeros(0)
+        return [], np.zeros((0, _WIDTH + layout([b""]).shape[1])), none, none.astype(bool)
+    return (
+        [np.frombuffer(r.ids, np.uint16) for r in got],
+        np.stack([np.frombuffer(r.x) for r in got]),
+        np.array([r.label for r in got], float),
+        np.array([r.held for r in got], bool),
+    )
 
 
 def fit(
@@ -230,21 +260,17 @@ def fit(
     )
     quarter = (F.pmod(F.xxhash64(F.lit(4), "id"), F.lit(4)) == 0).alias("held")
     chosen = bounded_sample(known, F.col(id_col), sample).withColumnRenamed(id_col, "id")
-    rows = texts.join(chosen, "id").select("*", quarter).collect()
-    rows.sort(key=lambda r: (r.id, r.text or ""))
+    label = F.col("label").cast("double").alias("label")
+    ids, x, y, held = _views(texts.join(chosen, "id").select(*texts.columns, label, quarter))
+    if not len(y) or y.min() == y.max():
+        return _constant(Judge(ContentModel(), MetadataModel()), float(y.mean()) if len(y) else 1.0)
     # the unlabelled are thinned by their ids before any text is looked at
     rest = texts.select("id").join(known.select(F.col(id_col).alias("id")), "id", "left_anti")
     rest = bounded_sample(rest, F.col("id"), unlabelled).distinct()
-    others = texts.join(rest, "id").collect()
-    others.sort(key=lambda r: (r.id, r.text or ""))
-    y = np.array([r.label for r in rows], float)
-    if not len(y) or y.min() == y.max():
-        judge = Judge(ContentModel(), MetadataModel())
-        return _constant(judge, float(y.mean()) if len(y) else 1.0)
-    held = np.array([r.held for r in rows], bool)
-    ids, x = _views(rows)
+    unmarked = (F.lit(0.0).alias("label"), F.lit(False).alias("held"))
+    free_ids, free_x, _, _ = _views(texts.join(rest, "id").select(*texts.columns, *unmarked))
     judge = co_train(
-        ([i for i, h in zip(ids, held) if not h], x[~held]), y[~held], _views(others), rounds
+        ([i for i, h in zip(ids, held) if not h], x[~held]), y[~held], (free_ids, free_x), rounds
     )
     one, two = judge.content.logits([i for i, h in zip(ids, held) if h]), judge.metadata.logits(x[held])
     truth = y[held]
@@ -258,7 +284,7 @@ def fit(
 
 
 def _constant(judge: Judge, share: float) -> Judge:
-    width = SOURCES + LANGS + 1 + layout([b""]).shape[1]
+    width = _WIDTH + layout([b""]).shape[1]
     judge.metadata.mean, judge.metadata.scale = np.zeros(width), np.ones(width)
     judge.metadata.weights = np.zeros(width + 1)
     judge.blend = (0.0, 0.0, 6.0 if share >= 0.5 else -6.0)

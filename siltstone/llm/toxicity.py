@@ -83,12 +83,14 @@ class Network:
             out[ends - back] = -np.inf
         return out
 
+    def logits_of(self, ids: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        pooled = np.maximum.reduceat(self.maps(self.embedded(ids), begin), begin, axis=0)
+        return np.maximum(pooled + self.bias, 0) @ self.weights + self.shift
+
     def logits(self, texts: list[bytes]) -> np.ndarray:
         out = np.empty(len(texts))
         for a, b in blocks(texts, 256 << 10):
-            ids, begin = features(texts[a:b])
-            pooled = np.maximum.reduceat(self.maps(self.embedded(ids), begin), begin, axis=0)
-            out[a:b] = np.maximum(pooled + self.bias, 0) @ self.weights + self.shift
+            out[a:b] = self.logits_of(*features(texts[a:b]))
         return out
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
@@ -121,13 +123,20 @@ class _Adam:
         value[at] -= self.rate * fix * m[at] / (np.sqrt(v[at]) + 1e-6)
 
 
-def train(texts: list[bytes], y: np.ndarray, epochs: int = 4, batch: int = 128, seed: int = 5) -> Network:
+def train(texts: list[bytes], y: np.ndarray, **options) -> Network:
     """Fit the network to labelled texts (1: toxic)."""
-    rng = np.random.default_rng(seed)
-    ids, begins = [], []
+    ids: list[np.ndarray] = []
     for a, b in blocks(texts):
         own, begin = features(texts[a:b])
         ids += np.split(own, begin[1:])
+    return train_on(ids, y, **options)
+
+
+def train_on(
+    ids: list[np.ndarray], y: np.ndarray, epochs: int = 4, batch: int = 128, seed: int = 5
+) -> Network:
+    """``train`` on texts given by their ``features``."""
+    rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.1, (BUCKETS + 1, SIZE)).astype(np.float32)
     table[:, 0] = _log_odds(ids, y)
     table[BUCKETS] = 0
@@ -217,23 +226,28 @@ def fit(
         F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang")
     )
     fifth = (F.pmod(F.xxhash64(F.lit(3), id_col), F.lit(5)) == 0).alias("held")
-    rows = texts.join(known, id_col).select("text", "lang", "label", fifth, F.col(id_col).alias("id"))
-    rows = sorted(rows.collect(), key=lambda r: (r.id, r.text))
+    rows = texts.join(known, id_col).select(
+        F.col(id_col).alias("id"), "text", "lang", F.col("label").cast("double").alias("label"), fifth
+    )
+    rows = sorted(_featured(rows).collect(), key=lambda r: (r.id, r.ids))
     y = np.array([r.label for r in rows], float)
-    text = [r.text.encode() for r in rows]
-    held = np.array([r.held for r in rows], bool)
     if not len(y) or y.min() == y.max():
         rate = float(y.mean()) if len(y) else 0.0
         net = train([b""], np.zeros(1), epochs=0)
         net.weights[:] = 0
         net.shift = float(np.log((rate + 1e-3) / (1 - rate + 1e-3)))
         return net
-    net = train([t for t, h in zip(text, held) if not h], y[~held])
-    kept, truth = [t for t, h in zip(text, held) if h], y[held]
-    net.slope, net.intercept = calibration(net.logits(kept), truth)
-    scores = net.scores(kept)
+    ids = [np.frombuffer(r.ids, np.int32).reshape(-1, 1 + len(HEADS)) for r in rows]
+    held = np.array([r.held for r in rows], bool)
+    langs = np.array([r.lang or "" for r in rows])[held]
+    del rows
+    net = train_on([i for i, h in zip(ids, held) if not h], y[~held])
+    truth = y[held]
+    start = np.zeros(1, np.int64)
+    logits = np.array([net.logits_of(i, start)[0] for i, h in zip(ids, held) if h])
+    net.slope, net.intercept = calibration(logits, truth)
+    scores = sigmoid(net.slope * logits + net.intercept)
     net.threshold = best_threshold(scores, truth)
-    langs = np.array([r.lang or "" for r, h in zip(rows, held) if h])
     net.thresholds = {
         str(k): best_threshold(scores[langs == k], truth[langs == k], net.threshold)
         for k in np.unique(langs)
@@ -241,6 +255,22 @@ def fit(
     return net
 
 
+def _featured(rows: DataFrame) -> DataFrame:
+    """``features`` of ``id, text, lang, label, held`` rows, made where the texts are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = texts_of(batch.column(1))
+            for a, b in blocks(texts):
+                ids, begin = features(texts[a:b])
+                made = pa.array([i.tobytes() for i in np.split(ids, begin[1:])], pa.binary())
+                kept = [batch.column(i).slice(a, b - a) for i in (0, 2, 3, 4)]
+                yield pa.RecordBatch.from_arrays([*kept, made], ["id", "lang", "label", "held", "ids"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, lang string, label double, held boolean, ids binary")
+
+
 def with_toxicity(docs: DataFrame, net: Network, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with the calibrated probability of being toxic, in ``score_col``.
 
