@@ -30,7 +30,7 @@ from siltstone.session import scratch_path
 #: Words whose counts are sent to all tasks, at most.
 HEAD_WORDS = 400_000
 #: Words that a counting task holds before it passes its counts on.
-HELD_WORDS = 1_000_000
+HELD_WORDS = 500_000
 #: The end of a text as a word.
 END_KEY = 0
 #: Words that the start of a text weighs against what it has repeated.
