@@ -18,6 +18,9 @@ STRIDE = 24
 CLASSES = 48
 SIZE = 16
 HIDDEN = 32
+#: Hashed ids on either side by which ids are classed.
+BESIDE = 64
+_CLASS_SEED = 3
 _MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
@@ -87,48 +90,59 @@ class Attention:
         return out
 
 
-def _classes(texts: list[np.ndarray], vocabulary: int, end: int, seed: int = 3) -> np.ndarray:
-    """Class of every id by k-means of its neighbours; the end has class 0 for itself."""
-    rng = np.random.default_rng(seed)
-    wide = 64
-    hashed = rng.integers(0, wide, vocabulary)
-    kind = 1 + rng.integers(0, CLASSES - 1, vocabulary)
-    kind[end] = 0
-    stream = np.concatenate([np.append(t, end) for t in texts])
-    seen, place, count = np.unique(stream, return_inverse=True, return_counts=True)
-    beside = np.zeros((len(seen), 2 * wide), np.float32)
-    np.add.at(beside, (place[1:], hashed[stream[:-1]]), 1)
-    np.add.at(beside, (place[:-1], wide + hashed[stream[1:]]), 1)
-    beside = np.sqrt(beside / np.maximum(beside.sum(axis=1, keepdims=True), 1))
-    weight = np.sqrt(count)[:, None].astype(np.float32)
-    centre = beside[rng.choice(len(seen), CLASSES - 1, p=count / count.sum())]
-    for _ in range(10):
-        near = np.argmax(beside @ centre.T - 0.5 * (centre**2).sum(axis=1), axis=1)
-        for c in range(CLASSES - 1):
-            own = near == c
-            if own.any():
-                centre[c] = (beside[own] * weight[own]).sum(axis=0) / weight[own].sum()
-    kind[seen] = 1 + near
+def gathered(texts: list[np.ndarray], vocabulary: int, end: int, into: np.ndarray | None = None) -> np.ndarray:
+    """For each id how often it occurs, and hashed counts of the ids before and after it.
+
+    Every text is closed by ``end``, which also stands before its first id. Rows of
+    ``1 + 2 * BESIDE`` counts; with ``into`` they are added to those of other texts.
+    """
+    out = np.zeros((vocabulary, 1 + 2 * BESIDE)) if into is None else into
+    hashed = np.random.default_rng(_CLASS_SEED).integers(0, BESIDE, vocabulary)
+    stream = np.concatenate([[end], *(np.append(t, end) for t in texts)]).astype(np.int64)
+    row, flat = stream * out.shape[1], out.reshape(-1)
+    np.add.at(flat, row[1:], 1)
+    np.add.at(flat, row[1:] + 1 + hashed[stream[:-1]], 1)
+    np.add.at(flat, row[:-1] + 1 + BESIDE + hashed[stream[1:]], 1)
+    return out
+
+
+def _classes(counts: np.ndarray, end: int) -> np.ndarray:
+    """Class of every id by k-means of what is ``gathered``; the end has class 0 for itself."""
+    rng = np.random.default_rng(_CLASS_SEED)
+    rng.integers(0, BESIDE, len(counts))  # the hashes of ``gathered``
+    kind = 1 + rng.integers(0, CLASSES - 1, len(counts))
+    seen = np.flatnonzero(counts[:, 0])
+    if len(seen):
+        count = counts[seen, 0].astype(np.float64)
+        beside = counts[seen, 1:].astype(np.float32)
+        beside = np.sqrt(beside / np.maximum(beside.sum(axis=1, keepdims=True), 1))
+        weight = np.sqrt(count)[:, None].astype(np.float32)
+        centre = beside[rng.choice(len(seen), CLASSES - 1, p=count / count.sum())]
+        for _ in range(10):
+            near = np.argmax(beside @ centre.T - 0.5 * (centre**2).sum(axis=1), axis=1)
+            for c in range(CLASSES - 1):
+                own = near == c
+                if own.any():
+                    centre[c] = (beside[own] * weight[own]).sum(axis=0) / weight[own].sum()
+        kind[seen] = 1 + near
     kind[end] = 0
     return kind
 
 
-def _inner(texts: list[np.ndarray], kind: np.ndarray, end: int, add: float = 0.02) -> np.ndarray:
-    count = np.bincount(np.concatenate([np.append(t, end) for t in texts]), minlength=len(kind)) + add
+def inner(count: np.ndarray, kind: np.ndarray, add: float = 0.02) -> np.ndarray:
+    """Log chance of each id within its class, by how often it occurs."""
+    count = count.astype(np.float64) + add
     total = np.bincount(kind, count, CLASSES)
     return np.log(count / total[kind]).astype(np.float32)
 
 
-def train(
-    texts: list[np.ndarray], vocabulary: int, end: int, epochs: int = 3, seed: int = 9
-) -> Attention:
-    """Fit the model to texts of ids below ``vocabulary`` by Adam; ``end`` closes a text."""
+def start(counts: np.ndarray, end: int, seed: int = 9) -> Attention:
+    """Untrained model with the classes and frequencies of what is ``gathered``."""
     rng = np.random.default_rng(seed)
     normal = lambda *shape, scale=0.2: rng.normal(0, scale, shape).astype(np.float32)
-    texts = texts or [np.empty(0, np.int64)]
-    kind = _classes(texts, vocabulary, end)
+    kind = _classes(counts, end)
     model = Attention(
-        table=normal(vocabulary, SIZE),
+        table=normal(len(counts), SIZE),
         place=normal(WINDOW, SIZE, scale=0.05),
         query=normal(SIZE, SIZE),
         key=normal(SIZE, SIZE),
@@ -138,34 +152,91 @@ def train(
         out=normal(HIDDEN, CLASSES, scale=0.1),
         out_shift=np.zeros(CLASSES, np.float32),
         kind=kind,
-        inner=_inner(texts, kind, end),
+        inner=inner(counts[:, 0], kind),
         end=end,
     )
-    inputs, targets = [], []
-    for text in texts:
-        whole = np.concatenate(([end], text, [end]))
-        for a in range(0, max(1, len(whole) - WINDOW), WINDOW):
-            part = whole[a : a + WINDOW + 1]
-            if len(part) == WINDOW + 1:
-                inputs.append(part[:-1])
-                targets.append(part[1:])
-    if not inputs:
-        return model
-    x, y = np.array(inputs), kind[np.array(targets)]
-    moments: dict[str, list] = {}
-    batch, turn = 64, 0
-    steps = epochs * -(-len(x) // batch)
-    for _ in range(epochs):
-        order = rng.permutation(len(x))
-        for a in range(0, len(order), batch):
-            turn += 1
-            rate = 0.01 * (1 - 0.9 * turn / steps)
-            for name, rows, gradient in _gradients(model, x[order[a : a + batch]], y[order[a : a + batch]]):
-                _adam(getattr(model, name), rows, gradient, moments, name, rate, turn)
     model.out_shift[np.bincount(kind, minlength=CLASSES) == 0] = -1e4  # no chance for no id
     return model
 
 
+def windows(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whole windows of the ids of texts, and what follows each."""
+    size = np.array([len(t) + 1 for t in texts], np.int64)
+    first = np.cumsum(size) - size
+    target = np.concatenate([np.append(t, end) for t in texts] or [np.empty(0)]).astype(np.int64)
+    x = np.concatenate(([end], target[:-1]))[: len(target)]  # a text begins after an end
+    number = -(-size // WINDOW)
+    nth = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    at = (np.repeat(first, number) + nth * WINDOW)[:, None] + np.arange(WINDOW)
+    last = np.repeat(first + size - 1, number)[:, None]
+    real = at <= last
+    at = np.minimum(at, last)
+    whole = real.all(axis=1)
+    return x[at][whole], target[at][whole]
+
+
+class Learner:
+    """Adam over windows of ids; ``model`` is changed in place."""
+
+    def __init__(self, model: Attention, seed: int = 9):
+        self.model, self.rng, self.moments, self.turn = model, np.random.default_rng(seed), {}, 0
+
+    def learn(self, x: np.ndarray, target: np.ndarray, rates: tuple[float, float], batch: int = 64) -> None:
+        """One pass in random order, the rate going from the first to the second."""
+        y = np.where(target < 0, -1, self.model.kind[target])
+        order = self.rng.permutation(len(x))
+        for a in range(0, len(order), batch):
+            self.turn += 1
+            rate = rates[0] + (rates[1] - rates[0]) * a / len(order)
+            own = order[a : a + batch]
+            for name, rows, gradient in _gradients(self.model, x[own], y[own]):
+                _adam(getattr(self.model, name), rows, gradient, self.moments, name, rate, self.turn)
+
+
+def fit(model: Attention, texts: list[np.ndarray], epochs: int = 3, seed: int = 9) -> Attention:
+    """Train ``model`` on all ids and ends of texts; changes and returns it."""
+    learner = Learner(model, seed)
+    x, target = windows(texts, model.end)
+    rate = lambda turn: 0.01 * (1 - 0.9 * turn / max(epochs, 1))
+    for turn in range(epochs):
+        learner.learn(x, target, (rate(turn), rate(turn + 1)))
+    return model
+
+
+def train(
+    texts: list[np.ndarray], vocabulary: int, end: int, epochs: int = 3, seed: int = 9
+) -> Attention:
+    """Fit a model to texts of ids below ``vocabulary`` by Adam; ``end`` closes a text."""
+    return fit(start(gathered(texts, vocabulary, end), end, seed), texts, epochs, seed)
+
+
+#: Parameters that every window moves; the rows of ``table`` move with their ids.
+DENSE = ("place", "query", "key", "value", "into", "into_shift", "out", "out_shift")
+
+
+def changes(old: Attention, new: Attention, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What training on ``seen[i]`` places of each id changed, weighted by them.
+
+    Rows of ids (weight, then changes) and the same of all other parameters in one vector.
+    Sums of these over several trainings from ``old`` go to ``moved``.
+    """
+    weight = seen.astype(np.float64)[:, None]
+    rows = np.concatenate((weight, (new.table - old.table) * weight), axis=1)
+    flat = np.concatenate([(getattr(new, n) - getattr(old, n)).ravel() for n in DENSE]).astype(np.float64)
+    return rows, np.concatenate(([weight.sum()], flat * weight.sum()))
+
+
+def moved(model: Attention, rows: np.ndarray, flat: np.ndarray) -> Attention:
+    """``model`` moved in place by the weighted mean of ``changes``."""
+    model.table += (rows[:, 1:] / np.maximum(rows[:, :1], 1)).astype(np.float32)
+    at = 1
+    for name in DENSE:
+        value = getattr(model, name)
+        value += (flat[at : at + value.size] / max(flat[0], 1)).reshape(value.shape).astype(np.float32)
+        at += value.size
+    return model
+
+
 def _adam(value, rows, gradient, moments, name, rate, turn) -> None:
     m, v = moments.setdefault(name, [np.zeros_like(value), np.zeros_like(value)])
     m[rows] = 0.9 * m[rows] + 0.1 * gradient
@@ -175,14 +246,19 @@ def _adam(value, rows, gradient, moments, name, rate, turn) -> None:
 
 
 def _gradients(model: Attention, x: np.ndarray, y: np.ndarray):
-    """Gradients of the mean class loss, as (parameter, rows, gradient)."""
+    """Gradients of the mean class loss, as (parameter, rows, gradient).
+
+    Places of class -1 have no loss.
+    """
     hidden, (h, q, k, v, weight, total, seen, both) = model.forward(x)
     score = hidden @ model.out + model.out_shift
     score -= score.max(axis=1, keepdims=True)
     chance = np.exp(score)
     chance /= chance.sum(axis=1, keepdims=True)
-    chance[np.arange(len(chance)), y.ravel()] -= 1
-    chance /= len(chance)
+    real = np.flatnonzero(y.ravel() >= 0)
+    chance[real, y.ravel()[real]] -= 1
+    chance[y.ravel() < 0] = 0
+    chance /= len(real)
     every = slice(None)
     yield "out", every, hidden.T @ chance
     yield "out_shift", every, chance.sum(axis=0)

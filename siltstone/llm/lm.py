@@ -5,23 +5,25 @@ A text is its lower-cased words and an end. Each word has the chance
     a * (its part of all training tokens) + b * (its part of the text so far) + c * (attention model)
 
 where the attention model multiplies the chances of the word's subword ids, given the ids
-before them, and a + b + c = 1. Word counts cover every training document. The most
-frequent words go to all tasks, as many as a fixed bound allows; every other word's count
+before them, and a + b + c = 1. Counts of words and subword ids and the training of the
+attention model cover every training document. The most frequent words go to all tasks, as many as a fixed bound allows; every other word's count
 is joined.
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.attention import Attention, train
+from siltstone.llm import attention
+from siltstone.llm.attention import Attention
 from siltstone.llm.bytesets import END, LOWER, SPACED, Words, blocks, joined, mixed, rolling, span_keys, texts_of
 from siltstone.llm.fitting import bounded_sample
 from siltstone.llm.pieces import cut, encoder
@@ -31,6 +33,17 @@ from siltstone.session import scratch_path
 HEAD_WORDS = 400_000
 #: Words that a counting task holds before it passes its counts on.
 HELD_WORDS = 500_000
+#: Rows of a part of a table that is summed over tasks.
+PART_ROWS = 512
+#: Bytes of ids, as 64-bit numbers, that a task learns from in random order.
+HELD_IDS = 4 << 20
+#: Ids of all training texts for one shard that learns on its own.
+SHARD_IDS = 24_000_000
+#: Rates of the rounds; the last is that of the texts that settled the weights.
+ROUND_RATES = (0.004, 0.002, 0.001, 0.0005)
+#: Range and step of log10 of the ratios by which words are counted for the weights.
+RATIOS = 12.0
+RATIO_STEP = 0.05
 #: The end of a text as a word.
 END_KEY = 0
 #: Words that the start of a text weighs against what it has repeated.
@@ -173,39 +186,206 @@ def word_chances(stream: WordStream, attention: Attention) -> tuple[np.ndarray,
     return (total[stop] - total[stop - stream.per_word]), chance[at].astype(np.float64)
 
 
-def _mixing_weights(parts: list[np.ndarray]) -> tuple[float, float, float]:
-    """Weights of a word's three chances by expectation maximisation over words."""
-    held = np.column_stack(parts) + 1e-300
+def _mixing_weights(ratios: np.ndarray, number: np.ndarray) -> tuple[float, float, float]:
+    """Weights of a word's three chances by expectation maximisation over all words.
+
+    A row of ``ratios`` has log10 of the first two chances over the third, for ``number`` words.
+    """
     weights = np.full(3, 1 / 3)
-    if len(held):
+    if len(number):
+        held = np.column_stack((10.0**ratios, np.ones(len(number))))
         for _ in range(50):
             own = held * weights
-            weights = np.clip((own / own.sum(axis=1, keepdims=True)).mean(axis=0), 0.01, None)
+            own *= (number / own.sum(axis=1))[:, None]
+            weights = np.clip(own.sum(axis=0) / number.sum(), 0.01, None)
             weights /= weights.sum()
     return tuple(weights.tolist())
 
 
-def _counts_of(keys: np.ndarray, model: Model, counts: DataFrame) -> np.ndarray:
-    """Counts of words, those of rare ones looked up in the stored table."""
-    out = model.found(keys)
-    rare = np.unique(keys[out < 0]).view(np.int64)
-    if len(rare):
-        asked = counts.sparkSession.createDataFrame(pd.DataFrame({"word": rare}))
-        got = counts.join(asked, "word").toPandas().sort_values("word")
-        names, numbers = got["word"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
-        found = keys.view(np.int64)
-        at = np.minimum(np.searchsorted(names, found), max(len(names) - 1, 0))
-        known = (out < 0) & (names[at] == found) if len(names) else np.zeros(len(keys), bool)
-        out[known] = numbers[at[known]]
-    return np.maximum(out, 0)
+def _step_of(part: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """log10 of a chance over the attention model's, in whole steps."""
+    ratio = np.log10(np.maximum(part, 1e-300)) - chance
+    return np.rint(np.clip(ratio, -RATIOS, RATIOS) / RATIO_STEP).astype(np.int32)
+
+
+def _mixing(texts: DataFrame, model: Model, counts: DataFrame) -> tuple[float, float, float]:
+    """Mixing weights by all words of ``texts``, whose counts are less the word itself."""
+    spark = texts.sparkSession
+    sent = spark.sparkContext.broadcast(model)
+    schema = "word bigint, one int, two int, chance double, n bigint"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        for batch in batches:
+            held = texts_of(batch.column(0))
+            for a, b in blocks(held):
+                stream = WordStream(held[a:b], own.tokenizer)
+                if not len(stream.keys):
+                    continue
+                chance = word_chances(stream, own.attention)[0] / np.log(10)
+                count = own.found(stream.keys)
+                one = _step_of(np.maximum(count - 1, 0) / max(own.tokens, 1), chance)
+                two = _step_of(stream.repeated(), chance)
+                known = count >= 0
+                pairs, n = np.unique(np.column_stack((one, two))[known], axis=0, return_counts=True)
+                rare = int((~known).sum())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate((np.zeros(len(n), np.int64), stream.keys.view(np.int64)[~known])),
+                                 mask=np.arange(len(n) + rare) < len(n)),
+                        pa.array(np.concatenate((pairs[:, 0], np.zeros(rare, np.int32)))),
+                        pa.array(np.concatenate((pairs[:, 1], two[~known]))),
+                        pa.array(np.concatenate((np.zeros(len(n)), chance[~known]))),
+                        pa.array(np.concatenate((n, np.ones(rare, np.int64)))),
+                    ],
+                    [c.split()[0] for c in schema.split(", ")],
+                )
+
+    path = scratch_path(spark, "lm_mixing")
+    texts.select("text").mapInArrow(run, schema).write.parquet(path)
+    stored = spark.read.parquet(path)
+    other = counts.select("word", F.col("n").alias("of_all"))
+    part = F.greatest((F.col("of_all") - 1) / F.lit(max(model.tokens, 1)), F.lit(1e-300))
+    ratio = F.least(F.greatest(F.log10(part) - F.col("chance"), F.lit(-RATIOS)), F.lit(RATIOS))
+    rare = stored.filter("word IS NOT NULL").join(other, "word")
+    rare = rare.select(F.rint(ratio / RATIO_STEP).cast("int").alias("one"), "two", "n")
+    steps = stored.filter("word IS NULL").select("one", "two", "n").union(rare)
+    got = steps.groupBy("one", "two").agg(F.sum("n").alias("n")).toPandas().sort_values(["one", "two"])
+    return _mixing_weights(got[["one", "two"]].to_numpy(float) * RATIO_STEP, got["n"].to_numpy(float))
+
+
+def _id_type(vocabulary: int) -> type:
+    return np.uint16 if vocabulary <= 1 << 16 else np.int32
+
+
+def _encoded(texts: DataFrame, tokenizer: str, kind: type) -> DataFrame:
+    """``doc_id, turn, ids``: subword ids of each of ``doc_id, turn, text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = texts_of(batch.column(2))
+            for a, b in blocks(held):
+                ids = pa.array([i.astype(kind).tobytes() for i in _ids(held[a:b], tokenizer)], pa.binary())
+                kept = [batch.column(i).slice(a, b - a) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*kept, ids], ["doc_id", "turn", "ids"])
+
+    rows = texts.select("doc_id", "turn", "text")
+    of = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {of}, turn int, ids binary")
+
+
+def _id_blocks(column: pa.Array, kind: type) -> Iterator[tuple[list[np.ndarray], int, int]]:
+    """Stored ids of some texts at a time, and where these begin and end in the column."""
+    length = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    size = np.cumsum(length * 8 // np.dtype(kind).itemsize + 8)
+    edges = [0, *(np.flatnonzero(np.diff(size // HELD_IDS)) + 1).tolist(), len(column)]
+    for a, b in zip(edges, edges[1:]):
+        if a < b:
+            yield [np.frombuffer(i, kind).astype(np.int64) for i in column.slice(a, b - a).to_pylist()], a, b
+
+
+def _parts(rows: np.ndarray, name: int = 0) -> Iterator[pa.RecordBatch]:
+    """Rows of numbers as ``part, body``, those of zeros left out; ``name`` is the first part's."""
+    for a in range(0, len(rows), PART_ROWS):
+        own = rows[a : a + PART_ROWS]
+        if own.any():
+            body = [np.ascontiguousarray(own, np.float64).tobytes()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name + a // PART_ROWS], pa.int32()), pa.array(body, pa.binary())], ["part", "body"]
+            )
+
+
+def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Sum of each part's bodies over all tasks, rounded to single precision at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = np.frombuffer(body)
+                total[part] = total[part] + own if part in total else own
+        for part, own in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([own.astype(np.float32).tobytes()], pa.binary())],
+                ["part", "body"],
+            )
+
+    return {r.part: np.frombuffer(r.body, np.float32) for r in parts.repartition("part").mapInArrow(run, _PART).collect()}
+
+
+_PART = "part int, body binary"
+
+
+def _whole(parts: dict[int, np.ndarray], number: int, width: int) -> np.ndarray:
+    out = np.zeros((number, width), np.float32)
+    for part, body in parts.items():
+        if part >= 0:
+            own = body.reshape(-1, width)
+            out[part * PART_ROWS : part * PART_ROWS + len(own)] = own
+    return out
+
+
+def _gathered(stored: DataFrame, vocabulary: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """``attention.gathered`` of all stored texts, and counts of ids without turn 0."""
+    kind, width = _id_type(vocabulary), 2 + 2 * attention.BESIDE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((vocabulary, width - 1))
+        learned = np.zeros((vocabulary, 1))
+        for batch in batches:
+            turn = batch.column(0).to_pylist()
+            for ids, a, b in _id_blocks(batch.column(1), kind):
+                attention.gathered(ids, vocabulary, end, total)
+                own = [np.append(i, end) for i, t in zip(ids, turn[a:b]) if t]
+                if own:
+                    learned[:, 0] += np.bincount(np.concatenate(own), minlength=vocabulary)
+        for a in range(0, vocabulary, PART_ROWS):
+            rows = slice(a, a + PART_ROWS)
+            yield from _parts(np.concatenate((total[rows], learned[rows]), axis=1), a // PART_ROWS)
+
+    counts = _whole(_summed(stored.select("turn", "ids").mapInArrow(run, _PART)), vocabulary, width)
+    return counts[:, :-1], counts[:, -1]
+
+
+def _round(stored: DataFrame, model: Attention, shards: int, rate: float) -> None:
+    """One pass over stored texts: shards learn from ``model`` alone, which then moves by their mean.
+
+    A shard has the same texts in the same order in every run.
+    """
+    sent = stored.sparkSession.sparkContext.broadcast(model)
+    vocabulary = len(model.table)
+    kind = _id_type(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        old = sent.value
+        new = copy.deepcopy(old)
+        learner, seen = attention.Learner(new), np.zeros(vocabulary, np.int64)
+        for batch in batches:
+            for ids, _, _ in _id_blocks(batch.column(0), kind):
+                x, target = attention.windows(ids, old.end)
+                learner.learn(x, target, (rate, rate))
+                seen += np.bincount(x[target >= 0], minlength=vocabulary)
+        if seen.any():
+            rows, flat = attention.changes(old, new, seen)
+            yield from _parts(rows)
+            yield from _parts(flat[None, :], -1)
+
+    ids = stored.repartition(shards, F.xxhash64("doc_id", "ids")).sortWithinPartitions(F.xxhash64("ids"), "ids")
+    parts = _summed(ids.select("ids").mapInArrow(run, _PART))
+    if parts:
+        attention.moved(model, _whole(parts, vocabulary, 1 + attention.SIZE), parts[-1])
+    sent.unpersist()
 
 
 def fit(texts: DataFrame, counts: DataFrame, tokenizer: str, sample: int = 1200) -> Model:
     """Model from training texts (``doc_id, text``) and their stored ``word_counts``.
 
-    The attention model learns from about ``sample`` of the texts, chosen by a hash of the
-    id; a tenth of them settles the three weights. Counts are of all texts.
+    Counts of words and of subword ids are of all texts, and all texts train the network.
+    It starts from a fit on about ``sample`` of them. Then shards of nine tenths learn on
+    their own, in three rounds of other texts, after each of which the changes are averaged.
+    The last tenth settles the three weights and is learned from after that.
     """
+    spark = texts.sparkSession
     totals = counts.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("distinct")).first()
     # how many words have a count of at least each of a hundred-odd steps
     step = F.floor(F.log2("n") * 4).cast("int")
@@ -216,31 +396,38 @@ def fit(texts: DataFrame, counts: DataFrame, tokenizer: str, sample: int = 1200)
         if held > HEAD_WORDS:
             break
         least = row["step"]
+    end = encoder(tokenizer).mark_id
+    kind = _id_type(end + 1)
+    turned = texts.withColumn("turn", F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(10)).cast("int"))
+    path = scratch_path(spark, "lm_ids")
+    _encoded(turned, tokenizer, kind).write.parquet(path)
+    stored = spark.read.parquet(path)
+    gathered, learned = _gathered(stored, end + 1, end)
+    learned = learned.copy()
+    net, occurs = attention.start(gathered, end), gathered[:, 0].copy()
+    del gathered  # the driver needs the memory
+    first = bounded_sample(stored.filter("turn > 0"), F.col("doc_id"), sample).select("doc_id", "ids").collect()
+    first = [i for _, i in sorted(((r.doc_id is not None, r.doc_id), bytes(r.ids)) for r in first)]
+    attention.fit(net, [np.frombuffer(i, kind).astype(np.int64) for i in first])
+    shards = max(1, -(-int(occurs.sum(dtype=np.float64)) // SHARD_IDS))
+    for turn, rate in enumerate(ROUND_RATES[:-1]):
+        _round(stored.filter((F.col("turn") - 1).between(3 * turn, 3 * turn + 2)), net, shards, rate)
+    net.inner = attention.inner(learned, net.kind)
     head = counts.filter(step >= F.lit(min(least, 1 << 30))).toPandas()
     words = head["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(words)
-    chosen = bounded_sample(texts.select("doc_id"), F.col("doc_id"), sample).distinct()
-    rows = texts.join(chosen, "doc_id").select("doc_id", "text").collect()
-    rows = sorted(((r.doc_id, (r.text or "").encode()) for r in rows))
-    kept = [t for i, (_, t) in enumerate(rows) if i % 10 == 0]
-    learned = [t for i, (_, t) in enumerate(rows) if i % 10]
-    end = encoder(tokenizer).mark_id
     model = Model(
         words[order],
         head["n"].to_numpy(np.int64)[order],
         int(totals.tokens or 0),
         int(totals.distinct or 0),
         (1 / 3, 1 / 3, 1 / 3),
-        train(_ids(learned, tokenizer), end + 1, end),
+        net,
         tokenizer,
     )
-    streams = [WordStream(kept[a:b], tokenizer) for a, b in blocks(kept)]
-    if streams:
-        keys = np.concatenate([s.keys for s in streams])
-        own = np.maximum(_counts_of(keys, model, counts) - 1, 0)  # less the word itself
-        repeated = np.concatenate([s.repeated() for s in streams])
-        chance = np.concatenate([word_chances(s, model.attention)[0] for s in streams])
-        model.weights = _mixing_weights([own / max(model.tokens, 1), repeated, np.exp(chance)])
+    model.weights = _mixing(turned.filter("turn = 0"), model, counts)
+    net.inner = attention.inner(occurs, net.kind)
+    _round(stored.filter("turn = 0"), net, max(1, shards // 3), ROUND_RATES[-1])
     return model
 
 

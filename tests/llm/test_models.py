@@ -176,3 +176,44 @@ def test_fitting_helpers(spark):
     y = (rng.random(2000) < sigmoid(2 * x[:, 0] - x[:, 1] + 0.5)).astype(float)
     assert np.allclose(logistic(x, y), [2, -1, 0.5], atol=0.3)
     assert 0.3 < best_threshold(np.array([0.1, 0.2, 0.8, 0.9]), np.array([0, 0, 1, 1])) < 0.7
+
+
+def test_lm_learns_from_all_texts(spark):
+    """What stands outside the sample of first texts is counted, classed and trained on."""
+    rng = random.Random(4)
+    rows = [(i, prose(rng, 40, 50)) for i in range(200)]
+    rows += [(1000 + i, " ".join(["zebra quagga okapi"] * 15)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    counts = lm.word_counts(docs.select("text")).cache()
+    few, more = (lm.fit(docs, counts, BYTE, sample=n) for n in (4, 10_000))
+    ids = lm._ids([t.encode() for _, t in rows], BYTE)
+    end = few.attention.end
+    true = np.bincount(np.concatenate([np.append(i, end) for i in ids]), minlength=end + 1)
+    assert np.array_equal(few.attention.kind, more.attention.kind)
+    assert np.allclose(few.attention.inner, attention.inner(true, few.attention.kind))
+    text = ids[-1]
+    start = attention.train([np.empty(0, np.int64)], end + 1, end).log_chances([text]).mean()
+    assert few.attention.log_chances([text]).mean() > start + 2
+
+
+def test_rounds_train_on_every_text(spark):
+    text = np.tile(np.arange(1, 9), 20)
+    stored = spark.createDataFrame([(i, 1, bytearray(text.astype(np.uint16).tobytes())) for i in range(30)],
+                                   "doc_id bigint, turn int, ids binary")
+    counts, learned = lm._gathered(stored, 10, 9)
+    assert counts[:, 0].tolist() == [0, *[600] * 8, 30] and learned.tolist() == counts[:, 0].tolist()
+    assert np.array_equal(counts, attention.gathered([text] * 30, 10, 9))
+    model = attention.start(counts, 9)
+    before = model.log_chances([text]).mean()
+    for _ in range(4):
+        lm._round(stored, model, 3, 0.004)
+    assert model.log_chances([text]).mean() > before + 0.2
+    assert np.array_equal(model.table[0], attention.start(counts, 9).table[0])
+
+
+def test_mixing_weights_by_counts():
+    rng = np.random.default_rng(1)
+    ratios = rng.integers(-40, 40, (500, 2)) * lm.RATIO_STEP
+    number = rng.integers(1, 5, 500)
+    once = lm._mixing_weights(ratios, number)
+    assert np.allclose(once, lm._mixing_weights(np.repeat(ratios, number, axis=0), np.ones(number.sum())))
