@@ -160,7 +160,7 @@ def start(counts: np.ndarray, end: int, seed: int = 9) -> Attention:
 
 
 def windows(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Whole windows of the ids of texts, and what follows each."""
+    """All ids of texts in windows, and what follows each; -1 where a text is over."""
     size = np.array([len(t) + 1 for t in texts], np.int64)
     first = np.cumsum(size) - size
     target = np.concatenate([np.append(t, end) for t in texts] or [np.empty(0)]).astype(np.int64)
@@ -171,8 +171,7 @@ def windows(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray]:
     last = np.repeat(first + size - 1, number)[:, None]
     real = at <= last
     at = np.minimum(at, last)
-    whole = real.all(axis=1)
-    return x[at][whole], target[at][whole]
+    return x[at], np.where(real, target[at], -1)
 
 
 class Learner:

@@ -217,3 +217,14 @@ def test_mixing_weights_by_counts():
     number = rng.integers(1, 5, 500)
     once = lm._mixing_weights(ratios, number)
     assert np.allclose(once, lm._mixing_weights(np.repeat(ratios, number, axis=0), np.ones(number.sum())))
+
+
+def test_attention_learns_short_texts_and_ends():
+    texts = [np.arange(n) for n in (0, 1, 30, 31, 32, 33, 70)]
+    x, target = attention.windows(texts, 99)
+    assert (target >= 0).sum() == sum(len(t) + 1 for t in texts)
+    assert (target == 99).sum() == len(texts) and x.shape[1] == attention.WINDOW
+    short = [np.array([3, 1, 2])] * 200
+    new, old = (attention.train(short, 6, 5, epochs=n) for n in (20, 0))
+    assert new.log_chances(short[:1])[3] > old.log_chances(short[:1])[3] + 1  # the end
+    assert np.exp(new.log_chances(short[:1])[3]) > 0.5
