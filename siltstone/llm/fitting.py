@@ -13,11 +13,16 @@ def bounded_sample(df: DataFrame, key: Column, most: int) -> DataFrame:
     The rows of ``key`` values that share a hash stay or go together, so a sample is the
     same in every run. One count decides the rate.
     """
+    return df.filter(in_sample(df, key, most))
+
+
+def in_sample(df: DataFrame, key: Column, most: int) -> Column:
+    """Whether a row of ``df`` is in its ``bounded_sample``."""
     rows = df.count()
     if rows <= most:
-        return df
+        return F.lit(True)
     scale = 1 << 31
-    return df.filter(F.pmod(F.xxhash64(F.lit(11), key), F.lit(scale)) < int(scale * most / rows))
+    return F.pmod(F.xxhash64(F.lit(11), key), F.lit(scale)) < int(scale * most / rows)
 
 
 def remainder(id_col: str, modulus: int) -> Column:
@@ -29,16 +34,22 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton steps; the last is the intercept."""
+def logistic(
+    x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25, number: np.ndarray | None = None
+) -> np.ndarray:
+    """Weights of a ridge logistic regression by Newton steps; the last is the intercept.
+
+    A row stands for ``number`` equal ones.
+    """
+    number = np.ones(len(x)) if number is None else number
     full = np.column_stack((x, np.ones(len(x))))
     w = np.zeros(full.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
     for _ in range(steps):
         p = sigmoid(full @ w)
-        gradient = full.T @ (p - y) + penalty * w
-        hessian = (full * (p * (1 - p) + 1e-6)[:, None]).T @ full + np.diag(penalty)
+        gradient = full.T @ ((p - y) * number) + penalty * w
+        hessian = (full * ((p * (1 - p) + 1e-6) * number)[:, None]).T @ full + np.diag(penalty)
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -46,21 +57,26 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25)
     return w
 
 
-def calibration(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def calibration(logit: np.ndarray, y: np.ndarray, number: np.ndarray | None = None) -> tuple[float, float]:
     """Slope and intercept that turn scores into probabilities; the slope is positive."""
     if len(y) == 0 or y.min() == y.max():
         return 1.0, 0.0
-    scale = max(float(np.std(logit)), 1e-6)
-    slope, shift = logistic(logit[:, None] / scale, y, ridge=0.05)
+    number = np.ones(len(y)) if number is None else number
+    mean = np.average(logit, weights=number)
+    scale = max(float(np.sqrt(np.average((logit - mean) ** 2, weights=number))), 1e-6)
+    slope, shift = logistic(logit[:, None] / scale, y, ridge=0.05, number=number)
     return max(float(slope) / scale, 1e-3), float(shift)
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray, fallback: float = 0.5) -> float:
+def best_threshold(
+    p: np.ndarray, y: np.ndarray, fallback: float = 0.5, number: np.ndarray | None = None
+) -> float:
     """Middle of the widest stretch of thresholds with the fewest errors."""
     if len(y) == 0 or y.min() == y.max():
         return fallback
     grid = np.arange(0.05, 0.96, 0.01)
-    errors = np.array([((p >= t) != (y > 0)).sum() for t in grid])
+    number = np.ones(len(y), np.int64) if number is None else number
+    errors = np.array([number[(p >= t) != (y > 0)].sum() for t in grid])
     good = np.flatnonzero(errors == errors.min())
     runs = np.split(good, np.flatnonzero(np.diff(good) > 1) + 1)
     widest = max(runs, key=len)

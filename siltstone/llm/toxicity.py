@@ -6,7 +6,8 @@ value, and a logistic layer weighs them. The first embedding axis starts from ea
 bucket's log odds in the training texts and the first filter reads it; the rest starts at
 random; all of it is then trained by Adam through the max pooling, whose gradient reaches
 one place per text and filter. Scores are calibrated to probabilities on texts kept out of
-the training. Thresholds are calibrated by language; the score knows no language.
+the training, all labelled rows but the sample. Thresholds are calibrated by language; the
+score knows no language.
 """
 
 from __future__ import annotations
@@ -15,13 +16,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.bytesets import ALNUM, Words, blocks, mixed, span_keys, texts_of
-from siltstone.llm.fitting import best_threshold, bounded_sample, calibration, sigmoid
+from siltstone.llm.fitting import best_threshold, calibration, in_sample, sigmoid
 
 BUCKETS = 1 << 17
 SIZE = 8
@@ -29,6 +31,10 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 HEADS = (4, 5, 7)
 _PAD = max(WIDTHS)
+#: Rows of each class, not trained on, with which a language gets a threshold of its own.
+LEAST_OF_CLASS = 10
+#: Steps to one unit of the network's answer in which rows are counted.
+STEPS = 64
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -211,52 +217,72 @@ def fit(
     lang_col: str = "lang",
     label_col: str = "toxic",
 ) -> Network:
-    """Train and calibrate on about ``sample`` labelled rows (``learn_from`` restricts them).
+    """Train on about ``sample`` labelled rows (``learn_from`` restricts them), calibrate on the rest.
 
-    A fifth of them, chosen by a hash of the id, is kept out of the training for the
-    calibration. Rows without a label are left out. Without any, or with one class only,
-    the network answers with the share of that class.
+    A fifth of the rows, chosen by a hash of the id, is never trained on. All labelled rows
+    that were not trained on give the calibration and the thresholds, by counts of their
+    scores. A language with fewer than ``LEAST_OF_CLASS`` of them of either class has the
+    common threshold. Rows without a label are left out. Without any, or with one class
+    only, the network answers with the share of that class.
     """
     known = labels.filter(F.col(label_col).isNotNull())
     if learn_from is not None:
         known = known.filter(learn_from)
-    known = bounded_sample(known, F.col(id_col), sample)
-    known = known.groupBy(id_col).agg(F.max(label_col).alias("label"))
+    fifth = F.pmod(F.xxhash64(F.lit(3), id_col), F.lit(5)) == 0
+    learned = in_sample(known, F.col(id_col), sample) & ~fifth
+    known = known.groupBy(id_col).agg(F.max(label_col).alias("label")).withColumn("learned", learned)
     texts = docs.select(
         F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang")
     )
-    fifth = (F.pmod(F.xxhash64(F.lit(3), id_col), F.lit(5)) == 0).alias("held")
-    rows = texts.join(known, id_col).select(
-        F.col(id_col).alias("id"), "text", "lang", F.col("label").cast("double").alias("label"), fifth
-    )
-    rows = sorted(_featured(rows).collect(), key=lambda r: (r.id, r.ids))
-    y = np.array([r.label for r in rows], float)
+    label = F.col("label").cast("double").alias("label")
+    rows = texts.join(known, id_col).select(F.col(id_col).alias("id"), "text", "lang", label, "learned")
+    got = sorted(_featured(rows.filter("learned")).collect(), key=lambda r: (r.id, r.ids))
+    y = np.array([r.label for r in got], float)
     if not len(y) or y.min() == y.max():
-        rate = float(y.mean()) if len(y) else 0.0
-        net = train([b""], np.zeros(1), epochs=0)
-        net.weights[:] = 0
-        net.shift = float(np.log((rate + 1e-3) / (1 - rate + 1e-3)))
-        return net
-    ids = [np.frombuffer(r.ids, np.int32).reshape(-1, 1 + len(HEADS)) for r in rows]
-    held = np.array([r.held for r in rows], bool)
-    langs = np.array([r.lang or "" for r in rows])[held]
-    del rows
-    net = train_on([i for i, h in zip(ids, held) if not h], y[~held])
-    truth = y[held]
-    start = np.zeros(1, np.int64)
-    logits = np.array([net.logits_of(i, start)[0] for i, h in zip(ids, held) if h])
-    net.slope, net.intercept = calibration(logits, truth)
+        total = rows.agg(F.avg("label").alias("rate"), F.min("label").alias("a"), F.max("label").alias("b")).first()
+        if total.rate is None or total.a == total.b or not len(y):
+            return _constant(float(total.rate or 0.0))
+    ids = [np.frombuffer(r.ids, np.int32).reshape(-1, 1 + len(HEADS)) for r in got]
+    del got
+    net = train_on(ids, y)
+    del ids
+    counts = _score_counts(rows.filter("NOT learned"), net)
+    logits, truth, number = (counts[c].to_numpy(float) for c in ("step", "label", "n"))
+    logits /= STEPS
+    net.slope, net.intercept = calibration(logits, truth, number)
     scores = sigmoid(net.slope * logits + net.intercept)
-    net.threshold = best_threshold(scores, truth)
-    net.thresholds = {
-        str(k): best_threshold(scores[langs == k], truth[langs == k], net.threshold)
-        for k in np.unique(langs)
-    }
+    net.threshold = best_threshold(scores, truth, number=number)
+    for name, at in counts.groupby("lang").indices.items():
+        if all(number[at][truth[at] == c].sum() >= LEAST_OF_CLASS for c in (0, 1)):
+            net.thresholds[str(name)] = best_threshold(scores[at], truth[at], net.threshold, number[at])
     return net
 
 
+def _constant(rate: float) -> Network:
+    net = train([b""], np.zeros(1), epochs=0)
+    net.weights[:] = 0
+    net.shift = float(np.log((rate + 1e-3) / (1 - rate + 1e-3)))
+    return net
+
+
+def _score_counts(rows: DataFrame, net: Network) -> pd.DataFrame:
+    """Labelled rows by language, label and the network's answer in whole steps."""
+    sent = rows.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = np.rint(np.clip(sent.value.logits(texts_of(batch.column(2))), -40, 40) * STEPS)
+            columns = [batch.column(0), batch.column(1), pa.array(step.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "label", "step"])
+
+    held = rows.select(F.coalesce("lang", F.lit("")).alias("lang"), "label", "text")
+    steps = held.mapInArrow(run, "lang string, label double, step int")
+    counts = steps.groupBy("lang", "label", "step").agg(F.count(F.lit(1)).alias("n"))
+    return counts.toPandas().sort_values(["lang", "label", "step"], ignore_index=True)
+
+
 def _featured(rows: DataFrame) -> DataFrame:
-    """``features`` of ``id, text, lang, label, held`` rows, made where the texts are read."""
+    """``features`` of ``id, text, lang, label, learned`` rows, made where the texts are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,11 +290,11 @@ def _featured(rows: DataFrame) -> DataFrame:
             for a, b in blocks(texts):
                 ids, begin = features(texts[a:b])
                 made = pa.array([i.tobytes() for i in np.split(ids, begin[1:])], pa.binary())
-                kept = [batch.column(i).slice(a, b - a) for i in (0, 2, 3, 4)]
-                yield pa.RecordBatch.from_arrays([*kept, made], ["id", "lang", "label", "held", "ids"])
+                kept = [batch.column(i).slice(a, b - a) for i in (0, 3)]
+                yield pa.RecordBatch.from_arrays([*kept, made], ["id", "label", "ids"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, lang string, label double, held boolean, ids binary")
+    return rows.mapInArrow(run, f"id {kind}, label double, ids binary")
 
 
 def with_toxicity(docs: DataFrame, net: Network, text_col: str = "text", score_col: str = "score") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 from helpers import no_docs, odd_docs, odd_rows, prose, spaced_words  # noqa: E402
 from siltstone.llm import attention, cotrain, lm, toxicity  # noqa: E402
-from siltstone.llm.fitting import best_threshold, bounded_sample, logistic, remainder, sigmoid  # noqa: E402
+from siltstone.llm.fitting import best_threshold, bounded_sample, calibration, logistic, remainder, sigmoid  # noqa: E402
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -228,3 +228,25 @@ def test_attention_learns_short_texts_and_ends():
     new, old = (attention.train(short, 6, 5, epochs=n) for n in (20, 0))
     assert new.log_chances(short[:1])[3] > old.log_chances(short[:1])[3] + 1  # the end
     assert np.exp(new.log_chances(short[:1])[3]) > 0.5
+
+
+def test_toxicity_thresholds_over_all_labels(spark):
+    docs, labels = labelled(spark)
+    rare = F.when(F.col("doc_id") == 0, "xx").otherwise(F.col("lang"))
+    docs, asked = docs.withColumn("lang", rare), []
+    counted = toxicity._score_counts
+    toxicity._score_counts = lambda *a: asked.append(counted(*a)) or asked[-1]
+    try:
+        net = toxicity.fit(docs, labels, sample=300)
+    finally:
+        toxicity._score_counts = counted
+    assert asked[0]["n"].sum() > 900  # all but the texts trained on
+    assert set(net.thresholds) == {"en", "de"}  # one row does not set a threshold
+
+
+def test_weighted_fitting():
+    rng = np.random.default_rng(5)
+    logit, y, n = rng.normal(size=300), rng.integers(0, 2, 300).astype(float), rng.integers(1, 6, 300)
+    each = np.repeat(logit, n), np.repeat(y, n)
+    assert np.allclose(calibration(logit, y, n), calibration(*each))
+    assert best_threshold(sigmoid(logit), y, number=n) == best_threshold(sigmoid(each[0]), each[1])
