@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import ann, cotrain, decontaminate, lm, packing, prefix_counts, records, toxicity, warc
+from siltstone.llm import ann, cotrain, decontaminate, lm, packing, prefix_counts, ranked, records, toxicity, warc
 from siltstone.llm.fitting import remainder
 from siltstone.llm.near_dup import near_duplicates
 from siltstone.llm.shipping import ship
@@ -224,3 +224,35 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = load(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
 
+
+_RANKED_SQL = rf"""
+WITH words AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all({_LOWER_SQL}, '{_ALNUM_SQL}') AS w
+  FROM documents WHERE text IS NOT NULL
+), sized AS (SELECT d, doc_id, len(w) AS n FROM words WHERE len(w) > 0),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized),
+tf AS (
+  SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM words) GROUP BY d, term
+), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, totals
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER_SQL}, '{_ALNUM_SQL}')) AS term
+  FROM benchmark WHERE text IS NOT NULL
+), scored AS (
+  SELECT item_id, d, doc_id, CAST(sum(w * ((1000000000 * tf) //
+           (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN sized USING (d), totals
+  GROUP BY item_id, d, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query("op11_ranked_search", _RANKED_SQL)
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=10)
