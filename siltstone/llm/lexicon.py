@@ -12,7 +12,7 @@ from typing import NamedTuple
 
 import numpy as np
 
-from siltstone.llm.bytesets import LOWER, joined, mixed, ragged
+from siltstone.llm.bytesets import LOWER, joined, mixed
 
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
@@ -127,7 +127,18 @@ class Lexicon:
         return out
 
 
-def spans_joined(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of the spans, one after another, and where each begins (and the last ends)."""
-    length = stop - start
-    return ragged(data, start, length), np.concatenate(([0], np.cumsum(length)))
+def numbered(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One span of each distinct word, and for every span which of them it equals."""
+    while True:  # a seed under which no two words share a key
+        keys = keys_of(data, start, stop, new_seed())
+        _, where, which = np.unique(keys, return_index=True, return_inverse=True)
+        twin = where[which]
+        same = bool((stop[twin] - start[twin] == stop - start).all())
+        if same:
+            wide = _wide(data)
+            for at in range(0, int((stop - start).max(initial=0)), 8):
+                live = np.flatnonzero(stop - start > at)
+                keep = _KEEP[np.minimum((stop - start)[live] - at, 8)]
+                same = same and not ((wide[start[live] + at] ^ wide[start[twin[live]] + at]) & keep).any()
+        if same:
+            return where, which

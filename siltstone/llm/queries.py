@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import ann, cotrain, decontaminate, lm, packing, prefix_counts, ranked, records, toxicity, warc
+from siltstone.llm import (
+    ann,
+    collocations,
+    cotrain,
+    decontaminate,
+    lm,
+    packing,
+    prefix_counts,
+    ranked,
+    records,
+    toxicity,
+    warc,
+)
 from siltstone.llm.fitting import remainder
 from siltstone.llm.near_dup import near_duplicates
 from siltstone.llm.shipping import ship
@@ -256,3 +268,47 @@ WHERE rank <= 10
 def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return ranked.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=10)
+
+
+_PHRASES_SQL = rf"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+          unnest(string_split_regex({_LOWER_SQL}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+sizes AS (SELECT unnest([1, 2, 3]) AS words),
+f AS (
+  SELECT lang, words, phrase, count(*) AS a FROM (
+    SELECT lang, words, array_to_string(w[i : i + words - 1], ' ') AS phrase
+    FROM (SELECT lang, w, words, unnest(range(1, len(w) - words + 2)) AS i
+          FROM pieces, sizes WHERE len(w) >= words))
+  GROUP BY lang, words, phrase HAVING count(*) >= 10
+), cuts AS (
+  SELECT lang, words, phrase, a, k, array_to_string(w[1 : k], ' ') AS head,
+         array_to_string(w[k + 1 :], ' ') AS tail
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, words)) AS k FROM f WHERE words > 1)
+), scored AS (
+  SELECT c.lang, c.words, c.phrase, c.a, c.k, x.a AS l, y.a AS r,
+         CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head
+       JOIN f y ON y.lang = c.lang AND y.phrase = c.tail
+), least_cut AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), around AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(w[i : i + 1], ' ') AS phrase
+    FROM (SELECT lang, a, string_split(phrase, ' ') AS w, unnest([1, 2]) AS i FROM f WHERE words = 3))
+  GROUP BY lang, phrase
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT s.*, n, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank
+  FROM least_cut s JOIN totals USING (lang) LEFT JOIN around g ON g.lang = s.lang AND g.phrase = s.phrase
+  WHERE longer IS NULL OR 100 * longer < 50 * s.a)
+WHERE rank <= 2000
+"""
+
+
+@query("op12_collocations", _PHRASES_SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of two and three words of every language."""
+    return collocations.collocations(load(spark, sf_dir, "documents"), least=10, top=2000)
