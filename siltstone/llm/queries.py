@@ -13,6 +13,7 @@ from siltstone.llm import (
     collocations,
     cotrain,
     decontaminate,
+    licenses,
     lm,
     packing,
     prefix_counts,
@@ -312,3 +313,23 @@ WHERE rank <= 2000
 def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 collocations of two and three words of every language."""
     return collocations.collocations(load(spark, sf_dir, "documents"), least=10, top=2000)
+
+
+@query("op13_license_scan")
+def license_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and wordings of every document."""
+    found = licenses.license_scan(load(spark, sf_dir, "documents"), keep=["doc_id"])
+    labels = lambda column: F.transform(column, lambda s: s["label"])
+    listed = lambda names: F.array_join(F.array_sort(F.array_distinct(names)), ",")
+    starts = F.transform("base_spans", lambda s: s["start"])
+    best = F.array_max(F.transform("wordings", lambda s: s["share"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base_spans").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        listed(labels("base_spans")).alias("base_labels"),
+        listed(F.concat(labels("base_spans"), labels("wordings"))).alias("labels"),
+        F.when(F.size("base_spans") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
