@@ -209,16 +209,16 @@ class PhraseTrie:
         where, which = numbered(cut.data, cut.start, cut.stop)
         self.langs = {name: i for i, name in enumerate(sorted(set(langs)))}
         own = np.array([self.langs[x] for x in langs], np.int64)
-        # words of one language get neighbouring numbers, which keeps the array dense
+        nth = np.arange(len(which)) - np.repeat(cut.first[:-1], np.diff(cut.first))
+        # words of one language that often follow others get neighbouring numbers: a dense array
         lang_of = np.full(len(where), len(self.langs))
         np.minimum.at(lang_of, which, own[cut.of()])
-        order = np.argsort(lang_of, kind="stable")
+        order = np.lexsort((-np.bincount(which[nth > 0], minlength=len(where)), lang_of))
         number = np.empty(len(order), np.int64)
         number[order] = np.arange(len(order))
         self.lexicon = Lexicon([cut.word(i) for i in where[order]])
         paths = np.full((len(phrases), 1 + WORDS), -1, np.int32)
         paths[:, 0] = own + len(where)
-        nth = np.arange(len(which)) - np.repeat(cut.first[:-1], np.diff(cut.first))
         paths[cut.of(), 1 + nth] = number[which]
         self.array = DoubleArray(paths)
         self.accept = np.full(len(self.array.check), -1, np.int32)

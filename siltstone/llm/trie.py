@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Share of tries that must succeed in a round, or the arrays grow.
-_LEAST_SUCCESS = 0.02
+#: Rounds in a row that place next to nothing before the arrays grow.
+_PATIENCE = 12
 
 
 class DoubleArray:
@@ -23,7 +23,7 @@ class DoubleArray:
         self.width = int(paths.max(initial=0)) + 1
         self.base = np.zeros(1, np.int32)
         self.check = np.full(1, -2, np.int32)  # the root is nobody's child
-        self._grow(self.width + 2 * (paths >= 0).sum())
+        self._grow(self.width + 2 * len(paths))
         self.end = np.zeros(len(paths), np.int64)
         for level in range(paths.shape[1] if len(paths) else 0):
             going = np.flatnonzero(paths[:, level] >= 0)
@@ -39,19 +39,26 @@ class DoubleArray:
         parent, child = np.divmod(edge, self.width)
         parents, first, count = np.unique(parent, return_index=True, return_counts=True)
         for size in sorted({int(c).bit_length() for c in count}, reverse=True):
-            same = np.flatnonzero(np.frexp(count.astype(float))[1] == size)
-            while len(same):
-                same = self._round(same, parents, first, count, child)
+            todo = np.flatnonzero(np.frexp(count.astype(float))[1] == size)
+            floor, idle = 1, 0
+            while len(todo):
+                left = self._round(todo, floor, parents, first, count, child)
+                idle = idle + 1 if len(left) > 0.98 * len(todo) else 0
+                todo, floor = left, 1
+                if idle == _PATIENCE:
+                    floor, idle = len(self.check), 0
+                    span = child[first[todo] + count[todo] - 1] - child[first[todo]]
+                    self._grow(int(span.max()) + 2 + 2 * int(count[todo].sum()))
         self.end[rows] = self.base[self.end[rows]].astype(np.int64) + symbol
 
-    def _round(self, todo, parents, first, count, child) -> np.ndarray:
-        """One attempt for each parent at a random place; returns those that found none."""
+    def _round(self, todo, floor, parents, first, count, child) -> np.ndarray:
+        """One attempt for each parent at a random place from ``floor`` on; those that found none."""
         own, size = np.repeat(np.arange(len(todo)), count[todo]), count[todo]
         edge = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + first[todo][own]
         low, high = child[first[todo]], child[first[todo] + size - 1]
-        room = len(self.check) - 1 - (high - low)  # places 1 .. len - 1
+        room = len(self.check) - floor - (high - low)
         fits = room > 0
-        begin = 1 + (self._rng.random(len(todo)) * np.maximum(room, 1)).astype(np.int64)
+        begin = floor + (self._rng.random(len(todo)) * np.maximum(room, 1)).astype(np.int64)
         slot = (begin - low)[own] + child[edge]
         bad = ~fits[own]
         slot[bad] = 0
@@ -63,8 +70,6 @@ class DoubleArray:
         kept = ~lost[own]
         self.check[slot[kept]] = parents[todo][own[kept]]
         self.base[parents[todo][~lost]] = (begin - low)[~lost]
-        if (~lost).sum() < max(1, _LEAST_SUCCESS * len(todo)):
-            self._grow(int((high - low).max()) + 1 + len(self.check) // 4)
         return todo[lost]
 
     def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
