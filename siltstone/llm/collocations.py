@@ -21,11 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.bytesets import END, blocks, mixed, ragged, texts_of
-from siltstone.llm.lexicon import Cut, Lexicon, chained, cut_words, keys_of, new_seed, numbered
+from siltstone.llm.lexicon import Cut, Lexicon, chained, cut_joined, cut_words, keys_of, new_seed, numbered
 from siltstone.llm.trie import DoubleArray
 from siltstone.session import scratch_path
 
@@ -204,11 +205,16 @@ def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: in
 class PhraseTrie:
     """Candidates of all languages in one double array; ``accept`` names them by position."""
 
-    def __init__(self, langs: list[str], phrases: list[bytes]):
-        cut = cut_words(phrases, _BLANK)
+    def __init__(self, langs: pa.Array, phrases: pa.Array):
+        empty, end = (pa.scalar(x, pa.large_binary()) for x in (b"", b"\xff"))
+        raw = pc.binary_join_element_wise(phrases.cast(pa.large_binary()), empty, end)
+        begin = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+        data = np.frombuffer(raw.buffers()[2], np.uint8)[begin[0] : begin[-1]]
+        cut = cut_joined(data, begin - begin[0], _BLANK)
         where, which = numbered(cut.data, cut.start, cut.stop)
-        self.langs = {name: i for i, name in enumerate(sorted(set(langs)))}
-        own = np.array([self.langs[x] for x in langs], np.int64)
+        coded = langs.dictionary_encode()
+        self.langs = {name: i for i, name in enumerate(coded.dictionary.to_pylist())}
+        own = coded.indices.to_numpy().astype(np.int64)
         nth = np.arange(len(which)) - np.repeat(cut.first[:-1], np.diff(cut.first))
         # words of one language that often follow others get neighbouring numbers: a dense array
         lang_of = np.full(len(where), len(self.langs))
@@ -216,7 +222,7 @@ class PhraseTrie:
         order = np.lexsort((-np.bincount(which[nth > 0], minlength=len(where)), lang_of))
         number = np.empty(len(order), np.int64)
         number[order] = np.arange(len(order))
-        self.lexicon = Lexicon([cut.word(i) for i in where[order]])
+        self.lexicon = Lexicon.of_spans(cut.data, cut.start[where[order]], cut.stop[where[order]])
         paths = np.full((len(phrases), 1 + WORDS), -1, np.int32)
         paths[:, 0] = own + len(where)
         paths[cut.of(), 1 + nth] = number[which]
@@ -351,8 +357,10 @@ def collocations(
     for nth in range(tries):
         own = found.filter(F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)) == nth)
         own = own.select("cid", "lang", "phrase").toArrow()
-        trie = PhraseTrie(own.column("lang").to_pylist(), texts_of(own.column("phrase")))
-        part = keep(_counted(texts, trie, own.column("cid").to_numpy()), f"counts-{nth}")
+        trie = PhraseTrie(*(own.column(c).combine_chunks() for c in ("lang", "phrase")))
+        counting = _counted(texts, trie, own.column("cid").to_numpy())
+        del own, trie
+        part = keep(counting, f"counts-{nth}")
         if nth:
             part = part.filter("cid IS NOT NULL")  # all words were counted the first time
         counted = part if counted is None else counted.union(part)

@@ -43,7 +43,11 @@ class Cut(NamedTuple):
 
 def cut_words(texts: list[bytes], separators: np.ndarray) -> Cut:
     """Maximal runs of bytes that ``separators`` does not mark; only A-Z are lower-cased."""
-    raw, begin = joined(texts)
+    return cut_joined(*joined(texts), separators)
+
+
+def cut_joined(raw: np.ndarray, begin: np.ndarray, separators: np.ndarray) -> Cut:
+    """``cut_words`` of texts in one buffer, each closed by END, and where each begins."""
     apart = separators[raw]
     edge = np.flatnonzero(apart[1:] != apart[:-1]) + 1
     if len(raw) and not apart[0]:
@@ -86,11 +90,19 @@ class Lexicon:
     """Numbers of the words of a list, found by key and then compared byte by byte."""
 
     def __init__(self, words: list[bytes]):
-        self.size = len(words)
-        data = np.frombuffer(b"".join(words), np.uint8)
         length = np.fromiter(map(len, words), np.int64, len(words))
         stop = np.cumsum(length)
-        start = stop - length
+        self._build(np.frombuffer(b"".join(words), np.uint8), stop - length, stop)
+
+    @classmethod
+    def of_spans(cls, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> Lexicon:
+        """A list of distinct words given as byte spans."""
+        new = cls.__new__(cls)
+        new._build(data, start, stop)
+        return new
+
+    def _build(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> None:
+        self.size, length = len(start), stop - start
         while True:  # a seed under which no two words share a key
             self.seed = new_seed()
             keys = keys_of(data, start, stop, self.seed)
@@ -104,7 +116,7 @@ class Lexicon:
         for nth, (live, block) in enumerate(span_blocks(data, start, stop)):
             self.blocks[self.begin[live] + nth] = block
         # most words of a text may be in no list: one bit table answers for them at once
-        self.bits = max(16, int(16 * max(len(words), 1)).bit_length())
+        self.bits = max(16, int(16 * max(self.size, 1)).bit_length())
         self.maybe = np.zeros(1 << self.bits, bool)
         self.maybe[(keys >> _U(64 - self.bits)).astype(np.int64)] = True
 
