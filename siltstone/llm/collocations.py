@@ -32,12 +32,16 @@ from siltstone.session import scratch_path
 
 WORDS = 3
 #: Candidates in one trie; about 100 bytes each in a task.
-TRIE_PHRASES = 2_000_000
+TRIE_PHRASES = 1_000_000
 #: Characters of text whose buckets are added up in one group.
 PART_CHARS = 16_000_000
 #: Words of 64 bits in the table of frequent buckets.
 TABLE = 1 << 20
 _U = np.uint64
+#: Parts a language's name from a phrase; it never occurs in UTF-8.
+_SPLIT = 0xFE
+#: Candidates whose counts make one row.
+_CHUNK = 1 << 16
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E), END]] = True
@@ -153,28 +157,50 @@ def _frequent_buckets(texts: DataFrame, buckets: Buckets, least: int, seed: int)
     return table
 
 
-def _phrases(cut: Cut, at: np.ndarray, words: int) -> pa.Array:
-    """The phrases of ``words`` words that begin at the words ``at``, joined by a blank."""
-    start = np.full((len(at), 2 * words - 1), len(cut.data))
+def _entries(cut: Cut, at: np.ndarray, words: int, lang: np.ndarray, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Language and phrase of ``words`` words from the words ``at`` on, in bytes, and their sizes.
+
+    The language is closed by a byte that no text holds, so is the phrase, whose words are
+    joined by a blank.
+    """
+    extra = b" " + bytes([_SPLIT]) + bytes([END]) + b"".join(names)
+    data = np.concatenate((cut.data, np.frombuffer(extra, np.uint8)))
+    blank = len(cut.data)
+    size = np.fromiter(map(len, names), np.int64, len(names))
+    begin = blank + 3 + np.cumsum(size) - size
+    start = np.empty((len(at), 2 * words + 2), np.int64)
     length = np.ones_like(start)
+    start[:, 0], length[:, 0] = begin[lang], size[lang]
+    start[:, 1] = blank + 1
     for j in range(words):
-        start[:, 2 * j] = cut.start[at + j]
-        length[:, 2 * j] = (cut.stop - cut.start)[at + j]
-    data = np.concatenate((cut.data, np.frombuffer(b" ", np.uint8)))
-    made = ragged(data, start.ravel(), length.ravel())
-    ends = np.concatenate(([0], np.cumsum(length.sum(axis=1)))).astype(np.int64)
-    whole = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(ends.tobytes()), pa.py_buffer(made.tobytes()))
+        start[:, 2 + 2 * j] = cut.start[at + j]
+        length[:, 2 + 2 * j] = (cut.stop - cut.start)[at + j]
+        start[:, 3 + 2 * j] = blank
+    start[:, -1] = blank + 2
+    return ragged(data, start.ravel(), length.ravel()), length.sum(axis=1)
+
+
+def _strings(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
+    """Byte spans as strings."""
+    made = ragged(data, start, stop - start)
+    ends = np.concatenate(([0], np.cumsum(stop - start)))
+    whole = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends.tobytes()), pa.py_buffer(made.tobytes()))
     return whole.cast(pa.string())
 
 
 def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: int, seed: int) -> DataFrame:
-    """``lang, phrase, words`` that may occur ``least`` times."""
+    """``lang, phrase, words`` that may occur ``least`` times.
+
+    Tasks pass on each part's phrases sorted and compressed, with their counts.
+    """
     sent = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, langs = texts_of(batch.column(1)), _lang_keys(batch.column(0), seed)
-            for a, b in blocks(rows, 8 << 20):
+            coded = batch.column(0).dictionary_encode()
+            names, code = [x.encode() for x in coded.dictionary.to_pylist()], coded.indices.to_numpy()
+            for a, b in blocks(rows, 16 << 20):
                 cut, follows = pieces_of(rows[a:b])
                 plain, words, pairs = _levels(cut, follows, langs[a:b], seed)
                 of = cut.of()
@@ -187,19 +213,56 @@ def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: in
                 sets = ((words, buckets.holds(sent.value, words)), (pairs, live), (triples, both))
                 for number, (keys, chosen) in enumerate(sets, 1):
                     place = np.flatnonzero(chosen)
-                    _, where, count = np.unique(keys[place], return_index=True, return_counts=True)
-                    at = place[where]
-                    columns = [
-                        batch.column(0).take(pa.array(of[at] + a)),
-                        _phrases(cut, at, number),
-                        pa.array(np.full(len(at), number), pa.int32()),
-                        pa.array(count, pa.int64()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "n"])
+                    if not len(place):
+                        continue
+                    met, where, count = np.unique(keys[place], return_index=True, return_counts=True)
+                    at, part = place[where], buckets.part(met).astype(np.int64)
+                    data, size = _entries(cut, at, number, code[a:b][of[at]], names)
+                    yield _packed_entries(data, size, np.minimum(count, least), part, number)
+
+    def add_up(table: pa.Table) -> pa.Table:
+        data, count = (
+            np.frombuffer(b"".join(pa.decompress(x, n, "zstd", asbytes=True) for x, n in zip(*pair)), kind)
+            for *pair, kind in (
+                (table.column("entries").to_pylist(), table.column("bytes").to_pylist(), np.uint8),
+                (table.column("counts").to_pylist(), table.column("held").to_pylist(), np.uint32),
+            )
+        )
+        stop = np.flatnonzero(data == END)
+        start = np.concatenate(([0], stop[:-1] + 1))
+        where, which = numbered(data, start, stop)
+        enough = np.bincount(which, count) >= least
+        where = where[enough]
+        middle = np.flatnonzero(data == _SPLIT)[where]
+        words = np.full(len(where), table.column("words")[0].as_py(), np.int32)
+        found = [_strings(data, start[where], middle), _strings(data, middle + 1, stop[where]), pa.array(words)]
+        return pa.table(found, ["lang", "phrase", "words"])
+
+    packed = texts.mapInArrow(
+        run, "part bigint, words int, entries binary, bytes bigint, counts binary, held bigint"
+    )
+    return packed.groupBy("part", "words").applyInArrow(add_up, "lang string, phrase string, words int")
+
 
-    seen = texts.mapInArrow(run, "lang string, phrase string, words int, n bigint")
-    grouped = seen.groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("n").alias("n"))
-    return grouped.filter(F.col("n") >= least).select("lang", "phrase", "words")
+def _packed_entries(
+    data: np.ndarray, size: np.ndarray, count: np.ndarray, part: np.ndarray, words: int
+) -> pa.RecordBatch:
+    """One row per part: its entries, sorted by their bytes, and their counts."""
+    stop = np.cumsum(size)
+    raw = data.tobytes()
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order])) + 1
+    rows = []
+    for own in np.split(order, cuts):
+        names = [raw[e - n : e] for e, n in zip(stop[own].tolist(), size[own].tolist())]
+        sort = sorted(range(len(names)), key=names.__getitem__)
+        entries = b"".join([names[i] for i in sort])
+        counts = count[own][sort].astype(np.uint32).tobytes()
+        packed = [pa.compress(x, "zstd", asbytes=True) for x in (entries, counts)]
+        rows.append((int(part[own[0]]), words, packed[0], len(entries), packed[1], len(counts)))
+    names = ["part", "words", "entries", "bytes", "counts", "held"]
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
 class PhraseTrie:
@@ -257,11 +320,15 @@ class PhraseTrie:
 
 
 def _counted(texts: DataFrame, trie: PhraseTrie, cids: np.ndarray) -> DataFrame:
-    """Occurrences of the trie's candidates and of all words by language: ``cid, lang, n``."""
-    sent = texts.sparkSession.sparkContext.broadcast((trie, cids))
+    """Occurrences of the trie's candidates and of all words by language: ``cid, lang, n``.
+
+    A task passes on its counts in dense rows of ``_CHUNK`` candidates, compressed.
+    """
+    context = texts.sparkSession.sparkContext
+    sent, named = context.broadcast(trie), context.broadcast(cids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, cids = sent.value
+        trie = sent.value
         counts = np.zeros(len(trie.accept), np.int64)
         words: dict[str, int] = {}
         for batch in batches:
@@ -273,14 +340,33 @@ def _counted(texts: DataFrame, trie: PhraseTrie, cids: np.ndarray) -> DataFrame:
                 counts += np.bincount(states, minlength=len(counts))
                 for name, n in zip(names, np.bincount(code[a:b], sizes, len(names))):
                     words[name] = words.get(name, 0) + int(n)
-        met = np.flatnonzero((counts > 0) & (trie.accept >= 0))
-        none = pa.nulls(len(met), pa.string())
-        found = [pa.array(cids[trie.accept[met]], pa.int64()), none, pa.array(counts[met], pa.int64())]
-        yield pa.RecordBatch.from_arrays(found, ["cid", "lang", "n"])
-        held = [pa.nulls(len(words), pa.int64()), pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())]
-        yield pa.RecordBatch.from_arrays(held, ["cid", "lang", "n"])
+        ended = trie.accept >= 0
+        own = np.zeros(int(ended.sum()), np.int64)
+        own[trie.accept[ended]] = counts[ended]
+        chunks = [c for c in range(0, len(own), _CHUNK) if own[c : c + _CHUNK].any()]
+        packed = [pa.compress(own[c : c + _CHUNK].tobytes(), "zstd", asbytes=True) for c in chunks]
+        columns = [
+            pa.array(chunks + [None] * len(words), pa.int64()),
+            pa.array(packed + [None] * len(words), pa.binary()),
+            pa.array([None] * len(chunks) + list(words), pa.string()),
+            pa.array([None] * len(chunks) + list(words.values()), pa.int64()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["chunk", "counts", "lang", "n"])
+
+    def add_up(table: pa.Table) -> pa.Table:
+        chunk = table.column("chunk")[0].as_py()
+        if chunk is None:
+            total = table.group_by("lang").aggregate([("n", "sum")])
+            return pa.table([pa.nulls(len(total), pa.int64()), total["lang"], total["n_sum"]], ["cid", "lang", "n"])
+        cids = named.value[chunk : chunk + _CHUNK]
+        own = np.zeros(len(cids), np.int64)
+        for packed in table.column("counts").to_pylist():
+            own += np.frombuffer(pa.decompress(packed, 8 * len(cids), "zstd", asbytes=True), np.int64)
+        met = np.flatnonzero(own)
+        return pa.table([pa.array(cids[met]), pa.nulls(len(met), pa.string()), pa.array(own[met])], ["cid", "lang", "n"])
 
-    return texts.mapInArrow(run, "cid bigint, lang string, n bigint")
+    packed = texts.mapInArrow(run, "chunk bigint, counts binary, lang string, n bigint")
+    return packed.groupBy("chunk").applyInArrow(add_up, "cid bigint, lang string, n bigint")
 
 
 _SCORE = (
@@ -366,10 +452,9 @@ def collocations(
         counted = part if counted is None else counted.union(part)
     if counted is None:
         counted = spark.createDataFrame([], "cid bigint, lang string, n bigint")
-    exact = counted.filter("cid IS NOT NULL").groupBy("cid").agg(F.sum("n").alias("a"))
-    exact = found.join(exact.filter(F.col("a") >= least), "cid").select("lang", "phrase", "words", "a")
-    counts = keep(exact, "counts")
-    total = counted.filter("cid IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    exact = counted.filter(F.col("cid").isNotNull() & (F.col("n") >= least)).select("cid", F.col("n").alias("a"))
+    counts = keep(found.join(exact, "cid").select("lang", "phrase", "words", "a"), "counts")
+    total = counted.filter("cid IS NULL").select("lang", "n")
 
     best = _scored(counts).join(_covered(counts), ["lang", "phrase"], "left")
     best = best.filter(f"longer IS NULL OR 100 * longer < {int(inside_per_cent)} * a")
