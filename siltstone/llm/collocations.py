@@ -157,27 +157,53 @@ def _frequent_buckets(texts: DataFrame, buckets: Buckets, least: int, seed: int)
     return table
 
 
-def _entries(cut: Cut, at: np.ndarray, words: int, lang: np.ndarray, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Language and phrase of ``words`` words from the words ``at`` on, in bytes, and their sizes.
+class _Entries:
+    """Phrases of a block of texts as bytes: the language, the phrase, each with its end.
 
     The language is closed by a byte that no text holds, so is the phrase, whose words are
     joined by a blank.
     """
-    extra = b" " + bytes([_SPLIT]) + bytes([END]) + b"".join(names)
-    data = np.concatenate((cut.data, np.frombuffer(extra, np.uint8)))
-    blank = len(cut.data)
-    size = np.fromiter(map(len, names), np.int64, len(names))
-    begin = blank + 3 + np.cumsum(size) - size
-    start = np.empty((len(at), 2 * words + 2), np.int64)
-    length = np.ones_like(start)
-    start[:, 0], length[:, 0] = begin[lang], size[lang]
-    start[:, 1] = blank + 1
-    for j in range(words):
-        start[:, 2 + 2 * j] = cut.start[at + j]
-        length[:, 2 + 2 * j] = (cut.stop - cut.start)[at + j]
-        start[:, 3 + 2 * j] = blank
-    start[:, -1] = blank + 2
-    return ragged(data, start.ravel(), length.ravel()), length.sum(axis=1)
+
+    def __init__(self, cut: Cut, lang: np.ndarray, names: list[bytes]):
+        extra = b" " + bytes([_SPLIT]) + bytes([END]) + b"".join(names)
+        self.cut, self.lang = cut, lang
+        self.blank = len(cut.data)
+        self.data = np.concatenate((cut.data, np.frombuffer(extra, np.uint8)))
+        self.size = np.fromiter(map(len, names), np.int64, len(names))
+        self.begin = self.blank + 3 + np.cumsum(self.size) - self.size
+
+    def of(self, at: np.ndarray, words: int) -> list[bytes]:
+        """The phrases of ``words`` words that begin at the words ``at``."""
+        start = np.empty((len(at), 2 * words + 2), np.int64)
+        length = np.ones_like(start)
+        lang = self.lang[at]
+        start[:, 0], length[:, 0] = self.begin[lang], self.size[lang]
+        start[:, 1] = self.blank + 1
+        for j in range(words):
+            start[:, 2 + 2 * j] = self.cut.start[at + j]
+            length[:, 2 + 2 * j] = self.cut.stop[at + j] - self.cut.start[at + j]
+            start[:, 3 + 2 * j] = self.blank
+        start[:, -1] = self.blank + 2
+        raw = ragged(self.data, start.ravel(), length.ravel()).tobytes()
+        ends = np.cumsum(length.sum(axis=1)).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def packed(self, at: np.ndarray, count: np.ndarray, part: np.ndarray, words: int) -> Iterator[pa.RecordBatch]:
+        """Rows of one part each: entries sorted by their bytes, and their counts."""
+        order = np.argsort(part, kind="stable")
+        edges = np.flatnonzero(np.diff(part[order], prepend=-1)).tolist() + [len(order)]
+        names = ["part", "words", "entries", "bytes", "counts", "held"]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
+        for first, last in zip(edges, edges[1:]):
+            for a in range(first, last, _CHUNK):
+                own = order[a : min(a + _CHUNK, last)]
+                texts = self.of(at[own], words)
+                sort = sorted(range(len(texts)), key=texts.__getitem__)
+                entries = b"".join([texts[i] for i in sort])
+                counts = count[own][sort].astype(np.uint32).tobytes()
+                made = [pa.compress(x, "zstd", asbytes=True) for x in (entries, counts)]
+                row = (int(part[own[0]]), words, made[0], len(entries), made[1], len(counts))
+                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names)
 
 
 def _strings(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
@@ -200,10 +226,10 @@ def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: in
             rows, langs = texts_of(batch.column(1)), _lang_keys(batch.column(0), seed)
             coded = batch.column(0).dictionary_encode()
             names, code = [x.encode() for x in coded.dictionary.to_pylist()], coded.indices.to_numpy()
-            for a, b in blocks(rows, 16 << 20):
+            for a, b in blocks(rows, 8 << 20):
                 cut, follows = pieces_of(rows[a:b])
                 plain, words, pairs = _levels(cut, follows, langs[a:b], seed)
-                of = cut.of()
+                entries = _Entries(cut, code[a:b][cut.of()], names)
                 live = buckets.holds(sent.value, pairs) & follows
                 triples = np.zeros(len(words), np.uint64)
                 triples[:-2] = chained(pairs[:-2], plain[2:])
@@ -213,12 +239,9 @@ def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: in
                 sets = ((words, buckets.holds(sent.value, words)), (pairs, live), (triples, both))
                 for number, (keys, chosen) in enumerate(sets, 1):
                     place = np.flatnonzero(chosen)
-                    if not len(place):
-                        continue
                     met, where, count = np.unique(keys[place], return_index=True, return_counts=True)
-                    at, part = place[where], buckets.part(met).astype(np.int64)
-                    data, size = _entries(cut, at, number, code[a:b][of[at]], names)
-                    yield _packed_entries(data, size, np.minimum(count, least), part, number)
+                    part = buckets.part(met).astype(np.int64)
+                    yield from entries.packed(place[where], np.minimum(count, least), part, number)
 
     def add_up(table: pa.Table) -> pa.Table:
         data, count = (
@@ -244,27 +267,6 @@ def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: in
     return packed.groupBy("part", "words").applyInArrow(add_up, "lang string, phrase string, words int")
 
 
-def _packed_entries(
-    data: np.ndarray, size: np.ndarray, count: np.ndarray, part: np.ndarray, words: int
-) -> pa.RecordBatch:
-    """One row per part: its entries, sorted by their bytes, and their counts."""
-    stop = np.cumsum(size)
-    raw = data.tobytes()
-    order = np.argsort(part, kind="stable")
-    cuts = np.flatnonzero(np.diff(part[order])) + 1
-    rows = []
-    for own in np.split(order, cuts):
-        names = [raw[e - n : e] for e, n in zip(stop[own].tolist(), size[own].tolist())]
-        sort = sorted(range(len(names)), key=names.__getitem__)
-        entries = b"".join([names[i] for i in sort])
-        counts = count[own][sort].astype(np.uint32).tobytes()
-        packed = [pa.compress(x, "zstd", asbytes=True) for x in (entries, counts)]
-        rows.append((int(part[own[0]]), words, packed[0], len(entries), packed[1], len(counts)))
-    names = ["part", "words", "entries", "bytes", "counts", "held"]
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
-
 class PhraseTrie:
     """Candidates of all languages in one double array; ``accept`` names them by position."""
 
