@@ -10,7 +10,7 @@ A phrase can only be frequent if all its parts are, and if the hash bucket it fa
    candidates; those that cannot reach the least count are dropped.
 3. Candidates go into double-array tries of bounded size, over word numbers below one root
    per language. In every task all positions of a text step through the trie together,
-   level by level; the states in which a candidate ends are counted, and the tasks' counts
+   level by level; the candidates that end in their states are counted, and the tasks' counts
    added up. These counts alone make the result.
 """
 
@@ -56,7 +56,7 @@ def pieces_of(texts: list[bytes]) -> tuple[Cut, np.ndarray]:
     cut = cut_words(texts, _APART)
     follows = np.zeros(len(cut.start), bool)
     if len(cut.start):
-        broken = np.cumsum(_BREAK[cut.data], dtype=np.int64)
+        broken = np.cumsum(_BREAK[cut.data], dtype=np.int32)
         follows[:-1] = broken[cut.start[1:]] == broken[cut.start[:-1]]
     return cut, follows
 
@@ -226,7 +226,7 @@ def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: in
             rows, langs = texts_of(batch.column(1)), _lang_keys(batch.column(0), seed)
             coded = batch.column(0).dictionary_encode()
             names, code = [x.encode() for x in coded.dictionary.to_pylist()], coded.indices.to_numpy()
-            for a, b in blocks(rows, 8 << 20):
+            for a, b in blocks(rows, 4 << 20):
                 cut, follows = pieces_of(rows[a:b])
                 plain, words, pairs = _levels(cut, follows, langs[a:b], seed)
                 entries = _Entries(cut, code[a:b][cut.of()], names)
@@ -291,6 +291,7 @@ class PhraseTrie:
         paths = np.full((len(phrases), 1 + WORDS), -1, np.int32)
         paths[:, 0] = own + len(where)
         paths[cut.of(), 1 + nth] = number[which]
+        self.phrases = len(phrases)
         self.array = DoubleArray(paths)
         self.accept = np.full(len(self.array.check), -1, np.int32)
         self.accept[self.array.end] = np.arange(len(phrases))
@@ -302,8 +303,8 @@ class PhraseTrie:
         symbol[symbol >= 0] += self.lexicon.size
         return self.array.step(np.zeros(len(symbol), np.int64), symbol)
 
-    def states(self, texts: list[bytes], roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All states that positions of the texts come through, and each text's word count."""
+    def accepted(self, texts: list[bytes], roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The candidate of every accepting state that a position comes to; words of each text."""
         cut, follows = pieces_of(texts)
         number = self.lexicon.find(cut.data, cut.start, cut.stop).astype(np.int64)
         at, state = np.arange(len(number)), roots[cut.of()]
@@ -317,7 +318,8 @@ class PhraseTrie:
             state = self.array.step(state, number[at])
             on = state >= 0
             at, state = at[on], state[on]
-            met.append(state)
+            found = self.accept[state]
+            met.append(found[found >= 0])
         return np.concatenate(met), np.diff(cut.first)
 
 
@@ -331,20 +333,17 @@ def _counted(texts: DataFrame, trie: PhraseTrie, cids: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = sent.value
-        counts = np.zeros(len(trie.accept), np.int64)
+        own = np.zeros(trie.phrases, np.int64)
         words: dict[str, int] = {}
         for batch in batches:
             rows, coded = texts_of(batch.column(1)), batch.column(0).dictionary_encode()
             names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
             roots = trie.root_of(names)[code]
-            for a, b in blocks(rows, 4 << 20):
-                states, sizes = trie.states(rows[a:b], roots[a:b])
-                counts += np.bincount(states, minlength=len(counts))
+            for a, b in blocks(rows, 2 << 20):
+                found, sizes = trie.accepted(rows[a:b], roots[a:b])
+                own += np.bincount(found, minlength=len(own))
                 for name, n in zip(names, np.bincount(code[a:b], sizes, len(names))):
                     words[name] = words.get(name, 0) + int(n)
-        ended = trie.accept >= 0
-        own = np.zeros(int(ended.sum()), np.int64)
-        own[trie.accept[ended]] = counts[ended]
         chunks = [c for c in range(0, len(own), _CHUNK) if own[c : c + _CHUNK].any()]
         packed = [pa.compress(own[c : c + _CHUNK].tobytes(), "zstd", asbytes=True) for c in chunks]
         columns = [
