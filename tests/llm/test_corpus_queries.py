@@ -30,7 +30,7 @@ def test_against_duckdb(spark, con, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
