@@ -55,8 +55,11 @@ def iso_instant(text: Column) -> Column:
     date is asked for. A text that has an offset cannot be read with a second one.
     """
     dated = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    time = F.substring(text, 12, 64)
+    zoned = time.contains("+") | time.contains("-") | time.endswith("Z")  # the usual case: one parse
     as_utc = [F.try_to_timestamp(F.concat(text, F.lit(end))) for end in ("Z", "T00:00:00Z")]
-    return F.when(dated, F.coalesce(*as_utc, F.try_to_timestamp(text)))
+    plain = F.try_to_timestamp(text)
+    return F.when(dated, F.when(zoned, plain).otherwise(F.coalesce(*as_utc, plain)))
 
 
 def utc_day(instant: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators.merge import fresh, overwrite_partitions
-from siltstone.schemas import CLUSTER_BY, PARTITION, SILVER, Lake
+from siltstone.schemas import CLUSTER_BY, SILVER, Lake
 
 SAMPLE_ROWS = 4096
 
@@ -105,7 +105,7 @@ def maintain(spark: SparkSession, lake: Lake = Lake(), files: int = 200) -> None
     """Cluster every table that has clustering columns."""
     for name, columns in CLUSTER_BY.items():
         table = lake.silver(name) if name in SILVER else lake.gold(name)
-        cluster_table(spark, table, columns, files, PARTITION[name])
+        cluster_table(spark, table, columns, files, lake.partition(name))
 
 
 def cluster_table(

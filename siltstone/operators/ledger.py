@@ -1,7 +1,8 @@
 """File status ledger: an append-only log of transitions per etag.
 
 Every transition carries ``seq``, one above the etag's last, so the newest row
-per etag is its current state. One job writes the log at a time.
+per etag is its current state. Of two runs that write the same number at once, the one
+whose row sorts last has the file; each reads back what it holds.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ REJECTED = "REJECTED"
 IN_SILVER = "IN_PROGRESS(SILVER)"
 
 LEASE_SECONDS = 60
+#: How long a silver run may hold its files before another may take them over.
+SILVER_LEASE_SECONDS = 3600
 
 
 def current(log: DataFrame) -> DataFrame:
     """Newest transition per etag."""
-    return latest_by(log, ["etag"], ["seq"])
+    return latest_by(log, ["etag"], ["seq", "updated_at", "run_id", "status"])
 
 
 def current_of(log: DataFrame, files: DataFrame) -> DataFrame:
@@ -93,11 +96,12 @@ def claim(
 
 
 def transition(
-    log: DataFrame, updates: DataFrame, expected: str, as_of: Column
+    log: DataFrame, updates: DataFrame, expected: str, as_of: Column, held_by: str | None = None
 ) -> DataFrame:
     """Log rows for ``updates(etag, status[, run_id])`` on files in state ``expected``.
 
-    Files in any other state are left alone. An etag reported more than once makes one row.
+    Files in any other state are left alone, with ``held_by`` also those that another run
+    holds by now. An etag reported more than once makes one row.
     """
     updates = first_by(updates, ["etag"], [c for c in updates.columns if c != "etag"])
     run_id = F.col("new_run") if "run_id" in updates.columns else F.col("run_id")
@@ -108,7 +112,7 @@ def transition(
     )
     return (
         current_of(log, updates)
-        .filter(F.col("status") == expected)
+        .filter((F.col("status") == expected) & (F.lit(True) if held_by is None else F.col("run_id") == held_by))
         .join(wanted, "etag")
         .withColumns(
             {
@@ -122,9 +126,51 @@ def transition(
     )
 
 
-def pending(log: DataFrame, limit: int | None = 10) -> DataFrame:
-    """Validated files that wait for silver, oldest first; ``limit`` is the batch size."""
-    waiting = current(log).filter(F.col("status") == VALIDATED)
+def _free(as_of: Column | None) -> Column:
+    """Whether a silver run may take a file: it waits, or the lease of the run that has it is over."""
+    waits = F.col("status") == VALIDATED
+    if as_of is None:
+        return waits
+    return waits | ((F.col("status") == IN_SILVER) & (F.col("lease_expiry") <= F.unix_seconds(as_of)))
+
+
+def start_silver(
+    log: DataFrame, batch: DataFrame, run_id: str, as_of: Column, lease_seconds: int = SILVER_LEASE_SECONDS
+) -> DataFrame:
+    """Log rows that give the free files of ``batch(etag)`` to a silver run for a time.
+
+    Taking a file over from a run whose lease is over counts as a retry.
+    """
+    taken_over = (F.col("status") == IN_SILVER).cast("int")
+    return (
+        current_of(log, batch)
+        .filter(_free(as_of))
+        .withColumns(
+            {
+                "status": F.lit(IN_SILVER),
+                "lease_expiry": (F.unix_seconds(as_of) + lease_seconds).cast("bigint"),
+                "updated_at": as_of,
+                "retry_count": F.col("retry_count") + taken_over,
+                "run_id": F.lit(run_id),
+                "seq": F.col("seq") + 1,
+            }
+        )
+        .select(*_COLUMNS)
+    )
+
+
+def held(log: DataFrame, batch: DataFrame, run_id: str) -> DataFrame:
+    """The files of ``batch`` that a silver run holds: ``etag, retry_count``."""
+    own = (F.col("status") == IN_SILVER) & (F.col("run_id") == run_id)
+    return current_of(log, batch).filter(own).select("etag", "retry_count")
+
+
+def pending(log: DataFrame, limit: int | None = 10, as_of: Column | None = None) -> DataFrame:
+    """Files that wait for silver, oldest first; ``limit`` is the batch size.
+
+    With ``as_of`` also those whose silver run has let its lease run out.
+    """
+    waiting = current(log).filter(_free(as_of))
     return waiting if limit is None else waiting.orderBy("created_at", "etag").limit(limit)
 
 

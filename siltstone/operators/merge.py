@@ -1,7 +1,8 @@
-"""Insert-only merge and full refresh on plain parquet tables."""
+"""Insert-only merge, and tables replaced as a whole, on plain parquet."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -74,6 +75,9 @@ def _with_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
+_SMALL_TASKS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k"}
+
+
 def _insert(verb: str, df: DataFrame, table: str, partition: str | None, settings: dict[str, str]) -> None:
     """Write ``df`` by column name.
 
@@ -83,7 +87,7 @@ def _insert(verb: str, df: DataFrame, table: str, partition: str | None, setting
     """
     rows = df
     if partition:
-        settings = settings | {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k"}
+        settings = settings | _SMALL_TASKS
         rows = spread(df, partition)
     with _with_conf(df.sparkSession, settings):
         df.sparkSession.sql(f"INSERT {verb} {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
@@ -112,6 +116,65 @@ def overwrite_partitions(df: DataFrame, table: str, partition: str | None = None
     _insert("OVERWRITE TABLE", df, table, partition, {_MODE: "dynamic"})
 
 
+_VERSION = "__v_"
+
+
+def location(spark: SparkSession, table: str) -> str:
+    """Folder that ``table`` reads now."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location").rstrip("/")
+
+
+def publish(df: DataFrame, table: str, partition: str | None = None) -> None:
+    """Replace all rows of a published table at once; ``df`` may read it.
+
+    The rows are written to a folder of their own; then the table's location is set to it,
+    which is one change in the catalog. Until then, and if the write dies, readers get the
+    old rows. Old versions stay for those who still read them: see ``expire_versions``.
+    """
+    spark = df.sparkSession
+    home, _, name = location(spark, table).rpartition("/")
+    path = f"{home}/{name.split(_VERSION)[0]}{_VERSION}{uuid.uuid4().hex}"
+    columns = spark.table(table).columns
+    writer = spread(df.select(*columns), partition).write
+    with _with_conf(spark, _SMALL_TASKS if partition else {}):
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+
+
+def drop_folders(spark: SparkSession, table: str, partition: str, values: Sequence) -> None:
+    """Remove partitions of a published table that hold no row any more."""
+    here = location(spark, table)
+    for value in values:
+        _remove(spark, f"{here}/{partition}={value}")
+    spark.catalog.refreshTable(table)
+
+
+def expire_versions(spark: SparkSession, table: str, hours: float = 168) -> int:
+    """Remove versions of a published table written more than ``hours`` ago, but not the present one."""
+    here = location(spark, table)
+    home, _, name = here.rpartition("/")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(home)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    limit = jvm.java.lang.System.currentTimeMillis() - int(hours * 3600 * 1000)
+    own = name.split(_VERSION)[0]
+    gone = 0
+    for status in system.listStatus(folder):
+        found = status.getPath().getName()
+        version = found == own or found.startswith(own + _VERSION)
+        if version and found != name and status.getModificationTime() < limit:
+            system.delete(status.getPath(), True)
+            gone += 1
+    return gone
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fresh(spark: SparkSession, table: str) -> DataFrame:
     """``table`` with a new file listing, so appends of other sessions are seen."""
     spark.catalog.refreshTable(table)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.operators import ledger as L
+from siltstone.operators.changes import log_changes, touched
 from siltstone.operators.columns import require_columns
 from siltstone.operators.merge import append, fresh, unseen
 from siltstone.operators.metrics import file_metrics
@@ -78,31 +79,34 @@ def run_silver_batch(
     appended each time unless ``once_per_file`` adds only those not there yet. ``stable_dates`` says that an event id always comes
     with the same event date; only the batch's dates are then looked up in the
     silver tables, instead of all their keys. Tables are written in the order
-    silver, rejections, metrics, so a file is only reported once its rows are in
-    place.
+    silver, touched dates, rejections, metrics, so a file is only reported once its rows
+    are in place and their dates are known to gold.
     """
     once = texts.dropDuplicates(["etag"])
-    judged = _held(check_files(once, instant(as_of), on_unexpected), hold)
+    now = instant(as_of)
+    judged = _held(check_files(once, now, on_unexpected), hold)
     try:
         for domain in DOMAINS:
             events = accepted(judged, domain)
             if hold == "table":
                 events = accepted(judged.filter(F.col("outcome") == domain), domain)
-            table = lake.silver(domain)
+            events = lake.dated(events, domain)
+            table, part = lake.silver(domain), lake.partition(domain)
             new = unseen(
                 one_per_event(events),
                 fresh(spark, table),
                 ["event_id"],
-                stable=["event_date"] if stable_dates else [],
+                stable=sorted({part, PARTITION[domain]}) if stable_dates else [],
                 candidates=events,
             )
-            append(new, table, PARTITION[domain])
+            append(new, table, part)
+        log_changes(spark, lake, touched(judged), now)
         turned_down = rejections(
             judged.filter("outcome = 'rejected'") if hold == "table" else judged
         )
         if once_per_file:
             turned_down = _not_there(turned_down, fresh(spark, lake.rejected))
-        append(turned_down, lake.rejected, PARTITION["rejected_events"])
+        append(lake.dated(turned_down, "rejected_events"), lake.rejected, lake.partition("rejected_events"))
         metrics = cut_lineage(file_metrics(judged))
         fresh_metrics = metrics
         if once_per_file:
@@ -134,28 +138,33 @@ def run_pending(
     limit: int | None = 10,
     on_unexpected: str = "fail",
     stable_dates: bool = False,
+    lease_seconds: int = L.SILVER_LEASE_SECONDS,
 ) -> DataFrame:
     """Take waiting files from the ledger through silver and record the result.
 
-    Files are marked in progress first. If the batch fails they go back to
-    waiting, so the next run picks them up.
+    The files are held for the run first, for ``lease_seconds``, and the run works on those
+    that it reads back as its own. If the batch fails they go back to waiting, so the next
+    run picks them up. If the run dies, a later one takes them over when the lease is
+    through; rejections and metrics that the dead run stored are then not stored again, and
+    nothing the dead run may still report counts. ``run_id`` must be new for every run.
     """
     now = instant(as_of)
     log = fresh(spark, lake.ledger)
-    batch = cut_lineage(L.pending(log, limit).select("etag"))
-    start = batch.withColumn("status", F.lit(L.IN_SILVER))
-    append(cut_lineage(L.transition(log, start, L.VALIDATED, now)), lake.ledger)
+    batch = cut_lineage(L.pending(log, limit, now).select("etag"))
+    append(cut_lineage(L.start_silver(log, batch, run_id, now, lease_seconds)), lake.ledger)
+    mine = cut_lineage(L.held(fresh(spark, lake.ledger), batch, run_id))
     try:
         routed = fresh(spark, lake.routed).filter(F.col("route").isin(*DOMAINS))
-        texts = routed.join(batch, "etag", "left_semi")
+        texts = routed.join(mine.select("etag"), "etag", "left_semi")
+        again = not mine.filter("retry_count > 0").isEmpty()
         metrics = run_silver_batch(
-            spark, texts, lake, as_of, on_unexpected, stable_dates=stable_dates
+            spark, texts, lake, as_of, on_unexpected, once_per_file=again, stable_dates=stable_dates
         )
-        result = L.file_results(metrics, run_id)
     except Exception:
-        _finish(spark, lake, batch.withColumn("status", F.lit(L.VALIDATED)), now)
+        back = mine.select("etag", F.lit(L.VALIDATED).alias("status"), F.lit(None).cast("string").alias("run_id"))
+        finish_silver(spark, back, run_id, lake, as_of)
         raise
-    _finish(spark, lake, result, now)
+    finish_silver(spark, L.file_results(metrics, run_id), run_id, lake, as_of)
     return metrics
 
 
@@ -164,12 +173,17 @@ def drain_pending(
 ) -> int:
     """``run_pending`` batch after batch until nothing waits; returns the number of batches."""
     number = 0
-    while not L.pending(fresh(spark, lake.ledger), 1).isEmpty():
+    now = instant(options.get("as_of"))
+    while not L.pending(fresh(spark, lake.ledger), 1, now).isEmpty():
         run_pending(spark, f"{run_id}-{number}", lake, limit=limit, **options)
         number += 1
     return number
 
 
-def _finish(spark: SparkSession, lake: Lake, updates: DataFrame, now) -> None:
+def finish_silver(
+    spark: SparkSession, updates: DataFrame, run_id: str, lake: Lake = Lake(), as_of: datetime | str | None = None
+) -> None:
+    """Record ``updates(etag, status[, run_id])`` for the files that the run still holds."""
     log = fresh(spark, lake.ledger)
-    append(cut_lineage(L.transition(log, updates, L.IN_SILVER, now)), lake.ledger)
+    rows = L.transition(log, updates, L.IN_SILVER, instant(as_of), held_by=run_id)
+    append(cut_lineage(rows), lake.ledger)

@@ -12,12 +12,12 @@ from siltstone.operators.columns import union_by_name
 from siltstone.operators.layout import cluster_table
 from siltstone.operators.merge import append, fresh
 from siltstone.plans.intake import run_intake
-from siltstone.plans.silver import run_pending, run_silver_batch, run_silver_files
+from siltstone.plans.silver import finish_silver, run_pending, run_silver_batch, run_silver_files
 from siltstone.queries import feeds
 from siltstone.queries.checks import ALL_FIELDS, METRICS_SQL, silver_sql
 from siltstone.queries.registry import ORACLE, query
-from siltstone.schemas import CLUSTER_BY, CONTRACT, DOMAINS, PARTITION, SILVER, Lake, create_tables
-from siltstone.session import scratch_path
+from siltstone.schemas import CLUSTER_BY, CONTRACT, DOMAINS, REJECTED, SILVER, Lake, create_tables
+from siltstone.session import cut_lineage, instant, scratch_path
 from siltstone.sources.files import read_texts, stream_texts
 from siltstone.streaming.silver import start_silver_stream
 
@@ -28,8 +28,9 @@ _COMMON = (
 
 
 def _new_lake(spark: SparkSession) -> Lake:
+    """A lake by months: the given events are few a day."""
     path = scratch_path(spark, "lake")
-    lake = Lake(prefix=f"q{path[-12:]}_")
+    lake = Lake(prefix=f"q{path[-12:]}_", grain="month")
     create_tables(spark, lake, location=path)
     return lake
 
@@ -37,8 +38,7 @@ def _new_lake(spark: SparkSession) -> Lake:
 def _all_silver(spark: SparkSession, lake: Lake) -> DataFrame:
     tables = []
     for domain in DOMAINS:
-        spark.catalog.refreshTable(lake.silver(domain))
-        tables.append(spark.table(lake.silver(domain)))
+        tables.append(fresh(spark, lake.silver(domain)).select(*SILVER[domain]))
     return feeds.plain(union_by_name(tables, fill_missing=True))
 
 
@@ -168,6 +168,41 @@ def file_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "silver_takeover",
+    f"""WITH {feeds.SQL_JUDGED}, {METRICS_SQL}, {feeds.SQL_DAMAGE}
+    SELECT d.etag,
+      CASE WHEN route IN ('rejected', 'unrouted') THEN 'REJECTED' ELSE file_status END AS status,
+      CASE WHEN route IN ('rejected', 'unrouted') THEN NULL ELSE 'run-2' END AS run_id,
+      CAST(CASE WHEN route IN ('rejected', 'unrouted') THEN 0 ELSE 1 END AS INTEGER) AS retry_count,
+      CAST(CASE WHEN route IN ('rejected', 'unrouted') THEN 2 ELSE 5 END AS BIGINT) AS seq,
+      CASE WHEN route NOT IN ('rejected', 'unrouted') THEN rejected_events END AS rejected_events,
+      CASE WHEN route NOT IN ('rejected', 'unrouted') THEN coalesce(n, 0) END AS rejection_rows
+    FROM damaged d JOIN file_metrics m ON d.etag = m.etag LEFT JOIN
+      (SELECT etag, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY etag) r ON r.etag = d.etag""",
+)
+def silver_takeover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run dies after its rows are in, a later one takes its files over, the first reports late."""
+    lake = _new_lake(spark)
+    run_intake(spark, feeds.damaged_documents(spark, sf_dir).drop("eid"), lake, feeds.AS_OF)
+    log = fresh(spark, lake.ledger)
+    waiting = L.pending(log, None)
+    append(cut_lineage(L.start_silver(log, waiting, "run-1", instant(feeds.AS_OF))), lake.ledger)
+    texts = fresh(spark, lake.routed).filter(F.col("route").isin(*DOMAINS))
+    metrics = run_silver_batch(spark, texts, lake, feeds.AS_OF, on_unexpected="reject")
+    # feeds.AS_OF is the start of run-1; its lease is over an hour later
+    run_pending(spark, "early", lake, "2030-01-01T00:59:59Z", limit=None, on_unexpected="reject")
+    run_pending(spark, "run-2", lake, "2030-01-01T01:00:00Z", limit=None, on_unexpected="reject")
+    finish_silver(spark, L.file_results(metrics, "run-1"), "run-1", lake, "2030-01-01T02:00:00Z")
+
+    state = L.current(fresh(spark, lake.ledger)).select("etag", "status", "run_id", "retry_count", "seq")
+    stored = fresh(spark, lake.metrics).select("etag", "rejected_events")
+    rows = fresh(spark, lake.rejected).groupBy("etag").agg(F.count("*").alias("n"))
+    counts = stored.join(rows, "etag", "left")
+    counts = counts.select("etag", "rejected_events", F.coalesce("n", F.lit(0)).cast("bigint").alias("rejection_rows"))
+    return state.join(counts, "etag", "left")
+
+
 @query("cluster_rewrite", "SELECT * FROM orders")
 def cluster_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table rewritten in clustered order holds the same rows."""
@@ -186,10 +221,11 @@ def cluster_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _new_lake(spark)
     table = lake.silver("order_events")
     rows = feeds.order_events(spark, sf_dir).select(*SILVER["order_events"])
-    append(rows, table, PARTITION["order_events"])
+    part = lake.partition("order_events")
+    append(lake.dated(rows, "order_events"), table, part)
     columns = list(CLUSTER_BY["order_events"])
-    cluster_table(spark, table, columns, 16, "event_date")
-    cluster_table(spark, table, columns, 4, "event_date", "event_date >= DATE '2000-01-01'")
+    cluster_table(spark, table, columns, 16, part)
+    cluster_table(spark, table, columns, 4, part, f"{part} >= DATE '2000-01-01'")
     return spark.table(table).select("event_id", "order_id", "amount", "event_date")
 
 
@@ -255,5 +291,5 @@ def rejected_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rejection table after one batch."""
     lake = _new_lake(spark)
     run_silver_batch(spark, feeds.documents(spark, sf_dir), lake, feeds.AS_OF, on_unexpected="reject")
-    rows = fresh(spark, lake.rejected)
+    rows = fresh(spark, lake.rejected).select(*REJECTED)
     return feeds.plain(rows.withColumn("has_raw", F.col("raw_event_json").isNotNull()).drop("raw_event_json"))

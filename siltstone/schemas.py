@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Domains, payload contracts and table columns of the lakehouse.
 DOMAINS = ("user_events", "payment_events", "order_events")
@@ -98,6 +99,7 @@ PARTITION = {
     "routed_files": "route",
     "fact_orders": "order_date",
     "fact_payments": "payment_date",
+    "changes": "log_date",
 }
 
 # Latest user event per user: what ``dim_users`` is taken from.
@@ -109,6 +111,16 @@ USER_LATEST = {
     "event_id": "STRING",
 }
 
+# Event dates that silver runs have touched, one entry id per run; and who has taken which.
+CHANGES = {
+    "entry": "STRING",
+    "domain": "STRING",
+    "event_date": "DATE",
+    "logged_at": "TIMESTAMP",
+    "log_date": "DATE",
+}
+TAKEN = {"consumer": "STRING", "entry": "STRING", "taken_at": "TIMESTAMP"}
+
 # Columns each table is clustered by on a rewrite.
 CLUSTER_BY = {
     "user_events": ("event_id",),
@@ -119,6 +131,9 @@ CLUSTER_BY = {
 }
 
 
+_TRACK = "spark.sql.hive.manageFilesourcePartitions"
+
+
 def ddl(columns: dict[str, str]) -> str:
     """Column list as DDL text."""
     return ", ".join(f"{name} {kind}" for name, kind in columns.items())
@@ -126,9 +141,30 @@ def ddl(columns: dict[str, str]) -> str:
 
 @dataclass(frozen=True)
 class Lake:
-    """Schema names of one lakehouse; ``prefix`` keeps several apart in one catalog."""
+    """Schema names of one lakehouse; ``prefix`` keeps several apart in one catalog.
+
+    ``grain`` is a property of its tables: ``day`` partitions the dated ones by their date,
+    ``month`` by the first day of the month, in a column of its own, where a day holds too
+    few rows for files of its own. The date itself stays a column either way.
+    """
 
     prefix: str = ""
+    grain: str = "day"
+
+    def __post_init__(self) -> None:
+        if self.grain not in ("day", "month"):
+            raise ValueError(f"grain must be 'day' or 'month', not {self.grain!r}")
+
+    def partition(self, name: str) -> str | None:
+        """The column that table ``name`` is partitioned by."""
+        return partition_column(PARTITION[name], self.grain) if name in PARTITION else None
+
+    def dated(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with the column that table ``name`` is partitioned by."""
+        column = self.partition(name)
+        if column is None or column == PARTITION[name]:
+            return df
+        return df.withColumn(column, F.trunc(PARTITION[name], "month"))
 
     def schema(self, tier: str) -> str:
         return f"{self.prefix}{tier}"
@@ -155,6 +191,14 @@ class Lake:
     def user_latest(self) -> str:
         return f"{self.schema('control')}.user_latest"
 
+    @property
+    def changes(self) -> str:
+        return f"{self.schema('control')}.changes"
+
+    @property
+    def taken(self) -> str:
+        return f"{self.schema('control')}.taken"
+
     @property
     def routed(self) -> str:
         return f"{self.schema('bronze')}.routed_files"
@@ -169,8 +213,19 @@ class Lake:
             self.ledger: LEDGER,
             self.user_latest: USER_LATEST,
             self.metrics: FILE_METRICS,
+            self.changes: CHANGES,
+            self.taken: TAKEN,
         }
 
+    def published(self) -> set[str]:
+        """Tables that are replaced as a whole: their location is their version."""
+        return {*(self.gold(table) for table in GOLD), self.user_latest}
+
+
+def partition_column(date: str, grain: str) -> str:
+    """Partition column of a table that is dated by ``date``."""
+    return date.removesuffix("_date") + "_month" if grain == "month" and date.endswith("_date") else date
+
 
 def create_tables(
     spark: SparkSession, lake: Lake = Lake(), location: str | None = None, reset: bool = False
@@ -185,7 +240,14 @@ def create_tables(
             spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
         place = f" LOCATION '{location.rstrip('/')}/{schema}'" if location else ""
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{place}")
-    for name, columns in lake.tables().items():
-        part = PARTITION.get(name.split(".")[-1])
-        by = f" PARTITIONED BY ({part})" if part else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(columns)}) USING parquet{by}")
+    tracked = spark.conf.get(_TRACK)
+    try:
+        for name, columns in lake.tables().items():
+            part = lake.partition(name.split(".")[-1])
+            by = f" PARTITIONED BY ({part})" if part else ""
+            own = columns if part is None or part in columns else {**columns, part: "DATE"}
+            # a published table's partitions are the folders of its location, not entries of the catalog
+            spark.conf.set(_TRACK, str(name not in lake.published()).lower())
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(own)}) USING parquet{by}")
+    finally:
+        spark.conf.set(_TRACK, tracked)

@@ -25,9 +25,7 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-# Thousands of date partitions each; test_gold.py and test_layout.py take fewer days.
-LONG = {"gold_refresh", "gold_update", "gold_update_late", "cluster_partitioned"}
-NAMES = sorted(set(QUERIES) if os.environ.get("TEST_ALL") else set(QUERIES) - LONG)
+NAMES = sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -192,3 +192,64 @@ def test_batch_size(spark, lake):
     assert run_pending(spark, "run-1", lake, AS_OF, limit=10).count() == 10
     assert run_pending(spark, "run-2", lake, AS_OF, limit=10).count() == 2
     assert len(ids(spark, lake)) == 12
+
+
+LATER = "2024-06-01T01:00:00+00:00"
+
+
+def started(spark, lake, run_id, as_of=AS_OF, **options):
+    from siltstone.operators.merge import append
+
+    log = spark.table(lake.ledger)
+    rows = L.start_silver(log, L.pending(log, None, instant(as_of)), run_id, instant(as_of), **options)
+    append(spark.createDataFrame(rows.collect(), rows.schema), lake.ledger)
+
+
+def test_dead_silver_run_is_taken_over_after_its_lease(spark, lake):
+    good = container([event(1), event(2, source=None)])
+    run_intake(spark, raw_files(spark, [("order_1.json", good)]), lake, AS_OF)
+    started(spark, lake, "dead")
+    run_silver_batch(spark, spark.table(lake.routed), lake, AS_OF)  # it got as far as this
+    assert run_pending(spark, "early", lake, "2024-06-01T00:59:59+00:00").collect() == []
+    assert states(spark, lake)["order_1.json"] == ("IN_PROGRESS(SILVER)", "dead")
+    assert drain_pending(spark, "next", lake, as_of=LATER) == 1
+    row = L.current(spark.table(lake.ledger)).first()
+    assert (row.status, row.run_id, row.retry_count) == ("PARTIAL_SUCCESS(SILVER)", "next-0", 1)
+    assert ids(spark, lake) == ["e1"]
+    assert len(table_rows(spark, lake.rejected)) == len(table_rows(spark, lake.metrics)) == 1
+
+
+def test_late_report_of_a_run_that_lost_its_files_does_not_count(spark, lake):
+    from siltstone.plans.silver import finish_silver
+
+    run_intake(spark, raw_files(spark, [("order_1.json", container([event(1)]))]), lake, AS_OF)
+    started(spark, lake, "slow")
+    started(spark, lake, "second", LATER)
+    etag = table_rows(spark, lake.routed)[0].etag
+    late = spark.createDataFrame([(etag, "FAILED(SILVER)", "slow")], "etag string, status string, run_id string")
+    finish_silver(spark, late, "slow", lake, LATER)
+    assert states(spark, lake)["order_1.json"] == ("IN_PROGRESS(SILVER)", "second")
+    done = spark.createDataFrame([(etag, "SUCCESS(SILVER)", "second")], "etag string, status string, run_id string")
+    finish_silver(spark, done, "second", lake, LATER)
+    assert states(spark, lake)["order_1.json"] == ("SUCCESS(SILVER)", "second")
+
+
+def test_two_runs_that_start_at_once_share_no_file(spark, lake):
+    from siltstone.operators.merge import append
+
+    run_intake(spark, raw_files(spark, [(f"order_{i}.json", container([event(i)], n=i)) for i in range(3)]), lake, AS_OF)
+    log = spark.table(lake.ledger)
+    batch = L.pending(log, None)
+    frames = [L.start_silver(log, batch, run, instant(AS_OF)) for run in ("r1", "r2")]
+    rows = [r for frame in frames for r in frame.collect()]
+    append(spark.createDataFrame(rows, frames[0].schema), lake.ledger)
+    log = spark.table(lake.ledger)
+    batch = log.select("etag").distinct()
+    mine = [{r.etag for r in L.held(log, batch, run).collect()} for run in ("r1", "r2")]
+    assert not mine[0] & mine[1] and len(mine[0] | mine[1]) == 3
+
+
+def test_lease_length(spark, lake):
+    run_intake(spark, raw_files(spark, [("order_1.json", container([event(1)]))]), lake, AS_OF)
+    started(spark, lake, "dead", lease_seconds=60)
+    assert run_pending(spark, "soon", lake, "2024-06-01T00:01:00+00:00").count() == 1
