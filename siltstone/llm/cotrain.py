@@ -5,8 +5,9 @@ repetitions, read by a logistic model over hashed buckets. The metadata view nev
 word: it has the document's source, language and length and the counts of lines, capitals,
 signs and digits that describe a page's layout. Each view is trained on the labelled
 sample; then, round after round, each hands its surest judgements of unlabelled documents
-to the other as extra labels. At last both are calibrated on labelled rows that neither
-was trained on, and a logistic model of the two calibrated scores decides.
+to the other as extra labels: all of them are scored, and
+the other's new rows are drawn from the surest. At last both are calibrated on all labelled
+rows that neither was trained on, and a logistic model of the two calibrated scores decides.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.bytesets import SPACED, Words, blocks, joined, mixed, span_keys, texts_of
-from siltstone.llm.fitting import best_threshold, bounded_sample, calibration, logistic, sigmoid
+from siltstone.llm.fitting import best_threshold, calibration, in_sample, logistic, sigmoid
+from siltstone.session import scratch_path
 
 BUCKETS = 1 << 15
 SOURCES = 32
 LANGS = 16
+#: Steps to one unit of a view's answer in which rows are counted.
+STEPS = 16
 _WIDTH = SOURCES + LANGS + 1  # the metadata that is not layout
 _SIGNS = np.zeros(256, bool)
 _SIGNS[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
@@ -139,60 +144,52 @@ class Judge:
         one, two = np.clip(a * one + b, -wide, wide), np.clip(c * two + d, -wide, wide)
         return sigmoid(self.blend[0] * one + self.blend[1] * two + self.blend[2])
 
-    def scores(self, texts, sources, langs, lengths) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probability of good quality by content, by metadata, and by both."""
+    def logits(self, texts, sources, langs, lengths) -> tuple[np.ndarray, np.ndarray]:
+        """Both views' answers before calibration."""
         one, two = np.zeros(len(texts)), np.zeros(len(texts))
         for a, b in blocks(texts):
             ids, first = content(texts[a:b])
             one[a:b] = _means(self.content.weights[ids], first) + self.content.shift
             two[a:b] = self.metadata.logits(metadata(texts[a:b], sources[a:b], langs[a:b], lengths[a:b]))
+        return one, two
+
+    def scores(self, texts, sources, langs, lengths) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probability of good quality by content, by metadata, and by both."""
+        one, two = self.logits(texts, sources, langs, lengths)
         (p, q), (r, s) = self.calibrations
         return sigmoid(p * one + q), sigmoid(r * two + s), self.combined(one, two)
 
 
-def _surest(logit: np.ndarray, free: np.ndarray, share: float, number: int) -> tuple[np.ndarray, np.ndarray]:
-    """The surest unlabelled documents, good and bad in the labels' proportion."""
-    index = np.flatnonzero(free)
-    order = index[np.argsort(logit[index], kind="stable")]
-    bad = max(1, int(round(number * (1 - share))))
-    good = max(1, number - bad)
-    if len(order) < bad + good:
-        return order[:0], np.zeros(0)
-    return np.concatenate((order[:bad], order[-good:])), np.repeat([0.0, 1.0], [bad, good])
+def train_views(ids: list, x: np.ndarray, y: np.ndarray, extra: Extra | None = None) -> Judge:
+    """Both views trained on labelled rows and on what the other view has labelled for each."""
+    judge = Judge(ContentModel(), MetadataModel())
+    given = extra or Extra()
+    judge.content.fit([*ids, *(i for i, _ in given.content.values())], np.append(y, [v for _, v in given.content.values()]))
+    rows = [r for r, _ in given.metadata.values()]
+    judge.metadata.fit(np.vstack((x, *rows)), np.append(y, [v for _, v in given.metadata.values()]))
+    judge.exchanged = (len(given.content), len(given.metadata))
+    return judge
+
+
+class Extra:
+    """Documents that each view was given by the other: id to features and label."""
 
+    def __init__(self) -> None:
+        self.content: dict = {}
+        self.metadata: dict = {}
 
-def co_train(labelled, y: np.ndarray, unlabelled, rounds: int = 4, per_round: float = 0.1) -> Judge:
-    """Train both views; ``labelled`` and ``unlabelled`` are (content ids, metadata) pairs.
 
-    In each round a view labels ``per_round`` of the unlabelled documents for the other.
-    """
-    ids, x = labelled
-    free_ids, free_x = unlabelled
-    judge = Judge(ContentModel(), MetadataModel())
-    extra: list[dict[int, float]] = [{}, {}]  # what each view was given: document to label
-    share = float(y.mean())
-    number = max(2, int(per_round * len(free_ids)))
-    for turn in range(rounds + 1):
-        given = [np.array(sorted(e), np.int64) for e in extra]
-        label = [np.array([e[i] for i in g.tolist()]) for e, g in zip(extra, given)]
-        judge.content = ContentModel()
-        judge.content.fit([*ids, *(free_ids[i] for i in given[0])], np.concatenate((y, label[0])))
-        judge.metadata.fit(np.concatenate((x, free_x[given[1]])), np.concatenate((y, label[1])))
-        if turn == rounds or not len(free_ids):
-            break
-        said = (judge.content.logits(free_ids), judge.metadata.logits(free_x))
-        for view in (0, 1):
-            other = extra[1 - view]
-            free = np.ones(len(free_ids), bool)
-            free[list(other)] = False
-            for i, value in zip(*_surest(said[view], free, share, number)):
-                other[int(i)] = float(value)
-    judge.exchanged = (len(extra[0]), len(extra[1]))
-    return judge
+class Views(NamedTuple):
+    """Rows as both views see them."""
+
+    names: list
+    ids: list[np.ndarray]
+    x: np.ndarray
+    y: np.ndarray
 
 
-def _views(rows: DataFrame) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
-    """Content buckets, metadata, labels and held marks of ``id, text, source, lang, length, label, held``.
+def _views(rows: DataFrame) -> Views:
+    """Content buckets, metadata and labels of ``id, text, source, lang, length, label``.
 
     Both views are made in the tasks that read the texts; the driver gets the buckets as
     16-bit numbers and never a text. Rows are ordered by id and content.
@@ -211,32 +208,81 @@ def _views(rows: DataFrame) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
                         pa.array([i.tobytes() for i in ids], pa.binary()),
                         pa.array([v.tobytes() for v in x], pa.binary()),
                         batch.column(5).slice(a, b - a),
-                        batch.column(6).slice(a, b - a),
                     ],
-                    ["id", "ids", "x", "label", "held"],
+                    ["id", "ids", "x", "label"],
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    made = rows.select("id", "text", "source", "lang", "length", "label", "held").mapInArrow(
-        run, f"id {kind}, ids binary, x binary, label double, held boolean"
+    made = rows.select("id", "text", "source", "lang", "length", "label").mapInArrow(
+        run, f"id {kind}, ids binary, x binary, label double"
     )
-    got = sorted(made.collect(), key=lambda r: (r.id, r.ids))
-    if not got:
-        none = np.zeros(0)
-        return [], np.zeros((0, _WIDTH + layout([b""]).shape[1])), none, none.astype(bool)
-    return (
-        [np.frombuffer(r.ids, np.uint16) for r in got],
-        np.stack([np.frombuffer(r.x) for r in got]),
-        np.array([r.label for r in got], float),
-        np.array([r.held for r in got], bool),
+    got = made.toArrow()
+    raw, names = got.column("ids").to_pylist(), got.column("id").to_pylist()
+    order = sorted(range(len(raw)), key=lambda i: (names[i], raw[i]))
+    width = _WIDTH + layout([b""]).shape[1]
+    x = np.array([np.frombuffer(v) for v in got.column("x").to_pylist()]).reshape(-1, width)
+    return Views(
+        [names[i] for i in order],
+        [np.frombuffer(raw[i], np.uint16) for i in order],
+        x[order] if order else x,
+        got.column("label").to_numpy()[order] if order else np.zeros(0),
     )
 
 
+def _steps_of(texts: DataFrame, judge: Judge) -> DataFrame:
+    """``id, content, metadata``: both views' answers on every text, in whole steps."""
+    sent = texts.sparkSession.sparkContext.broadcast(judge)
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = [batch.column(i).to_pylist() for i in (2, 3, 4)]
+            found = sent.value.logits(texts_of(batch.column(1)), *rest)
+            steps = [np.rint(np.clip(f, -40, 40) * STEPS).astype(np.int32) for f in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, steps)], ["id", "content", "metadata"])
+
+    own = texts.filter("id IS NOT NULL").select("id", "text", "source", "lang", "length")
+    return own.mapInArrow(run, f"id {kind}, content int, metadata int")
+
+
+def _cuts(free: DataFrame, view: str, share: float, portion: float) -> tuple[int, int, int, int]:
+    """Steps at or below and above which the surest ``portion`` lies, and how many rows do.
+
+    Bad and good rows in the labels' proportion, counted over all unlabelled rows.
+    """
+    held = free.groupBy(view).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(view)
+    step, n = held[view].to_numpy(), held["n"].to_numpy()
+    if not len(n):
+        return -(1 << 30), 1 << 30, 0, 0
+    up, down = np.cumsum(n), np.cumsum(n[::-1])[::-1]
+    low = int(np.searchsorted(up, max(1.0, portion * (1 - share) * up[-1])))
+    high = len(n) - 1 - int(np.searchsorted(down[::-1], max(1.0, portion * share * up[-1])))
+    if low >= high:  # nothing that tells them apart
+        return -(1 << 30), 1 << 30, 0, 0
+    return int(step[low]), int(step[high]), int(up[low]), int(down[high])
+
+
+def _drawn(free: DataFrame, view: str, share: float, portion: float, draw: int, turn: int) -> dict:
+    """About ``draw`` ids of the surest rows with their labels, by a hash of the id."""
+    low, high, bad, good = _cuts(free, view, share, portion)
+    scale = 1 << 31
+    mark = F.pmod(F.xxhash64(F.lit(17 + turn), "id"), F.lit(scale))
+    wanted = ((F.col(view) <= low, bad, draw * (1 - share), 0.0), (F.col(view) >= high, good, draw * share, 1.0))
+    out: dict = {}
+    for beyond, rows, number, label in wanted:
+        if rows:
+            rate = int(scale * min(1.0, max(number, 1.0) / rows))
+            out |= {r.id: label for r in free.filter(beyond & (mark < rate)).select("id").distinct().collect()}
+    return out
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
     sample: int = 5000,
-    unlabelled: int = 2500,
+    sample_chars: int = 32_000_000,
+    portion: float = 0.1,
+    draw: int = 500,
     rounds: int = 4,
     id_col: str = "doc_id",
     label_col: str = "quality",
@@ -245,12 +291,18 @@ def fit(
     lang_col: str = "lang",
     length_col: str = "n_chars",
 ) -> Judge:
-    """Fit on about ``sample`` labelled and ``unlabelled`` other rows, chosen by id hashes.
-
-    A quarter of the labelled rows is kept for calibration. Rows without a label count as
-    unlabelled. Without labels, or with labels of one class, every document gets that class.
+    """Train on about ``sample`` labelled rows, chosen by id hashes, of about ``sample_chars`` at most.
+
+    In each round both views score all unlabelled rows; the surest ``portion``, found from
+    counts over all of them, is where the other view's new labels come from, a draw of about
+    ``draw`` rows a round. A quarter of the labelled rows is never trained on; these and all
+    labelled rows outside the sample give calibrations, blend and threshold. Rows without a
+    label count as unlabelled. Without labels, or with labels of one class, every document
+    gets that class.
     """
-    known = labels.filter(F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("label"))
+    spark = docs.sparkSession
+    known = labels.filter(F.col(label_col).isNotNull())
+    known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("double").alias("label"))
     texts = docs.select(
         F.col(id_col).alias("id"),
         F.col(text_col).alias("text"),
@@ -258,28 +310,52 @@ def fit(
         F.col(lang_col).alias("lang"),
         F.col(length_col).cast("bigint").alias("length"),
     )
-    quarter = (F.pmod(F.xxhash64(F.lit(4), "id"), F.lit(4)) == 0).alias("held")
-    chosen = bounded_sample(known, F.col(id_col), sample).withColumnRenamed(id_col, "id")
-    label = F.col("label").cast("double").alias("label")
-    ids, x, y, held = _views(texts.join(chosen, "id").select(*texts.columns, label, quarter))
-    if not len(y) or y.min() == y.max():
-        return _constant(Judge(ContentModel(), MetadataModel()), float(y.mean()) if len(y) else 1.0)
-    # the unlabelled are thinned by their ids before any text is looked at
-    rest = texts.select("id").join(known.select(F.col(id_col).alias("id")), "id", "left_anti")
-    rest = bounded_sample(rest, F.col("id"), unlabelled).distinct()
-    unmarked = (F.lit(0.0).alias("label"), F.lit(False).alias("held"))
-    free_ids, free_x, _, _ = _views(texts.join(rest, "id").select(*texts.columns, *unmarked))
-    judge = co_train(
-        ([i for i, h in zip(ids, held) if not h], x[~held]), y[~held], (free_ids, free_x), rounds
-    )
-    one, two = judge.content.logits([i for i, h in zip(ids, held) if h]), judge.metadata.logits(x[held])
-    truth = y[held]
-    judge.calibrations = (calibration(one, truth), calibration(two, truth))
+    sizes = texts.select("id", F.coalesce(F.length("text"), F.lit(0)).alias("chars")).join(known, "id")
+    total = sizes.agg(
+        F.avg("label").alias("rate"), F.min("label").alias("a"), F.max("label").alias("b"), F.avg("chars").alias("chars")
+    ).first()
+    if total.rate is None or total.a == total.b:
+        return _constant(Judge(ContentModel(), MetadataModel()), 1.0 if total.rate is None else float(total.rate))
+    sample = min(sample, int(sample_chars / max(total.chars, 1.0)) + 1)
+    quarter = F.pmod(F.xxhash64(F.lit(4), "id"), F.lit(4)) == 0
+    known = known.withColumn("learned", in_sample(known, F.col("id"), sample) & ~quarter)
+    path = scratch_path(spark, "quality")
+
+    def views(chosen: dict) -> Views:
+        """The chosen rows; as a local table their ids meet the texts without a shuffle."""
+        kind = texts.schema["id"].dataType.simpleString()
+        local = spark.createDataFrame(sorted(chosen.items()), f"id {kind}, label double")
+        return _views(texts.join(local, "id"))
+
+    def scored(judge: Judge, name: str) -> DataFrame:
+        _steps_of(texts, judge).write.parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}")
+
+    own = views({r.id: r.label for r in known.filter("learned").collect()})
+    if not len(own.y) or own.y.min() == own.y.max():
+        return _constant(Judge(ContentModel(), MetadataModel()), float(total.rate))
+    extra, share = Extra(), float(own.y.mean())
+    judge = train_views(own.ids, own.x, own.y)
+    for turn in range(rounds):
+        free = scored(judge, f"round-{turn}").join(known.select("id"), "id", "left_anti")
+        for view, other in (("content", extra.metadata), ("metadata", extra.content)):
+            given = {k: v for k, v in _drawn(free, view, share, portion, draw, 2 * turn).items() if k not in other}
+            if given:
+                got = views(given)
+                part = got.x if other is extra.metadata else got.ids
+                other.update({name: (row, label) for name, row, label in zip(got.names, part, got.y)})
+        judge = train_views(own.ids, own.x, own.y, extra)
+    rest = scored(judge, "last").join(known.filter("NOT learned").select("id", "label"), "id")
+    counts = rest.groupBy("content", "metadata", "label").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    counts = counts.sort_values(["content", "metadata", "label"])
+    one, two, truth, n = (counts[c].to_numpy(float) for c in ("content", "metadata", "label", "n"))
+    one, two = one / STEPS, two / STEPS
+    judge.calibrations = (calibration(one, truth, n), calibration(two, truth, n))
     if len(truth) and truth.min() < truth.max():
         (a, b), (c, d) = judge.calibrations
         both = np.column_stack((np.clip(a * one + b, -12, 12), np.clip(c * two + d, -12, 12)))
-        judge.blend = tuple(logistic(both, truth, ridge=0.5).tolist())
-        judge.threshold = best_threshold(judge.combined(one, two), truth)
+        judge.blend = tuple(logistic(both, truth, ridge=0.5, number=n).tolist())
+        judge.threshold = best_threshold(judge.combined(one, two), truth, number=n)
     return judge
 
 

@@ -10,8 +10,9 @@ make a band, and documents that agree in a band are candidates.
    others. The collision-corrected estimate of the registers rules pairs out with five
    standard deviations to spare; the rest is decided on the full sets.
 3. Links give components. In a bucket of several components, the members outside its
-   largest one are compared with all members of other components on the full sets, in
-   blocks of bounded size, so no candidate pair is left open.
+   largest one are compared with all members of other components, in blocks of bounded
+   size: first by registers, as in 2., which leaves the members that may have a link; then
+   these on the full sets. So no candidate pair is left open.
 
 A pair of similarity 0.8 shares no band with a chance of about 3e-8.
 """
@@ -36,8 +37,9 @@ BAND = 3
 MANTISSA = 10
 #: Members of a bucket that all others are compared with.
 PIVOTS = 2
-#: Shingles in a block of the exhaustive comparison.
+#: Shingles, and sets, in a block of the exhaustive comparison.
 BLOCK_SHINGLES = 200_000
+BLOCK_SETS = 2000
 _U = np.uint64
 _ODDS = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
 
@@ -98,12 +100,21 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
     """Similarity of paired signatures, corrected for chance agreement, and its deviation."""
     used = np.maximum(((a > 0) | (b > 0)).sum(axis=1), 1)
     agree = ((a == b) & (a > 0)).sum(axis=1) / used
+    return _corrected(agree, used, n, m)
+
+
+def _corrected(agree: np.ndarray, used: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple:
     ratio = np.minimum(n, m) / np.maximum(np.maximum(n, m), 1)
     chance = 6 * 0.169919487159739094 * 2.0**-MANTISSA * 4 * ratio / (1 + ratio) ** 2
     j = np.clip((agree - chance) / (1 - chance), 0, 1)
     return j, np.sqrt(np.maximum(j * (1 - j), 0.16) / used)
 
 
+def likely(j: np.ndarray, deviation: np.ndarray, n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
+    """Pairs that the estimate, with five deviations to spare, and the sizes do not rule out."""
+    return (j + 5 * deviation >= threshold) & (np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9)
+
+
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
     return (total[first[1:]] - total[first[:-1]]).view(np.int64)
@@ -210,8 +221,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
                 for i in (3, 5)
             )
             j, deviation = estimate(left, right, n, m)
-            near = (j + 5 * deviation >= threshold) & (np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9)
-            kept = pa.array(near)
+            kept = pa.array(likely(j, deviation, n, m, threshold))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).filter(kept) for i in range(2)], ["a", "b"]
             )
@@ -313,28 +323,71 @@ def _open_buckets(shared: DataFrame, comps: DataFrame) -> DataFrame:
     return named.join(tops, "key").select("key", "cid", "comp", (F.col("comp") != F.col("top")).alias("minor"))
 
 
-def _exhaustive(members: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """Compare each bucket's minor members with all members of other components, by blocks."""
-    full = members.join(sets, "cid")
-    weight = F.sum("n") / BLOCK_SHINGLES
-    parts = full.groupBy("key").agg(
-        F.ceil(weight).cast("int").alias("wide"),
-        F.ceil(F.sum(F.when(F.col("minor"), F.col("n")).otherwise(0)) / BLOCK_SHINGLES).cast("int").alias("deep"),
-    )
+def _likely_members(threshold: float):
+    """Members of two blocks of one bucket that may be alike across components, by registers."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found: list[np.ndarray] = []
+        if len(left) and len(right):
+            right = right.rename(columns=lambda c: c.removeprefix("right_"))
+            a, b = (np.frombuffer(b"".join(side["sig"]), np.uint16).reshape(-1, REGISTERS) for side in (left, right))
+            n, m = (side["n"].to_numpy(float) for side in (left, right))
+            one, two = (side["comp"].to_numpy() for side in (left, right))
+            blank = (b == 0).astype(np.float32)
+            some = np.zeros(len(right), bool)
+            step = max(1, 4_000_000 // (len(right) * REGISTERS))
+            for i in range(0, len(left), step):
+                own = a[i : i + step]
+                used = np.maximum(REGISTERS - (own == 0).astype(np.float32) @ blank.T, 1)
+                same = (own[:, None, :] == b[None]) & (own[:, None, :] > 0)
+                j, deviation = _corrected(same.sum(axis=2) / used, used, n[i : i + step, None], m[None])
+                near = likely(j, deviation, n[i : i + step, None], m[None], threshold)
+                near &= one[i : i + step, None] != two[None]
+                found.append(left["cid"].to_numpy()[i : i + step][near.any(axis=1)])
+                some |= near.any(axis=0)
+            found.append(right["cid"].to_numpy()[some])
+        cids = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+        return pd.DataFrame({"cid": cids})
+
+    return run
+
+
+def _by_blocks(full: DataFrame, columns: list[str], wide, deep) -> tuple[DataFrame, DataFrame]:
+    """Minor members and all members of each bucket, dealt to blocks that meet each other once."""
+    parts = full.groupBy("key").agg(wide.alias("wide"), deep.alias("deep")).filter("deep > 0")
     full = full.join(parts, "key")
     own = lambda blocks: F.pmod(F.xxhash64("cid"), F.col(blocks)).cast("int")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-    left = full.filter("minor").select(
-        "key", own("deep").alias("i"), every("wide").alias("j"), "cid", "comp", "set"
-    )
-    right = full.select("key", every("deep").alias("i"), own("wide").alias("j"), "cid", "comp", "set")
+    left = full.filter("minor").select("key", own("deep").alias("i"), every("wide").alias("j"), *columns)
+    right = full.select("key", every("deep").alias("i"), own("wide").alias("j"), *columns)
     # both sides come from one frame: fresh names tell their columns apart
     right = right.toDF(*(f"right_{c}" for c in right.columns))
-    return (
-        left.groupBy("key", "i", "j")
-        .cogroup(right.groupBy("right_key", "right_i", "right_j"))
-        .applyInPandas(_block_links(per_cent), "a bigint, b bigint")
+    return left.groupBy("key", "i", "j"), right.groupBy("right_key", "right_i", "right_j")
+
+
+def _number(rows, sets: int):
+    return F.ceil(rows / sets).cast("int")
+
+
+def _undecided(members: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
+    """The members that the registers do not rule out, with their buckets."""
+    full = members.join(classes.select("cid", "n", "sig"), "cid")
+    minor = F.sum(F.col("minor").cast("int"))
+    left, right = _by_blocks(
+        full, ["cid", "comp", "n", "sig"], _number(F.count("*"), BLOCK_SETS), _number(minor, BLOCK_SETS)
     )
+    found = left.cogroup(right).applyInPandas(_likely_members(per_cent / 100), "cid bigint")
+    return members.join(found.distinct(), "cid")
+
+
+def _exhaustive(members: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Compare each bucket's minor members with all members of other components, by blocks."""
+    full = members.join(sets, "cid")
+    own = F.col("minor").cast("int")
+    wide = F.greatest(_number(F.sum("n"), BLOCK_SHINGLES), _number(F.count("*"), BLOCK_SETS))
+    deep = F.greatest(_number(F.sum(own * F.col("n")), BLOCK_SHINGLES), _number(F.sum(own), BLOCK_SETS))
+    left, right = _by_blocks(full, ["cid", "comp", "set"], wide, deep)
+    return left.cogroup(right).applyInPandas(_block_links(per_cent), "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -387,6 +440,7 @@ def near_duplicates(
     comps = components(links)
     members = keep(_open_buckets(shared, comps), "open")
     if not members.isEmpty():
+        members = keep(_undecided(members, classes, per_cent), "undecided")
         more = keep(_exhaustive(members, sets, per_cent), "more")
         comps = components(links.union(more))
     return _result(signed, classes, comps)

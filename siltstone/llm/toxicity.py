@@ -212,6 +212,7 @@ def fit(
     labels: DataFrame,
     learn_from: Column | None = None,
     sample: int = 8000,
+    sample_chars: int = 32_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
@@ -219,6 +220,9 @@ def fit(
 ) -> Network:
     """Train on about ``sample`` labelled rows (``learn_from`` restricts them), calibrate on the rest.
 
+    The sample is smaller if its texts would hold more than about ``sample_chars`` characters.
+    Every text is scored once where it is read; the scores, not the texts, meet the labels.
+
     A fifth of the rows, chosen by a hash of the id, is never trained on. All labelled rows
     that were not trained on give the calibration and the thresholds, by counts of their
     scores. A language with fewer than ``LEAST_OF_CLASS`` of them of either class has the
@@ -228,25 +232,25 @@ def fit(
     known = labels.filter(F.col(label_col).isNotNull())
     if learn_from is not None:
         known = known.filter(learn_from)
-    fifth = F.pmod(F.xxhash64(F.lit(3), id_col), F.lit(5)) == 0
-    learned = in_sample(known, F.col(id_col), sample) & ~fifth
-    known = known.groupBy(id_col).agg(F.max(label_col).alias("label")).withColumn("learned", learned)
+    known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("double").alias("label"))
     texts = docs.select(
-        F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang")
+        F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang")
     )
-    label = F.col("label").cast("double").alias("label")
-    rows = texts.join(known, id_col).select(F.col(id_col).alias("id"), "text", "lang", label, "learned")
-    got = sorted(_featured(rows.filter("learned")).collect(), key=lambda r: (r.id, r.ids))
-    y = np.array([r.label for r in got], float)
-    if not len(y) or y.min() == y.max():
-        total = rows.agg(F.avg("label").alias("rate"), F.min("label").alias("a"), F.max("label").alias("b")).first()
-        if total.rate is None or total.a == total.b or not len(y):
-            return _constant(float(total.rate or 0.0))
-    ids = [np.frombuffer(r.ids, np.int32).reshape(-1, 1 + len(HEADS)) for r in got]
-    del got
+    sizes = texts.select("id", F.length("text").alias("chars")).join(known, "id")
+    total = sizes.agg(
+        F.avg("label").alias("rate"), F.min("label").alias("a"), F.max("label").alias("b"), F.avg("chars").alias("chars")
+    ).first()
+    if total.rate is None or total.a == total.b:
+        return _constant(float(total.rate or 0.0))
+    sample = min(sample, int(sample_chars / max(total.chars, 1.0)) + 1)
+    fifth = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(5)) == 0
+    known = known.withColumn("learned", in_sample(known, F.col("id"), sample) & ~fifth)
+    ids, y = _training_rows(texts, known.filter("learned").select("id", "label"))
+    if not len(y):
+        return _constant(float(total.rate))
     net = train_on(ids, y)
     del ids
-    counts = _score_counts(rows.filter("NOT learned"), net)
+    counts = _score_counts(texts, known.filter("NOT learned").select("id", "label"), net)
     logits, truth, number = (counts[c].to_numpy(float) for c in ("step", "label", "n"))
     logits /= STEPS
     net.slope, net.intercept = calibration(logits, truth, number)
@@ -265,24 +269,31 @@ def _constant(rate: float) -> Network:
     return net
 
 
-def _score_counts(rows: DataFrame, net: Network) -> pd.DataFrame:
+def _score_counts(texts: DataFrame, known: DataFrame, net: Network) -> pd.DataFrame:
     """Labelled rows by language, label and the network's answer in whole steps."""
-    sent = rows.sparkSession.sparkContext.broadcast(net)
+    sent = texts.sparkSession.sparkContext.broadcast(net)
+    kind = texts.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             step = np.rint(np.clip(sent.value.logits(texts_of(batch.column(2))), -40, 40) * STEPS)
             columns = [batch.column(0), batch.column(1), pa.array(step.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "label", "step"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "lang", "step"])
 
-    held = rows.select(F.coalesce("lang", F.lit("")).alias("lang"), "label", "text")
-    steps = held.mapInArrow(run, "lang string, label double, step int")
-    counts = steps.groupBy("lang", "label", "step").agg(F.count(F.lit(1)).alias("n"))
+    held = texts.filter("id IS NOT NULL").select("id", F.coalesce("lang", F.lit("")).alias("lang"), "text")
+    steps = held.mapInArrow(run, f"id {kind}, lang string, step int")
+    counts = steps.join(known, "id").groupBy("lang", "label", "step").agg(F.count(F.lit(1)).alias("n"))
     return counts.toPandas().sort_values(["lang", "label", "step"], ignore_index=True)
 
 
-def _featured(rows: DataFrame) -> DataFrame:
-    """``features`` of ``id, text, lang, label, learned`` rows, made where the texts are read."""
+def _training_rows(texts: DataFrame, chosen: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+    """``features`` and labels of the chosen rows, by id and content.
+
+    The chosen ids are as many as the sample allows; as a local table they meet the texts
+    without a shuffle. Features are made where the texts are read.
+    """
+    spark = texts.sparkSession
+    local = spark.createDataFrame([tuple(r) for r in chosen.collect()], chosen.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,11 +301,16 @@ def _featured(rows: DataFrame) -> DataFrame:
             for a, b in blocks(texts):
                 ids, begin = features(texts[a:b])
                 made = pa.array([i.tobytes() for i in np.split(ids, begin[1:])], pa.binary())
-                kept = [batch.column(i).slice(a, b - a) for i in (0, 3)]
+                kept = [batch.column(i).slice(a, b - a) for i in (0, 2)]
                 yield pa.RecordBatch.from_arrays([*kept, made], ["id", "label", "ids"])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, label double, ids binary")
+    kind = texts.schema["id"].dataType.simpleString()
+    rows = texts.join(local, "id").select("id", "text", "label")
+    got = rows.mapInArrow(run, f"id {kind}, label double, ids binary").toArrow()
+    raw, names = got.column("ids").to_pylist(), got.column("id").to_pylist()
+    order = sorted(range(len(raw)), key=lambda i: (names[i], raw[i]))
+    y = got.column("label").to_numpy()[order] if order else np.zeros(0)
+    return [np.frombuffer(raw[i], np.int32).reshape(-1, 1 + len(HEADS)) for i in order], y
 
 
 def with_toxicity(docs: DataFrame, net: Network, text_col: str = "text", score_col: str = "score") -> DataFrame:
