@@ -322,10 +322,10 @@ def fit(
     path = scratch_path(spark, "quality")
 
     def views(chosen: dict) -> Views:
-        """The chosen rows; as a local table their ids meet the texts without a shuffle."""
+        """The chosen rows; their ids, no more than ``sample`` or ``draw`` allow, go to the texts."""
         kind = texts.schema["id"].dataType.simpleString()
         local = spark.createDataFrame(sorted(chosen.items()), f"id {kind}, label double")
-        return _views(texts.join(local, "id"))
+        return _views(texts.join(F.broadcast(local), "id"))
 
     def scored(judge: Judge, name: str) -> DataFrame:
         _steps_of(texts, judge).write.parquet(f"{path}/{name}")

@@ -289,8 +289,8 @@ def _score_counts(texts: DataFrame, known: DataFrame, net: Network) -> pd.DataFr
 def _training_rows(texts: DataFrame, chosen: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
     """``features`` and labels of the chosen rows, by id and content.
 
-    The chosen ids are as many as the sample allows; as a local table they meet the texts
-    without a shuffle. Features are made where the texts are read.
+    The chosen ids, no more than the sample allows, are sent to the texts, whose features are
+    made where they are read.
     """
     spark = texts.sparkSession
     local = spark.createDataFrame([tuple(r) for r in chosen.collect()], chosen.schema)
@@ -305,7 +305,7 @@ def _training_rows(texts: DataFrame, chosen: DataFrame) -> tuple[list[np.ndarray
                 yield pa.RecordBatch.from_arrays([*kept, made], ["id", "label", "ids"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    rows = texts.join(local, "id").select("id", "text", "label")
+    rows = texts.join(F.broadcast(local), "id").select("id", "text", "label")
     got = rows.mapInArrow(run, f"id {kind}, label double, ids binary").toArrow()
     raw, names = got.column("ids").to_pylist(), got.column("id").to_pylist()
     order = sorted(range(len(raw)), key=lambda i: (names[i], raw[i]))
