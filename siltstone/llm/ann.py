@@ -3,8 +3,10 @@
 Equal vectors are one node with the ids of their first copies. Nodes are dealt to shards
 by a hash; each shard's task builds its graph by itself: layers of flat neighbour arrays,
 filled node by node with a beam search and thinned to diverse neighbours. The graphs are
-a table. Queries come in blocks, every block meets every shard, and the shards' answers
-are merged. Distances are Euclidean, in double precision, on the original vectors.
+a table. Queries come in blocks; every block is sent to every shard, where one task holds
+the shard's graph and lets a lane of blocks pass by. The shards' answers are merged.
+Distances are Euclidean, in double precision, on the original vectors. A graph holds its
+vectors divided by a power of two, so that squares neither vanish nor overflow.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from siltstone.session import scratch_path
 SHARD = 4096
 #: Queries in a block, about.
 QUERY_BLOCK = 256
+#: Blocks that pass by one copy of a graph.
+LANE = 64
 NEIGHBOURS = 12
 BUILD_BEAM = 64
 SEARCH_BEAM = 96
@@ -37,7 +41,7 @@ class Graph:
     """
 
     def __init__(self, vectors: np.ndarray, neighbours: int = NEIGHBOURS, seed: int = 1):
-        self.vectors = np.ascontiguousarray(vectors, np.float32)
+        self._hold(vectors)
         self.most = neighbours
         n = len(vectors)
         draw = np.random.default_rng(seed).random(n)
@@ -48,6 +52,10 @@ class Graph:
         self.held = [np.zeros(n, np.int32) for _ in self.width]
         self.entry, self.entry_level = -1, -1
 
+    def _hold(self, vectors: np.ndarray) -> None:
+        self.exponent = int(np.frexp(np.abs(vectors).max(initial=0.0))[1])
+        self.vectors = np.ldexp(np.ascontiguousarray(vectors, np.float64), -self.exponent)
+
     def build(self, beam: int = BUILD_BEAM) -> Graph:
         for node in range(len(self.vectors)):
             self._insert(node, beam)
@@ -158,8 +166,10 @@ class Graph:
         """Nodes found near ``q``, nearest first."""
         if self.entry < 0:
             return np.empty(0, np.int64)
-        start = self._closest(q, self.entry, self.entry_level, 0)
-        return np.array([i for _, i in self._beam(q, [start], beam, 0)], np.int64)
+        with np.errstate(over="ignore"):  # a query far beyond all of the shard's numbers
+            q = np.ldexp(np.asarray(q, np.float64), -self.exponent)
+            start = self._closest(q, self.entry, self.entry_level, 0)
+            return np.array([i for _, i in self._beam(q, [start], beam, 0)], np.int64)
 
     def packed(self) -> dict[str, bytes]:
         """The graph as flat arrays."""
@@ -173,7 +183,8 @@ class Graph:
     def unpacked(cls, vectors: np.ndarray, near: bytes, held: bytes, shape: bytes) -> Graph:
         n, most, layers, entry, entry_level = np.frombuffer(shape, np.int64).tolist()
         graph = cls.__new__(cls)
-        graph.vectors, graph.most = np.ascontiguousarray(vectors, np.float32), most
+        graph._hold(vectors)
+        graph.most = most
         graph.width = [2 * most] + [most] * (layers - 1)
         ends = np.cumsum([0] + [n * w for w in graph.width])
         flat = np.frombuffer(near, np.int32)
@@ -248,16 +259,23 @@ def build_index(vectors: DataFrame, path: str, k: int, id_col: str, vector_col:
 
 
 def _answers(k: int, beam: int):
+    """Answers of each graph to the query blocks that follow it in the partition."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple = ()
         for batch in batches:
-            for row in batch.to_pylist():
-                vectors = np.frombuffer(row["vectors"]).reshape(row["n"], row["dim"])
-                graph = Graph.unpacked(vectors, row["near"], row["held"], row["shape"])
-                ids, copies = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["copies"], np.int32)
-                begin = np.cumsum(copies) - copies
+            for i in range(len(batch)):
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                if row["block"] < 0:
+                    vectors = np.frombuffer(row["vectors"]).reshape(row["n"], row["dim"])
+                    graph = Graph.unpacked(vectors, row["near"], row["held"], row["shape"])
+                    copies = np.frombuffer(row["copies"], np.int32)
+                    begin = np.cumsum(copies) - copies
+                    held = (graph, vectors, np.frombuffer(row["ids"], np.int64), begin, copies)
+                    continue
                 out: list[tuple[int, int, float]] = []
                 for query in row["queries"]:
-                    out += _one(graph, vectors, ids, begin, copies, query, k, beam)
+                    out += _one(*held, query, k, beam)
                 columns = zip(*out) if out else ((), (), ())
                 kinds = (pa.int64(), pa.int64(), pa.float64())
                 yield pa.RecordBatch.from_arrays(
@@ -267,13 +285,20 @@ def _answers(k: int, beam: int):
     return run
 
 
+def _distances(vectors: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances; dividing by a power of two changes no digit, but saves the squares."""
+    apart = vectors - q
+    exponent = np.frexp(np.abs(apart).max(axis=1, initial=0.0))[1]
+    apart = np.ldexp(apart, -exponent[:, None])
+    return np.ldexp(np.sqrt((apart**2).sum(axis=1)), exponent)
+
+
 def _one(graph, vectors, ids, begin, copies, query, k: int, beam: int) -> list[tuple[int, int, float]]:
     q = np.array(query["v"])
-    found = graph.search(q.astype(np.float32), max(beam, k + 1))
-    score = np.sqrt(((vectors[found] - q) ** 2).sum(axis=1))
+    found = graph.search(q, max(beam, k + 1))
     rows = [
         (float(s), int(i))
-        for s, node in zip(score, found)
+        for s, node in zip(_distances(vectors[found], q), found)
         for i in ids[begin[node] : begin[node] + copies[node]]
         if i != query["vec_id"]
     ]
@@ -294,27 +319,32 @@ def nearest(
     Returns ``query_id, rank, vec_id, score``; ranks go by distance, ties by the smaller id.
     Vectors that are null, empty, zero or hold a null or non-finite number take no part on
     either side, nor do null ids; vectors of different lengths are not compared. Repeated
-    rows count once. Every vector is indexed; the search is approximate.
+    rows count once; of a query id with several vectors the least one asks. Every vector is
+    indexed; the search is approximate.
     """
     spark = vectors.sparkSession
     path = scratch_path(spark, "ann")
     index = build_index(vectors, path, k, id_col, vector_col, shard)
-    asked = usable(queries, id_col, vector_col).dropDuplicates(["vec_id"])
+    asked = usable(queries, id_col, vector_col).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked.withColumn("dim", F.size("v")).write.parquet(f"{path}/queries")
     asked = spark.read.parquet(f"{path}/queries")
     blocks = asked.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("blocks"))
-    placed = asked.join(blocks, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
-    packed = placed.groupBy("dim", "block").agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))
-    last = index.groupBy("dim").agg(F.max("shard").alias("last"))
-    # the query set against all shards, in blocks: an equi-join on the shard
-    every = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("shard")
-    sent = packed.join(last, "dim").select("dim", every, "block", "queries")
-    pairs = index.join(sent, ["dim", "shard"])
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = pairs.repartition(tasks, F.xxhash64("dim", "shard", "block"))
-    answers = spread.select("dim", "n", "ids", "copies", "vectors", "near", "held", "shape", "queries").mapInArrow(
-        _answers(k, beam), "query_id bigint, vec_id bigint, score double"
+    shards = index.groupBy("dim").agg((F.max("shard") + 1).alias("shards"))
+    # the query set against all shards: a shard's graph, and after it the blocks of the lane
+    sizes = blocks.join(shards, "dim").withColumn("lanes", F.ceil(F.col("blocks") / LANE).cast("int"))
+    every = lambda end: F.explode(F.sequence(F.lit(0), F.col(end) - 1))
+    graphs = index.join(sizes.select("dim", "lanes"), "dim")
+    graphs = graphs.select(*index.columns, every("lanes").alias("lane")).withColumn("block", F.lit(-1).cast("bigint"))
+    placed = asked.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
+    packed = placed.groupBy("dim", "shards", "lanes", "block").agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))
+    sent = packed.select(
+        "dim", every("shards").alias("shard"), F.pmod("block", "lanes").cast("int").alias("lane"), "block", "queries"
     )
+    tasks = sizes.agg(F.sum(F.col("shards") * F.col("lanes"))).first()[0] or 1
+    met = graphs.unionByName(sent, allowMissingColumns=True)
+    met = met.repartition(2 * int(tasks), "dim", "shard", "lane").sortWithinPartitions("dim", "shard", "lane", "block")
+    names = ["dim", "block", "n", "ids", "copies", "vectors", "near", "held", "shape", "queries"]
+    answers = met.select(*names).mapInArrow(_answers(k, beam), "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = answers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

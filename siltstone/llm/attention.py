@@ -61,6 +61,13 @@ class Attention:
 
     def log_chances(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log chance of each text's ids and its end, text after text."""
+        return self.log_chances_of(texts, np.zeros(len(self.kind), bool))[0]
+
+    def log_chances_of(self, texts: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``log_chances``, and at the same places that of any of ``ids`` (marks) or the end."""
+        marked = ids.copy()
+        marked[self.end] = True
+        share = np.bincount(self.kind, np.exp(self.inner.astype(np.float64)) * marked, CLASSES)
         size = np.array([len(t) + 1 for t in texts], np.int64)
         first = np.cumsum(size) - size
         x = np.full(int(size.sum()), self.end, np.int64)
@@ -75,7 +82,7 @@ class Attention:
         begin = np.repeat(first, windows) + nth * STRIDE
         last = np.repeat(first + size - 1, windows)
         scored = np.where(nth > 0, WINDOW - STRIDE, 0)
-        out = np.empty(len(x), np.float32)
+        out, any_of = np.empty(len(x), np.float32), np.empty(len(x), np.float32)
         reach = np.arange(WINDOW)
         for a in range(0, len(begin), 128):
             at = begin[a : a + 128, None] + reach
@@ -86,8 +93,10 @@ class Attention:
             kind = self.kind[target[spot]]
             own = score[np.arange(len(spot)), kind]
             np.exp(np.minimum(score, 60, out=score), out=score)
-            out[spot] = np.minimum(own, 60) - np.log(score.sum(axis=1)) + self.inner[target[spot]]
-        return out
+            total = score.sum(axis=1)
+            out[spot] = np.minimum(own, 60) - np.log(total) + self.inner[target[spot]]
+            any_of[spot] = np.log(np.minimum(score @ share / total, 1) + 1e-30)
+        return out, any_of
 
 
 def gathered(texts: list[np.ndarray], vocabulary: int, end: int, into: np.ndarray | None = None) -> np.ndarray:

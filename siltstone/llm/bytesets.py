@@ -2,12 +2,14 @@
 
 All text operators work on UTF-8 bytes: their separators are ASCII, so bytes and
 characters cut at the same places. ``END`` closes every text; it never occurs in
-UTF-8. A word's key is a 64-bit polynomial hash of its bytes, mixed with its length.
+UTF-8. A word's key takes its bytes eight at a time; up to eight they are told apart
+exactly, and words of one key cannot be made from its arithmetic as with a polynomial.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -16,19 +18,15 @@ END = 0xFF
 #: Texts of one batch are handled in blocks of about so many bytes.
 BLOCK = 1 << 20
 
+#: Spans of more bytes are hashed one by one.
+CHAIN = 128
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_SECOND = np.uint64(0xD6E8FEB86659FD93)
 _U = np.uint64
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
-def _inverse(odd: int) -> int:
-    return pow(odd, -1, 1 << 64)
-
-
-_BASE = 0xD6E8FEB86659FD93
-_random = np.random.default_rng(20240607)
-_VALUE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -39,16 +37,6 @@ ALNUM = np.ones(256, bool)
 ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xFF)]] = False
 
 
-def _power(kind: str, n: int) -> np.ndarray:
-    have = _powers[kind]
-    if len(have) < n:
-        step = _U(_BASE if kind == "up" else _inverse(_BASE))
-        grown = np.full(max(n, 2 * len(have), BLOCK), step, np.uint64)
-        grown[0] = 1
-        have = _powers[kind] = np.multiply.accumulate(grown)
-    return have[:n]
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash; every output bit depends on every input bit."""
     x = x ^ (x >> _U(30))
@@ -58,19 +46,36 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def rolling(data: np.ndarray) -> np.ndarray:
-    """Prefix sums from which ``span_keys`` takes the hash of any span."""
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_VALUE[data] * _power("up", len(data)), out=sums[1:])
-    return sums
+def _eight(padded: np.ndarray, at: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """The ``held`` bytes from each place on, at most eight, as one number."""
+    every = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    return every[at] & _MASK[np.minimum(held, 8)]
 
 
-def span_keys(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Hash of each span's bytes, the same wherever it stands."""
-    down = _power("down", len(sums))
-    raw = (sums[stop] - sums[start]) * down[start]
-    return mixed(raw + (stop - start).astype(np.uint64) * _ODD)
+def span_keys(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of each span's bytes, the same wherever it stands.
+
+    A span longer than eight bytes goes through two chains that mix every eight bytes in
+    by different arithmetic; beyond ``CHAIN`` bytes it is hashed by BLAKE2.
+    """
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    held = stop - start
+    first = _eight(padded, start, held)
+    keys = mixed(first ^ held.astype(np.uint64) * _ODD)
+    far = np.flatnonzero(held > CHAIN)
+    raw = memoryview(padded)
+    for i, a, b in zip(far.tolist(), start[far].tolist(), stop[far].tolist()):
+        keys[i] = int.from_bytes(blake2b(raw[a:b], digest_size=8).digest(), "little")
+    todo = np.flatnonzero((held > 8) & (held <= CHAIN))
+    one, two = keys[todo], mixed(first[todo] * _SECOND + _ODD)
+    at, left = start[todo] + 8, held[todo] - 8
+    while len(todo):
+        block = _eight(padded, at, left)
+        one, two = mixed(one ^ block), mixed(two + block * _SECOND)
+        done = left <= 8
+        keys[todo[done]] = mixed(one[done] ^ (two[done] << _U(32) | two[done] >> _U(32)))
+        todo, one, two, at, left = (x[~done] for x in (todo, one, two, at + 8, left - 8))
+    return keys
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
@@ -113,8 +118,7 @@ class Words:
             edge = np.concatenate(([0], edge))
         self.start, self.stop = edge[0::2], edge[1::2]
         self.first = np.searchsorted(self.start, self.begin)
-        self.sums = rolling(self.data)
-        self.keys = span_keys(self.sums, self.start, self.stop)
+        self.keys = span_keys(self.data, self.start, self.stop)
 
     def __len__(self) -> int:
         return len(self.start)

@@ -41,7 +41,7 @@ def content(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of each text's content features, and where texts begin (one entry more)."""
     words = Words(texts, SPACED)
     n, of = len(words), words.of()
-    end = span_keys(words.sums, np.maximum(words.start, words.stop - 2), words.stop)
+    end = span_keys(words.data, np.maximum(words.start, words.stop - 2), words.stop)
     again = np.zeros(n, np.uint64)
     again[1:] = (words.keys[1:] == words.keys[:-1]) & (of[1:] == of[:-1])
     ids = np.empty((n, 3), np.int32)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.bytesets import ALNUM, Words, blocks, mixed, texts_of
+from siltstone.llm.bytesets import ALNUM, Words, blocks, mixed, ragged, texts_of
 
 #: Items of so many words at most are searched for at once; more take further passes.
 PASS_WORDS = 250_000
@@ -34,13 +34,18 @@ def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 class Patterns:
-    """Shift table and suffix buckets of all patterns of one length."""
+    """Shift table and suffix buckets of all patterns of one length.
 
-    def __init__(self, words: np.ndarray, items: np.ndarray):
+    ``words`` has the word keys of each pattern, ``items`` its item, and ``place`` the
+    index in ``source`` of its first word, from where its bytes are compared.
+    """
+
+    def __init__(self, words: np.ndarray, items: np.ndarray, place: np.ndarray, source: Words):
+        self.source = source
         self.length = words.shape[1]
         self.block = min(2, self.length)
         order = np.argsort(self._block_at(words, self.length - self.block), kind="stable")
-        self.words, self.items = words[order], items[order]
+        self.words, self.items, self.place = words[order], items[order], place[order]
         tails = self._block_at(self.words, self.length - self.block)
         self.tails, self.tail_begin = np.unique(tails, return_index=True)
         self.tail_end = np.append(self.tail_begin[1:], len(tails))
@@ -70,9 +75,10 @@ class Patterns:
         out[maybe[known]] = self.shifts[at[known]]
         return out
 
-    def search(self, text: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin of each occurrence in ``text`` and its pattern; ``first`` parts documents."""
+    def search(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Begin of each occurrence in a block of texts, as a word's index, and its pattern."""
         m = self.length
+        text, first = words.keys, words.first
         size = np.diff(first)
         begin, size = first[:-1][size >= m], size[size >= m]
         if not len(begin):
@@ -88,7 +94,7 @@ class Patterns:
             shift = self.shift_of(block)
             stay = np.flatnonzero(shift == 0)
             if len(stay):
-                self._compare(text, at[stay], block[stay], found_at, found)
+                self._compare(words, at[stay], block[stay], found_at, found)
                 shift[stay] = 1
             at = at + shift
             going = at < stop
@@ -97,14 +103,15 @@ class Patterns:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         return np.concatenate(found_at), np.concatenate(found)
 
-    def _compare(self, text, end, block, found_at, found) -> None:
+    def _compare(self, words: Words, end, block, found_at, found) -> None:
         """Check the patterns of each cursor's bucket, one of each bucket per turn."""
         bucket = np.searchsorted(self.tails, block)
         pattern, last = self.tail_begin[bucket], self.tail_end[bucket]
         begin = end - self.length + 1
         while len(begin):
-            span = text[begin[:, None] + np.arange(self.length)]
-            same = (span == self.words[pattern]).all(axis=1)
+            span = words.keys[begin[:, None] + np.arange(self.length)]
+            same = np.flatnonzero((span == self.words[pattern]).all(axis=1))
+            same = same[self._alike(words, begin[same], pattern[same])]
             found_at.append(begin[same])
             found.append(pattern[same])
             pattern = pattern + 1
@@ -112,19 +119,34 @@ class Patterns:
             begin, pattern, last = begin[more], pattern[more], last[more]
 
 
+    def _alike(self, words: Words, begin: np.ndarray, pattern: np.ndarray) -> np.ndarray:
+        """Whether the words themselves, not only their keys, are the pattern's."""
+        here = begin[:, None] + np.arange(self.length)
+        there = self.place[pattern][:, None] + np.arange(self.length)
+        size = words.stop[here] - words.start[here]
+        alike = (size == self.source.stop[there] - self.source.start[there]).all(axis=1)
+        here, there, size = here[alike].ravel(), there[alike].ravel(), size[alike]
+        left = ragged(words.data, words.start[here], size.ravel())
+        right = ragged(self.source.data, self.source.start[there], size.ravel())
+        row = np.repeat(np.flatnonzero(alike), size.sum(axis=1))
+        alike[row[left != right]] = False
+        return alike
+
+
 def compiled(items: list[tuple[str, bytes]], window: int) -> list[Patterns]:
     """Patterns of the items, by length; ``items`` are names and texts."""
     words = Words([text for _, text in items], ALNUM)
-    by_length: dict[int, tuple[list, list]] = {}
+    by_length: dict[int, tuple[list, list, list]] = {}
     for i in range(len(items)):
         own = words.keys[words.first[i] : words.first[i + 1]]
         if len(own):
             m = min(window, len(own))
             rows = np.lib.stride_tricks.sliding_window_view(own, m)
-            kept = by_length.setdefault(m, ([], []))
+            kept = by_length.setdefault(m, ([], [], []))
             kept[0].append(rows)
             kept[1].append(np.full(len(rows), i))
-    return [Patterns(np.concatenate(w), np.concatenate(i)) for _, (w, i) in sorted(by_length.items())]
+            kept[2].append(words.first[i] + np.arange(len(rows)))
+    return [Patterns(*map(np.concatenate, parts), words) for _, parts in sorted(by_length.items())]
 
 
 def _passes(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[str, bytes]]]:
@@ -210,7 +232,7 @@ def _search(groups, labels, words: Words, base: int, marks: list, items: list) -
     hit = np.zeros(len(words), bool)
     met: dict[int, set[str]] = {}
     for patterns in groups:
-        begin, which = patterns.search(words.keys, words.first)
+        begin, which = patterns.search(words)
         if len(begin):
             hit |= _ranged(begin, patterns.length, len(words))
             doc = np.searchsorted(words.first, begin, side="right") - 1

@@ -5,9 +5,10 @@ A text is its lower-cased words and an end. Each word has the chance
     a * (its part of all training tokens) + b * (its part of the text so far) + c * (attention model)
 
 where the attention model multiplies the chances of the word's subword ids, given the ids
-before them, and a + b + c = 1. Counts of words and subword ids and the training of the
-attention model cover every training document. The most frequent words go to all tasks, as many as a fixed bound allows; every other word's count
-is joined.
+before them, and that the word then is over, and a + b + c = 1. At no place do the chances
+of all words and the end pass 1. Counts of words and subword ids and the training of the
+attention model cover every training document. The most frequent words go to all tasks, as
+many as a fixed bound allows; every other word's count is joined, with the same result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import attention
 from siltstone.llm.attention import Attention
-from siltstone.llm.bytesets import END, LOWER, SPACED, Words, blocks, joined, mixed, rolling, span_keys, texts_of
+from siltstone.llm.bytesets import END, LOWER, SPACED, Words, blocks, joined, mixed, span_keys, texts_of
 from siltstone.llm.fitting import bounded_sample
 from siltstone.llm.pieces import cut, encoder
 from siltstone.session import scratch_path
@@ -48,6 +49,8 @@ RATIO_STEP = 0.05
 END_KEY = 0
 #: Words that the start of a text weighs against what it has repeated.
 EARLY = 5
+#: Share of a later word's chance for words whose first id has no leading blank.
+UNLED = 1e-3
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,6 +106,7 @@ class Model:
     distinct: int
     weights: tuple[float, float, float]
     attention: Attention
+    leads: np.ndarray
     tokenizer: str
 
     def found(self, keys: np.ndarray) -> np.ndarray:
@@ -141,14 +145,13 @@ class WordStream:
         apart = end | (data == 0x20)
         edge = np.flatnonzero(np.diff(np.concatenate(([True], apart)).astype(np.int8)))
         self.start, self.stop = edge[0::2], edge[1::2]
-        sums = rolling(data)
-        self.keys = span_keys(sums, self.start, self.stop)
+        self.keys = span_keys(data, self.start, self.stop)
         self.first = np.searchsorted(self.start, np.concatenate(([0], closes + 1)))
         piece, piece_stop = cut(data, False)
         blanks = (piece_stop - piece == 1) & (data[piece] == 0x20)
         piece, piece_stop = piece[~blanks], piece_stop[~blanks]
         own = encoder(tokenizer)
-        self.ids, count = own.lookup(span_keys(sums, piece, piece_stop), piece, piece_stop, data.tobytes())
+        self.ids, count = own.lookup(span_keys(data, piece, piece_stop), piece, piece_stop, data.tobytes())
         # a piece with a leading blank begins one byte before its word
         word = np.searchsorted(self.start, piece + (data[piece] == 0x20), side="right") - 1
         self.per_word = np.bincount(word, count, len(self.start)).astype(np.int64)
@@ -169,21 +172,36 @@ class WordStream:
         return seen / (before + EARLY)
 
 
-def word_chances(stream: WordStream, attention: Attention) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log chance of each word, and of each text's end."""
+def word_chances(stream: WordStream, attention: Attention, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log chance of each word, and of each text's end.
+
+    ``leads`` marks the ids that begin with a blank, as every word but a text's first does.
+    A word is its ids and then a border: such an id or the end. That a border stands before
+    it is known, but for a text's first word. So the chances of all words and the end at one
+    place add up to no more than 1. ``UNLED`` of it is for words that begin otherwise.
+    """
     per_text = np.add.reduceat(
         np.append(stream.per_word, 0), np.minimum(stream.first[:-1], len(stream.per_word))
     )
     per_text[np.diff(stream.first) == 0] = 0
     ends = np.cumsum(per_text)
     texts = np.split(stream.ids.astype(np.int64), ends[:-1]) if len(ends) else []
-    chance = attention.log_chances(texts)
+    chance, border = attention.log_chances_of(texts, leads)
     at = ends + np.arange(len(ends))  # where each text's end stands among its ids
     inside = np.ones(len(chance), bool)
     inside[at] = False
     total = np.concatenate(([0.0], np.cumsum(chance[inside], dtype=np.float64)))
     stop = np.cumsum(stream.per_word)
-    return (total[stop] - total[stop - stream.per_word]), chance[at].astype(np.float64)
+    begin = stop - stream.per_word
+    of = np.repeat(np.arange(len(stream)), np.diff(stream.first))
+    words = total[stop] - total[begin] + border[stop + of]
+    later = np.ones(len(words), bool)
+    some = np.diff(stream.first) > 0
+    later[stream.first[:-1][some]] = False
+    led = np.append(leads[stream.ids], False)[begin]
+    known = np.log1p(-UNLED) - border
+    words += np.where(later, np.where(led, known[begin + of], np.log(UNLED)), 0)
+    return words, chance[at] + np.where(some, known[at], 0.0)
 
 
 def _mixing_weights(ratios: np.ndarray, number: np.ndarray) -> tuple[float, float, float]:
@@ -222,7 +240,7 @@ def _mixing(texts: DataFrame, model: Model, counts: DataFrame) -> tuple[float, f
                 stream = WordStream(held[a:b], own.tokenizer)
                 if not len(stream.keys):
                     continue
-                chance = word_chances(stream, own.attention)[0] / np.log(10)
+                chance = word_chances(stream, own.attention, own.leads)[0] / np.log(10)
                 count = own.found(stream.keys)
                 one = _step_of(np.maximum(count - 1, 0) / max(own.tokens, 1), chance)
                 two = _step_of(stream.repeated(), chance)
@@ -330,15 +348,15 @@ def _gathered(stored: DataFrame, vocabulary: int, end: int) -> tuple[np.ndarray,
     kind, width = _id_type(vocabulary), 2 + 2 * attention.BESIDE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((vocabulary, width - 1))
-        learned = np.zeros((vocabulary, 1))
+        total = np.zeros((vocabulary, width - 1), np.uint32)
+        learned = np.zeros((vocabulary, 1), np.uint32)
         for batch in batches:
             turn = batch.column(0).to_pylist()
             for ids, a, b in _id_blocks(batch.column(1), kind):
                 attention.gathered(ids, vocabulary, end, total)
                 own = [np.append(i, end) for i, t in zip(ids, turn[a:b]) if t]
                 if own:
-                    learned[:, 0] += np.bincount(np.concatenate(own), minlength=vocabulary)
+                    learned[:, 0] += np.bincount(np.concatenate(own), minlength=vocabulary).astype(np.uint32)
         for a in range(0, vocabulary, PART_ROWS):
             rows = slice(a, a + PART_ROWS)
             yield from _parts(np.concatenate((total[rows], learned[rows]), axis=1), a // PART_ROWS)
@@ -423,6 +441,7 @@ def fit(texts: DataFrame, counts: DataFrame, tokenizer: str, sample: int = 1200)
         int(totals.distinct or 0),
         (1 / 3, 1 / 3, 1 / 3),
         net,
+        encoder(tokenizer).leads(),
         tokenizer,
     )
     model.weights = _mixing(turned.filter("turn = 0"), model, counts)
@@ -442,7 +461,7 @@ def _ids(texts: list[bytes], tokenizer: str) -> list[np.ndarray]:
 
 _SCORED = (
     "rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, "
-    "score double, words array<bigint>, chances array<float>"
+    "score double, words array<bigint>, chances array<double>"
 )
 
 
@@ -457,7 +476,7 @@ def _first_scores(rows: DataFrame, model: Model) -> DataFrame:
             texts = texts_of(batch.column(3))
             for a, b in blocks(texts):
                 stream = WordStream(texts[a:b], own.tokenizer)
-                chance, end_chance = word_chances(stream, own.attention)
+                chance, end_chance = word_chances(stream, own.attention, own.leads)
                 counts = own.found(stream.keys)
                 known = counts >= 0
                 first = stream.first
@@ -469,7 +488,7 @@ def _first_scores(rows: DataFrame, model: Model) -> DataFrame:
                 rare = np.concatenate(([0], np.cumsum(~known)))[first].astype(np.int32)
                 lists = [
                     pa.ListArray.from_arrays(pa.array(rare), pa.array(values[~known]))
-                    for values in (stream.keys.view(np.int64), np.log10(besides).astype(np.float32))
+                    for values in (stream.keys.view(np.int64), np.log10(besides))
                 ]
                 columns = [batch.column(i).slice(a, b - a) for i in range(3)]
                 columns += [
@@ -526,7 +545,7 @@ def score_texts(
         "rid",
         (n > 0).cast("bigint").alias("known"),
         F.log10((n + 0.1) / smooth).alias("base"),
-        F.log10(part + F.pow(F.lit(10.0), F.col("chance").cast("double"))).alias("own"),
+        F.log10(part + F.pow(F.lit(10.0), "chance")).alias("own"),
     )
     rest = rest.groupBy("rid").agg(*(F.sum(c).alias(c) for c in ("known", "base", "own")))
     return scored.drop("words", "chances").join(rest, "rid", "left").select(

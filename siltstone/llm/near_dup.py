@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.bytesets import SPACED, Words, blocks, mixed, texts_of
 from siltstone.llm.components import components
+from siltstone.llm.names import spare_prefix
 from siltstone.session import scratch_path
 
 REGISTERS = 72
@@ -471,14 +472,16 @@ def one_per_group(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", tex
 
     Rows are matched by id and text hash; of rows equal in both, one stays.
     """
+    own = spare_prefix(docs)
     kept = found.filter("kept").select(
-        F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_key")
+        F.col("doc_id").alias(f"{own}kept_id"), F.col("text_key").alias(f"{own}kept_key")
     )
-    keyed = docs.withColumn("__key", F.xxhash64(text_col))
-    same = (F.col("__key") == F.col("__kept_key")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("__kept_id"))
+    keyed = docs.withColumn(f"{own}key", F.xxhash64(text_col))
+    same_id = F.col(id_col).cast("bigint").eqNullSafe(F.col(f"{own}kept_id"))
+    same = (F.col(f"{own}key") == F.col(f"{own}kept_key")) & same_id
     held = keyed.join(kept.distinct(), same, "left_semi")
-    first = Window.partitionBy(id_col, "__key").orderBy(F.lit(0))
-    ranked = held.withColumn("__nth", F.row_number().over(first))
+    first = Window.partitionBy(id_col, f"{own}key").orderBy(F.lit(0))
+    ranked = held.withColumn(f"{own}nth", F.row_number().over(first))
     # texts without words are linked with nothing: all of them stay
     wordless = ~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return ranked.filter((F.col("__nth") == 1) | wordless).select(docs.columns)
+    return ranked.filter((F.col(f"{own}nth") == 1) | wordless).select(docs.columns)

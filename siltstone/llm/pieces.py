@@ -14,7 +14,7 @@ from functools import cache
 
 import numpy as np
 
-from siltstone.llm.bytesets import END, LOWER, blocks, joined, ragged, rolling, span_keys
+from siltstone.llm.bytesets import END, LOWER, blocks, joined, ragged, span_keys
 
 _SPACE, _LETTER, _DIGIT, _OTHER, _END = range(5)
 #: Lead bytes from here on begin characters above U+023F.
@@ -117,10 +117,16 @@ class Encoder:
         self.size = 1 << bits
         self.key = np.zeros(self.size, np.uint64)
         self.held = np.zeros(self.size, bool)
+        self.bytes = np.zeros(self.size, np.int32)
         self.begin = np.zeros(self.size, np.int64)
         self.count = np.zeros(self.size, np.int32)
         self.clear()
 
+    def leads(self) -> np.ndarray:
+        """Marks of the ids, up to the special token's, that begin with a blank."""
+        names = (self.library.id_to_token(i) for i in range(self.mark_id + 1))
+        return np.array([bool(n) and n.startswith("\u0120") for n in names])
+
     def clear(self) -> None:
         self.held[:] = False
         self.flat = np.empty(1 << 16, np.uint32)
@@ -145,6 +151,7 @@ class Encoder:
         self.flat[self.used : self.used + len(flat)] = flat
         slot = (fresh & np.uint64(self.size - 1)).astype(np.int64)
         self.key[slot], self.held[slot] = fresh, True
+        self.bytes[slot] = (stop - start)[where]
         self.begin[slot] = self.used + np.cumsum(length) - length
         self.count[slot] = length
         self.used += len(flat)
@@ -159,7 +166,7 @@ class Encoder:
         todo = np.arange(len(keys))
         while len(todo):  # pieces that share a slot take turns
             own = slot[todo]
-            hit = self.held[own] & (self.key[own] == keys[todo])
+            hit = self.held[own] & (self.key[own] == keys[todo]) & (self.bytes[own] == (stop - start)[todo])
             got = todo[hit]
             count[got], begin[got] = self.count[own[hit]], self.begin[own[hit]]
             todo = todo[~hit]
@@ -202,7 +209,7 @@ class Encoder:
         if self.lower:
             data = LOWER[data]
         start, stop = cut(data, self.lower)
-        keys = span_keys(rolling(data), start, stop)
+        keys = span_keys(data, start, stop)
         ids, count = self.lookup(keys, start, stop, data.tobytes())
         sums = np.concatenate(([0], np.cumsum(count)))
         return ids, sums[np.searchsorted(start, begin[1:])]

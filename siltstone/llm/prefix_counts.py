@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltstone.llm.bytesets import blocks, joined, rolling, span_keys, texts_of
+from siltstone.llm.bytesets import blocks, joined, span_keys, texts_of
 from siltstone.llm.pieces import _SPACE, Encoder, cut, kinds
 
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -114,20 +114,19 @@ class PrefixCounter(Encoder):
         data, begin = joined(texts)
         raw = data.tobytes()
         start, stop = cut(data, False)
-        sums = rolling(data)
-        within, length = self.lookup(span_keys(sums, start, stop), start, stop, raw)
+        within, length = self.lookup(span_keys(data, start, stop), start, stop, raw)
         within = within.astype(np.int64)
         ends = np.cumsum(length)
         tokens = within[ends - 1] if len(ends) else ends
         base = np.cumsum(tokens) - tokens
         counts = within + np.repeat(base, length)
-        self._mend_runs(data, raw, sums, start, ends - length, base, counts)
+        self._mend_runs(data, raw, start, ends - length, base, counts)
         first = np.searchsorted(start, begin)
         chars = np.concatenate(([0], ends))[first]
         bases = np.concatenate((base, [tokens.sum()]))[first]
         return [counts[chars[i] : chars[i + 1]] - bases[i] for i in range(len(texts))]
 
-    def _mend_runs(self, data, raw, sums, start, char, base, counts) -> None:
+    def _mend_runs(self, data, raw, start, char, base, counts) -> None:
         """A prefix that ends in a run of white space keeps the run in one piece."""
         space = kinds(data) == _SPACE
         edge = np.flatnonzero(np.diff(np.concatenate(([False], space, [False])).astype(np.int8)))
@@ -137,7 +136,7 @@ class PrefixCounter(Encoder):
         begin, end, last = (x[last > begin] for x in (begin, end, last))
         if not len(begin):
             return
-        within, length = self.lookup(span_keys(sums, begin, end), begin, end, raw)
+        within, length = self.lookup(span_keys(data, begin, end), begin, end, raw)
         own = within[np.cumsum(length) - 1].astype(np.int64)
         # the piece of the last white-space character is the run's last or takes it along
         piece, lead = np.searchsorted(start, last), np.searchsorted(start, begin)

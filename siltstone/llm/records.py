@@ -97,7 +97,7 @@ def write_records(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         width = 2 if max(own.library.get_vocab_size() - 1, end_id) < 1 << 16 else 4
-        name = f"part-{TaskContext.get().partitionId():05d}"
+        name = f"part-{TaskContext.get().partitionId():010d}"
         out = index = None
         rows: list[list] = []
         for batch in batches:

@@ -47,7 +47,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     keys = [words.keys]
     for n in HEADS:
         stop = np.minimum(words.stop, words.start + n)
-        keys.append(mixed(span_keys(words.sums, words.start, stop) + np.uint64(n)))
+        keys.append(mixed(span_keys(words.data, words.start, stop) + np.uint64(n)))
     place = np.arange(len(words)) + _PAD * words.of()
     ids = np.full((len(words) + _PAD * len(texts), len(keys)), BUCKETS, np.int32)
     for i, key in enumerate(keys):

@@ -211,7 +211,7 @@ def _warc_files(data: str):
         out, rows, begin, records = None, [], 0, 0
         for batch in batches:
             for arc, keys in zip(batch.column(0), batch.column(1).to_pylist()):
-                out = out or Staged(data, f"part-{TaskContext.get().partitionId():05d}.warc.gz")
+                out = out or Staged(data, f"part-{TaskContext.get().partitionId():010d}.warc.gz")
                 for record, key in zip(arc_records(arc.as_py()), keys, strict=True):
                     made = warc_record(record, key["page_id"], key["refers_to"], key["copy"])
                     out.write([gzip.compress(made, 1, mtime=0)])

@@ -7,7 +7,9 @@ import re
 
 ODD_COLUMNS = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, n_tokens string, "
-    "score string, component_id string, kept string, text_key string, hit_words string, good string, rid string"
+    "score string, component_id string, kept string, text_key string, hit_words string, good string, rid string, "
+    "__good string, __quality_score string, __toxicity string, __n_words string, __hit_items string, __key string, "
+    "__nth string"
 )
 
 
@@ -27,7 +29,7 @@ def odd_rows() -> list[tuple]:
     ]
     rows = [(i, t, "en", "src0", len(t or "")) for i, t in enumerate(texts)]
     rows += [rows[0], rows[4], (None, "no id at all here today", None, None, None), (None, None, None, None, None)]
-    return [(*r, *(["clash"] * 8)) for r in rows]
+    return [(*r, *(["clash"] * 15)) for r in rows]
 
 
 def odd_docs(spark):
@@ -56,6 +58,12 @@ def shingle_set(text: str | None, k: int) -> frozenset:
     return frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
 
 
+def twin_words(length: int = 1024) -> tuple[str, str]:
+    """Two words of one hash modulo 2**64, whatever the base: a/b by the parity of the place's ones."""
+    parity = [bin(i).count("1") % 2 for i in range(length)]
+    return "".join("ab"[p] for p in parity), "".join("ba"[p] for p in parity)
+
+
 def prose(rng: random.Random, words: int, vocabulary: int = 3000) -> str:
     return " ".join(f"w{rng.randrange(vocabulary):x}" for _ in range(words))
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
-from helpers import alnum_words, components, edited, no_docs, odd_docs, odd_rows, prose, shingle_set  # noqa: E402
+from helpers import alnum_words, components, edited, no_docs, odd_docs, odd_rows, prose, shingle_set, twin_words  # noqa: E402
 from siltstone.llm import ann, decontaminate, near_dup  # noqa: E402
 from siltstone.llm.components import components as linked  # noqa: E402
 
@@ -129,6 +129,27 @@ def test_benchmark_hits_odd_rows(spark):
     assert all(r.hit_words is None for r in decontaminate.benchmark_hits(docs, bench.limit(0)).collect())
 
 
+def test_benchmark_compares_words(spark, monkeypatch):
+    """Where all words have one key, only the words themselves decide."""
+    one, two = twin_words()
+    docs = spark.createDataFrame([(1, f"x {one} y"), (2, f"x {two} y"), (3, "a b c"), (4, "a b d")], "doc_id int, text string")
+    bench = spark.createDataFrame([("p", f"{one} y"), ("q", "b c")], "item_id string, text string")
+    items = {r.doc_id: list(r.hit_items) for r in decontaminate.benchmark_hits(docs, bench, window=2).collect()}
+    assert items == {1: ["p"], 2: [], 3: ["q"], 4: []}
+    patterns, texts = decontaminate.compiled([("q", b"b c")], 2)[0], decontaminate.Words([b"a b d b c"], decontaminate.ALNUM)
+    patterns.words[:] = patterns.words[0, 0]
+    begin = np.array([1, 3])
+    assert patterns._alike(texts, begin, np.zeros(2, int)).tolist() == [False, True]
+
+
+def test_near_duplicates_of_twin_words(spark):
+    one, two = twin_words()
+    rest = "a b c d e f"
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one), (4, f"{rest} {one}"), (5, f"{rest} {two}")], "doc_id int, text string")
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, shingle=1).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
 def nearest_by_force(rows, k):
     kept = {}
     for i, v in rows:
@@ -166,6 +187,25 @@ def test_nearest(spark):
         assert np.allclose([s for s, _ in near], [s for s, _ in want[q]][: len(near)], atol=0.5)
 
 
+@pytest.mark.parametrize("scale", [1e-160, 1e-25, 1.0, 1e25, 1e160])
+def test_nearest_at_any_scale(spark, monkeypatch, scale):
+    monkeypatch.setattr(ann, "LANE", 1)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 3)
+    base = np.random.default_rng(8).normal(size=(400, 8))
+    rows = [(i, (v * scale).tolist()) for i, v in enumerate(base)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    queries = vectors.filter("vec_id % 20 = 0").union(vectors.filter("vec_id = 40"))
+    got = ann.nearest(vectors, queries, shard=150).collect()
+    met = 0
+    for q in range(0, 400, 20):
+        apart = np.sqrt(((base - base[q]) ** 2).sum(axis=1))
+        apart[q] = np.inf
+        own = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+        assert len(own) == 10 and np.allclose([s / scale for _, _, s in own], apart[[i for _, i, _ in own]])
+        met += len(set(np.argsort(apart)[:10].tolist()) & {i for _, i, _ in own})
+    assert met >= 0.95 * 200
+
+
 def test_nearest_of_nothing(spark):
     none = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert ann.nearest(none, none).count() == 0

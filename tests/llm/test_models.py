@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 from helpers import no_docs, odd_docs, odd_rows, prose, spaced_words  # noqa: E402
 from siltstone.llm import attention, cotrain, lm, toxicity  # noqa: E402
+from siltstone.llm.pieces import encoder  # noqa: E402
 from siltstone.llm.fitting import best_threshold, bounded_sample, calibration, logistic, remainder, sigmoid  # noqa: E402
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -125,6 +126,23 @@ def test_attention_learns():
     assert model.log_chances([text]).mean() > attention.train([text] * 8, 10, 9, epochs=0).log_chances([text]).mean()
 
 
+def test_word_chances_add_up():
+    """At one place the chances of different words and of the end pass 1 in no model."""
+    rng = random.Random(3)
+    texts = [prose(rng, 40, 60).encode() for _ in range(60)]
+    own = encoder(BYTE)
+    ids = [i.astype(np.int64) for i in own.encode(texts)]
+    net = attention.train(ids, own.mark_id + 1, own.mark_id, epochs=2)
+    names = sorted({w for t in texts for w in t.split()}) + [b"zzz", b"w", b"qu\xc2\xa0x", b"\xc2\xa0y", b"1", b"'s"]
+    for before in (b"", b"w1 w2", b"w3"):
+        stream = lm.WordStream([before + b" " + n for n in names] + [before], BYTE)
+        word, end = lm.word_chances(stream, net, own.leads())
+        last = stream.first[1:-1] - 1
+        total = np.exp(word[last]).sum() + np.exp(end[-1])
+        assert 0.05 < total <= 1 + 1e-4
+        assert np.isfinite(word).all() and np.isfinite(end).all()
+
+
 def brute_base(rows, held):
     words = [[*spaced_words(t), b"\xff"] for _, t in rows]
     counts = collections.Counter(w for (i, _), own in zip(rows, words) if not held(i) for w in own)
@@ -149,7 +167,7 @@ def test_lm_scores(spark, monkeypatch):
         scores = {r.doc_id: r.score for r in got}
         assert all(s < 0 for s in scores.values())
         if head == 20:
-            assert all(abs(scores[i] - first[i]) < 1e-3 * (1 + abs(first[i])) for i in scores)
+            assert all(abs(scores[i] - first[i]) < 1e-9 * (1 + abs(first[i])) for i in scores)
         first = scores
 
 

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
-from helpers import no_docs, odd_docs, odd_rows  # noqa: E402
+from helpers import no_docs, odd_docs, odd_rows, twin_words  # noqa: E402
 from siltstone.llm import packing, prefix_counts, records  # noqa: E402
+from siltstone.llm.bytesets import Words  # noqa: E402
 from siltstone.llm.pieces import Encoder  # noqa: E402
 from siltstone.session import scratch_path  # noqa: E402
 
@@ -41,6 +42,24 @@ def test_ids_are_the_librarys(path):
         assert got.tolist() == expected.ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_twin_words_keep_their_ids(path):
+    one, two = twin_words()
+    texts = [one, two, f"{two} {one}", one[:8], two[:8], one[:16], two[:16], "\x00", "\x00\x00", one * 3, two * 3]
+    want = Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)
+    got = Encoder(path).encode([t.encode() for t in texts])
+    assert [g.tolist() for g in got] == [w.ids for w in want]
+
+
+def test_keys_of_words():
+    rng = random.Random(2)
+    words = sorted({"".join(rng.choice("ab") for _ in range(n)) for n in range(1, 300) for _ in range(3)})
+    words += [*twin_words(), *twin_words(4096)]
+    apart = np.concatenate([Words([w.encode()]).keys for w in words])
+    assert len(set(apart.tolist())) == len(words)
+    assert np.array_equal(Words([" ".join(words).encode()]).keys, apart)  # wherever a word stands
+
+
 def test_every_prefix_count():
     own = prefix_counts.PrefixCounter(BYTE)
     texts = strings(800)
