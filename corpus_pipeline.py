@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import cotrain, decontaminate, near_dup, packing, toxicity
+from siltstone.llm.names import spare_prefix
 from siltstone.llm.shipping import ship
 from siltstone.session import scratch_path
 
@@ -34,8 +35,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     judge = cotrain.fit(docs, labels)
-    judged = cotrain.with_quality(docs, judge, prefix="__")
-    return judged.filter("__good").select(docs.columns)
+    own = spare_prefix(docs)
+    judged = cotrain.with_quality(docs, judge, prefix=own)
+    return judged.filter(F.col(f"{own}good")).select(docs.columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +45,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     net = toxicity.fit(docs, labels)
-    scored = toxicity.with_toxicity(docs, net, score_col="__toxicity")
-    toxic = toxicity.over_threshold(net, F.col("__toxicity"), F.col("lang"))
+    score = f"{spare_prefix(docs)}toxicity"
+    scored = toxicity.with_toxicity(docs, net, score_col=score)
+    toxic = toxicity.over_threshold(net, F.col(score), F.col("lang"))
     return scored.filter(~toxic).select(docs.columns)
 
 
@@ -59,8 +62,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Drop documents in which a window of ten benchmark words occurs."""
     ship(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.benchmark_hits(docs, benchmark, window=10, prefix="__")
-    return found.filter("__hit_words IS NULL").select(docs.columns)
+    own = spare_prefix(docs)
+    found = decontaminate.benchmark_hits(docs, benchmark, window=10, prefix=own)
+    return found.filter(F.col(f"{own}hit_words").isNull()).select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
