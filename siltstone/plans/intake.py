@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import ledger as L
 from siltstone.operators.files import classify_files
+from siltstone.operators.ledger_store import ledger_log, record
 from siltstone.operators.merge import append, fresh, unseen
 from siltstone.schemas import Lake
 from siltstone.session import cut_lineage, instant
@@ -31,11 +32,11 @@ def run_intake(
     again and stores only what is not stored yet.
     """
     now = instant(as_of)
-    log = fresh(spark, lake.ledger)
+    log = ledger_log(spark, lake)
     classified = classify_files(texts)
     names = classified.select("etag", "file_path")
     claimed = cut_lineage(L.claim(names, log, now, lease_seconds))
-    append(claimed, lake.ledger)
+    record(spark, lake, claimed)
 
     mine = claimed.select("etag", "file_path")
     held = classified.join(mine, ["etag", "file_path"], "left_semi")
@@ -48,6 +49,6 @@ def run_intake(
         outcome = cut_lineage(held.select("etag", "file_path", "status"))
     finally:
         held.unpersist()
-    done = L.transition(fresh(spark, lake.ledger), outcome, L.IN_PROGRESS, now)
-    append(cut_lineage(done), lake.ledger)
+    done = L.transition(ledger_log(spark, lake), outcome, L.IN_PROGRESS, now)
+    record(spark, lake, cut_lineage(done))
     return outcome.filter(F.col("status") == L.VALIDATED).select("file_path", "etag")

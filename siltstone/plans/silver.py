@@ -9,13 +9,16 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from siltstone.operators import keys
 from siltstone.operators import ledger as L
 from siltstone.operators.changes import log_changes, touched
 from siltstone.operators.columns import require_columns
+from siltstone.operators.ledger_store import ledger_log, record
 from siltstone.operators.merge import append, fresh, unseen
 from siltstone.operators.metrics import file_metrics
 from siltstone.operators.rank import first_by
 from siltstone.operators.validation import accepted, check_files, rejections
+from siltstone.plans.gold import on_days
 from siltstone.schemas import DOMAINS, PARTITION, Lake
 from siltstone.session import cut_lineage, instant, scratch_path
 from siltstone.sources.files import read_containers
@@ -62,6 +65,27 @@ def _not_there(rows: DataFrame, target: DataFrame) -> DataFrame:
     return new.select(rows.columns)
 
 
+def known_by_index(spark: SparkSession, lake: Lake, domain: str, places: DataFrame) -> DataFrame:
+    """The ids of ``places`` (``event_id, part``) that are in silver; reads the named partitions only."""
+    part = lake.partition(domain)
+    named = [r.part for r in places.select("part").distinct().collect()]  # no more than silver has partitions
+    held = on_days(PARTITION[domain], (p for p in named if p is not None), lake.grain)
+    if None in named:
+        held = held | F.col(part).isNull()
+    rows = fresh(spark, lake.silver(domain)).filter(held).select("event_id")
+    return rows.join(places.select("event_id").distinct(), "event_id", "left_semi").distinct()
+
+
+def _new_by_index(spark: SparkSession, lake: Lake, domain: str, events: DataFrame) -> DataFrame:
+    """First delivery of the events that silver lacks; the index has them before silver does."""
+    once, part = one_per_event(events), lake.partition(domain)
+    places = cut_lineage(keys.places(keys.index_of(spark, lake, domain), events))
+    known = known_by_index(spark, lake, domain, places)
+    new = cut_lineage(once.select("event_id", part).join(known, "event_id", "left_anti"))
+    keys.log_keys(spark, lake, new, domain)
+    return once.join(new.select("event_id"), "event_id", "left_semi")
+
+
 def run_silver_batch(
     spark: SparkSession,
     texts: DataFrame,
@@ -78,7 +102,8 @@ def run_silver_batch(
     a file given more than once in a batch counts once. Rejections and metrics are
     appended each time unless ``once_per_file`` adds only those not there yet. ``stable_dates`` says that an event id always comes
     with the same event date; only the batch's dates are then looked up in the
-    silver tables, instead of all their keys. Tables are written in the order
+    silver tables, instead of all their keys; an indexed lake reads the partitions that
+    its index names, whatever the dates. Tables are written in the order index,
     silver, touched dates, rejections, metrics, so a file is only reported once its rows
     are in place and their dates are known to gold.
     """
@@ -92,13 +117,16 @@ def run_silver_batch(
                 events = accepted(judged.filter(F.col("outcome") == domain), domain)
             events = lake.dated(events, domain)
             table, part = lake.silver(domain), lake.partition(domain)
-            new = unseen(
-                one_per_event(events),
-                fresh(spark, table),
-                ["event_id"],
-                stable=sorted({part, PARTITION[domain]}) if stable_dates else [],
-                candidates=events,
-            )
+            if lake.indexed:
+                new = _new_by_index(spark, lake, domain, events)
+            else:
+                new = unseen(
+                    one_per_event(events),
+                    fresh(spark, table),
+                    ["event_id"],
+                    stable=sorted({part, PARTITION[domain]}) if stable_dates else [],
+                    candidates=events,
+                )
             append(new, table, part)
         log_changes(spark, lake, touched(judged), now)
         turned_down = rejections(
@@ -149,10 +177,9 @@ def run_pending(
     nothing the dead run may still report counts. ``run_id`` must be new for every run.
     """
     now = instant(as_of)
-    log = fresh(spark, lake.ledger)
-    batch = cut_lineage(L.pending(log, limit, now).select("etag"))
-    append(cut_lineage(L.start_silver(log, batch, run_id, now, lease_seconds)), lake.ledger)
-    mine = cut_lineage(L.held(fresh(spark, lake.ledger), batch, run_id))
+    batch = cut_lineage(L.pending(ledger_log(spark, lake, waiting=True), limit, now).select("etag"))
+    record(spark, lake, cut_lineage(L.start_silver(ledger_log(spark, lake), batch, run_id, now, lease_seconds)))
+    mine = cut_lineage(L.held(ledger_log(spark, lake), batch, run_id))
     try:
         routed = fresh(spark, lake.routed).filter(F.col("route").isin(*DOMAINS))
         texts = routed.join(mine.select("etag"), "etag", "left_semi")
@@ -174,7 +201,7 @@ def drain_pending(
     """``run_pending`` batch after batch until nothing waits; returns the number of batches."""
     number = 0
     now = instant(options.get("as_of"))
-    while not L.pending(fresh(spark, lake.ledger), 1, now).isEmpty():
+    while not L.pending(ledger_log(spark, lake, waiting=True), 1, now).isEmpty():
         run_pending(spark, f"{run_id}-{number}", lake, limit=limit, **options)
         number += 1
     return number
@@ -184,6 +211,5 @@ def finish_silver(
     spark: SparkSession, updates: DataFrame, run_id: str, lake: Lake = Lake(), as_of: datetime | str | None = None
 ) -> None:
     """Record ``updates(etag, status[, run_id])`` for the files that the run still holds."""
-    log = fresh(spark, lake.ledger)
-    rows = L.transition(log, updates, L.IN_SILVER, instant(as_of), held_by=run_id)
-    append(cut_lineage(rows), lake.ledger)
+    rows = L.transition(ledger_log(spark, lake), updates, L.IN_SILVER, instant(as_of), held_by=run_id)
+    record(spark, lake, cut_lineage(rows))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from siltstone.operators import ledger as L
 from siltstone.operators import validation as V
 from siltstone.operators.columns import union_by_name
 from siltstone.operators.layout import cluster_table
+from siltstone.operators.ledger_store import fold, ledger_log, record
 from siltstone.operators.merge import append, fresh
 from siltstone.plans.intake import run_intake
 from siltstone.plans.silver import finish_silver, run_pending, run_silver_batch, run_silver_files
@@ -27,10 +30,10 @@ _COMMON = (
 )
 
 
-def _new_lake(spark: SparkSession) -> Lake:
+def _new_lake(spark: SparkSession, indexed: bool = False) -> Lake:
     """A lake by months: the given events are few a day."""
     path = scratch_path(spark, "lake")
-    lake = Lake(prefix=f"q{path[-12:]}_", grain="month")
+    lake = Lake(prefix=f"q{path[-12:]}_", grain="month", indexed=indexed)
     create_tables(spark, lake, location=path)
     return lake
 
@@ -75,6 +78,17 @@ def silver_batch_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_silver(spark, lake)
 
 
+@query("silver_indexed", _SILVER_SQL)
+def silver_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About half of the files, then all of them, into a lake with an index of event ids."""
+    lake = _new_lake(spark, indexed=True)
+    texts = feeds.documents(spark, sf_dir)
+    half = texts.filter(F.pmod(F.xxhash64("etag"), F.lit(2)) == 0)
+    for part in (half, texts):
+        run_silver_batch(spark, part, lake, feeds.AS_OF, on_unexpected="reject")
+    return _all_silver(spark, lake)
+
+
 @query("silver_stream", _SILVER_SQL)
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written one per line, then streamed in."""
@@ -168,6 +182,20 @@ def file_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("ledger_folded", ORACLE["file_lifecycle"])
+def ledger_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the ledger folded after half of the files, after all, and after silver."""
+    lake = _new_lake(spark)
+    texts = feeds.damaged_documents(spark, sf_dir).drop("eid")
+    half = texts.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == 0)
+    for number, part in enumerate((half, texts)):
+        run_intake(spark, part, lake, feeds.AS_OF)
+        fold(spark, lake, date(2030, 2 + number, 1))
+    run_pending(spark, "run-1", lake, feeds.AS_OF, limit=None, on_unexpected="reject")
+    fold(spark, lake, date(2030, 4, 1))
+    return L.current(ledger_log(spark, lake)).select("etag", "file_path", "status", "run_id", "retry_count", "seq")
+
+
 @query(
     "silver_takeover",
     f"""WITH {feeds.SQL_JUDGED}, {METRICS_SQL}, {feeds.SQL_DAMAGE}
@@ -187,7 +215,7 @@ def silver_takeover(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_intake(spark, feeds.damaged_documents(spark, sf_dir).drop("eid"), lake, feeds.AS_OF)
     log = fresh(spark, lake.ledger)
     waiting = L.pending(log, None)
-    append(cut_lineage(L.start_silver(log, waiting, "run-1", instant(feeds.AS_OF))), lake.ledger)
+    record(spark, lake, cut_lineage(L.start_silver(log, waiting, "run-1", instant(feeds.AS_OF))))
     texts = fresh(spark, lake.routed).filter(F.col("route").isin(*DOMAINS))
     metrics = run_silver_batch(spark, texts, lake, feeds.AS_OF, on_unexpected="reject")
     # feeds.AS_OF is the start of run-1; its lease is over an hour later

@@ -100,6 +100,9 @@ PARTITION = {
     "fact_orders": "order_date",
     "fact_payments": "payment_date",
     "changes": "log_date",
+    "file_ledger": "log_date",
+    "ledger_snapshot": "is_open",
+    "event_keys": "domain",
 }
 
 # Latest user event per user: what ``dim_users`` is taken from.
@@ -121,6 +124,9 @@ CHANGES = {
 }
 TAKEN = {"consumer": "STRING", "entry": "STRING", "taken_at": "TIMESTAMP"}
 
+# Hashes of silver's event ids and the partitions that may hold them.
+EVENT_KEYS = {"domain": "STRING", "key": "BIGINT", "part": "DATE"}
+
 # Columns each table is clustered by on a rewrite.
 CLUSTER_BY = {
     "user_events": ("event_id",),
@@ -146,10 +152,15 @@ class Lake:
     ``grain`` is a property of its tables: ``day`` partitions the dated ones by their date,
     ``month`` by the first day of the month, in a column of its own, where a day holds too
     few rows for files of its own. The date itself stays a column either way.
+
+    The silver runs of an ``indexed`` lake keep an index of event ids and read only the
+    partitions that may hold an id of the batch; ``rebuild_keys`` makes one of a lake that
+    had none.
     """
 
     prefix: str = ""
     grain: str = "day"
+    indexed: bool = False
 
     def __post_init__(self) -> None:
         if self.grain not in ("day", "month"):
@@ -183,6 +194,14 @@ class Lake:
     def ledger(self) -> str:
         return f"{self.schema('control')}.file_ledger"
 
+    @property
+    def ledger_snapshot(self) -> str:
+        return f"{self.schema('control')}.ledger_snapshot"
+
+    @property
+    def event_keys(self) -> str:
+        return f"{self.schema('control')}.event_keys"
+
     @property
     def metrics(self) -> str:
         return f"{self.schema('control')}.file_metrics"
@@ -210,7 +229,9 @@ class Lake:
             self.rejected: REJECTED,
             self.routed: ROUTED,
             **{self.gold(table): columns for table, columns in GOLD.items()},
-            self.ledger: LEDGER,
+            self.ledger: {**LEDGER, "log_date": "DATE"},
+            self.ledger_snapshot: {**LEDGER, "folded_to": "DATE", "is_open": "BOOLEAN"},
+            self.event_keys: EVENT_KEYS,
             self.user_latest: USER_LATEST,
             self.metrics: FILE_METRICS,
             self.changes: CHANGES,
@@ -219,7 +240,7 @@ class Lake:
 
     def published(self) -> set[str]:
         """Tables that are replaced as a whole: their location is their version."""
-        return {*(self.gold(table) for table in GOLD), self.user_latest}
+        return {*(self.gold(table) for table in GOLD), self.user_latest, self.ledger_snapshot}
 
 
 def partition_column(date: str, grain: str) -> str:
