@@ -8,8 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.operators.merge import fresh, overwrite_partitions
-from siltstone.schemas import CLUSTER_BY, SILVER, Lake
+from siltstone.operators.merge import fresh, overwrite_partitions, publish
+from siltstone.schemas import CLUSTER_BY, CLUSTERED, SILVER, Lake
+from siltstone.session import cut_lineage
 
 SAMPLE_ROWS = 4096
 
@@ -101,11 +102,69 @@ def _only_partition(rows: DataFrame, partition: str, where: str) -> None:
         raise ValueError(f"{where!r} must be a predicate on {partition} alone") from error
 
 
-def maintain(spark: SparkSession, lake: Lake = Lake(), files: int = 200) -> None:
-    """Cluster every table that has clustering columns."""
+def _layout(rows: DataFrame, part: str) -> DataFrame:
+    """One row per partition of a table: the write that made its files, their number and rows.
+
+    Reads no column but the partition's, so a Parquet scan takes the counts from the footers.
+    Spark names files by position and write; where several writes made them, or files came
+    under other names, ``job`` is null.
+    """
+    name = F.col("_metadata.file_name")
+    write = F.regexp_extract(name, r"^part-[0-9]+-([0-9a-f-]{36})", 1)
+    files = rows.groupBy(F.col(part).alias("part"), name.alias("file")).agg(
+        F.first(write).alias("write"), F.count("*").alias("rows")
+    )
+    one = (F.min("write") == F.max("write")) & (F.min("write") != "")
+    return files.groupBy("part").agg(
+        F.when(one, F.min("write")).alias("job"), F.count("*").alias("files"), F.sum("rows").alias("rows")
+    )
+
+
+def _in_parts(part: str, values: Sequence) -> Column:
+    named = F.col(part).isin([v for v in values if v is not None])
+    return named | F.col(part).isNull() if None in values else named
+
+
+def maintain(spark: SparkSession, lake: Lake = Lake(), files: int = 200) -> dict[str, int]:
+    """Cluster what was written since the last call; returns the partitions rewritten, by table.
+
+    ``control.clustered`` has the write that left a partition clustered. A partition whose files
+    are all of that write is left alone; any other, with new, replaced or lacking files, is
+    rewritten, with its share of ``files`` by rows. It is recorded only if its files are then of
+    one write: a partition that got rows meanwhile is taken again by the next call, and so is
+    all of a call that died. One call at a time.
+    """
+    done = {}
     for name, columns in CLUSTER_BY.items():
         table = lake.silver(name) if name in SILVER else lake.gold(name)
-        cluster_table(spark, table, columns, files, lake.partition(name))
+        done[name] = _maintain_table(spark, lake, table, name, columns, files)
+    return done
+
+
+def _maintain_table(
+    spark: SparkSession, lake: Lake, table: str, name: str, columns: Sequence[str], files: int
+) -> int:
+    part = lake.partition(name)
+    state = fresh(spark, lake.clustered).filter(F.col("name") == name).drop("name")
+    now = _layout(fresh(spark, table), part)
+    same = F.col("job").eqNullSafe(F.col("old_job")) & (F.col("files") == F.col("old_files"))
+    old = state.select(F.col("part").alias("old"), F.col("job").alias("old_job"), F.col("files").alias("old_files"))
+    marked = now.join(old, F.col("part").eqNullSafe(F.col("old")), "left")
+    marked = marked.withColumn("clean", F.coalesce(same & F.col("job").isNotNull(), F.lit(False))).collect()
+    todo = [r for r in marked if not r.clean]  # no more rows than the table has partitions
+    if not todo:
+        return 0
+    where = _in_parts(part, [r.part for r in todo])
+    share = sum(r.rows for r in todo) / sum(r.rows for r in marked)
+    rows = fresh(spark, table).filter(where)
+    overwrite_partitions(clustered(rows, columns, max(1, round(files * share)), part), table)
+
+    made = _layout(fresh(spark, table).filter(where), part).filter("job IS NOT NULL")
+    kept = state.filter(~F.coalesce(_in_parts("part", [r.part for r in todo]), F.lit(False)))
+    others = fresh(spark, lake.clustered).filter(F.col("name") != name)
+    own = kept.unionByName(made.drop("rows")).withColumn("name", F.lit(name))
+    publish(cut_lineage(others.unionByName(own).select(*CLUSTERED)), lake.clustered, "name")
+    return len(todo)
 
 
 def cluster_table(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions.text import utc_day
 from siltstone.operators.rank import first_by, latest_by
 from siltstone.schemas import LEDGER
 
@@ -160,9 +161,9 @@ def start_silver(
 
 
 def held(log: DataFrame, batch: DataFrame, run_id: str) -> DataFrame:
-    """The files of ``batch`` that a silver run holds: ``etag, retry_count``."""
+    """The files of ``batch`` that a silver run holds: ``etag, retry_count, arrival_date``."""
     own = (F.col("status") == IN_SILVER) & (F.col("run_id") == run_id)
-    return current_of(log, batch).filter(own).select("etag", "retry_count")
+    return current_of(log, batch).filter(own).select("etag", "retry_count", utc_day(F.col("created_at")).alias("arrival_date"))
 
 
 def pending(log: DataFrame, limit: int | None = 10, as_of: Column | None = None) -> DataFrame:

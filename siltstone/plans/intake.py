@@ -8,10 +8,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.text import utc_day
 from siltstone.operators import ledger as L
 from siltstone.operators.files import classify_files
 from siltstone.operators.ledger_store import ledger_log, record
-from siltstone.operators.merge import append, fresh, unseen
+from siltstone.plans.store import store_texts
 from siltstone.schemas import Lake
 from siltstone.session import cut_lineage, instant
 
@@ -23,7 +24,7 @@ def run_intake(
     as_of: datetime | str | None = None,
     lease_seconds: int = L.LEASE_SECONDS,
 ) -> DataFrame:
-    """Claim new files, store their text by route, and record the outcome.
+    """Claim new files, store their text by route and day of arrival, and record the outcome.
 
     Returns ``file_path, etag`` of the files that passed. Files done before, and
     copies of one content under several names, are skipped by etag, and a file
@@ -38,14 +39,13 @@ def run_intake(
     claimed = cut_lineage(L.claim(names, log, now, lease_seconds))
     record(spark, lake, claimed)
 
-    mine = claimed.select("etag", "file_path")
-    held = classified.join(mine, ["etag", "file_path"], "left_semi")
+    arrived = utc_day(F.col("created_at")).alias("arrival_date")
+    mine = claimed.select("etag", "file_path", arrived)
+    held = classified.select("file_path", "etag", "value", "route", "status").join(mine, ["etag", "file_path"])
     held = held.dropDuplicates(["etag"])  # queues deliver at least once
     held = held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        texts_by_route = held.select("file_path", "etag", "value", "route")
-        stored = fresh(spark, lake.routed)
-        append(unseen(texts_by_route, stored, ["etag"], candidates=mine), lake.routed, "route")
+        store_texts(spark, lake, held.drop("status"), mine)
         outcome = cut_lineage(held.select("etag", "file_path", "status"))
     finally:
         held.unpersist()

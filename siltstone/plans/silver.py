@@ -19,6 +19,7 @@ from siltstone.operators.metrics import file_metrics
 from siltstone.operators.rank import first_by
 from siltstone.operators.validation import accepted, check_files, rejections
 from siltstone.plans.gold import on_days
+from siltstone.plans.store import stored_texts
 from siltstone.schemas import DOMAINS, PARTITION, Lake
 from siltstone.session import cut_lineage, instant, scratch_path
 from siltstone.sources.files import read_containers
@@ -181,8 +182,7 @@ def run_pending(
     record(spark, lake, cut_lineage(L.start_silver(ledger_log(spark, lake), batch, run_id, now, lease_seconds)))
     mine = cut_lineage(L.held(ledger_log(spark, lake), batch, run_id))
     try:
-        routed = fresh(spark, lake.routed).filter(F.col("route").isin(*DOMAINS))
-        texts = routed.join(mine.select("etag"), "etag", "left_semi")
+        texts = stored_texts(spark, lake, mine)
         again = not mine.filter("retry_count > 0").isEmpty()
         metrics = run_silver_batch(
             spark, texts, lake, as_of, on_unexpected, once_per_file=again, stable_dates=stable_dates

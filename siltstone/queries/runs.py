@@ -11,7 +11,7 @@ from siltstone.functions.text import content_tag
 from siltstone.operators import ledger as L
 from siltstone.operators import validation as V
 from siltstone.operators.columns import union_by_name
-from siltstone.operators.layout import cluster_table
+from siltstone.operators.layout import cluster_table, maintain
 from siltstone.operators.ledger_store import fold, ledger_log, record
 from siltstone.operators.merge import append, fresh
 from siltstone.plans.intake import run_intake
@@ -257,6 +257,67 @@ def cluster_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select("event_id", "order_id", "amount", "event_date")
 
 
+_SQL_ARRIVAL = "CASE ascii(substr(etag, 1, 1)) % 3 WHEN 0 THEN DATE '2029-11-01' WHEN 1 THEN DATE '2029-12-01' ELSE DATE '2030-01-01' END"
+
+
+@query(
+    "arrival_routing",
+    f"""WITH {feeds.SQL_JUDGED}, {METRICS_SQL}, {feeds.SQL_DAMAGE},
+    arrived AS (SELECT *, {_SQL_ARRIVAL} AS arrival_date FROM damaged),
+    loaded AS (SELECT *, route NOT IN ('rejected', 'unrouted') AND arrival_date < DATE '2030-01-01' AS early,
+      route NOT IN ('rejected', 'unrouted') AS fine FROM arrived)
+    SELECT d.etag, route, arrival_date,
+      CASE WHEN fine THEN file_status ELSE 'REJECTED' END AS status,
+      CASE WHEN early THEN 'run-1' WHEN fine THEN 'run-2' END AS run_id,
+      CASE WHEN fine THEN total_events END AS total_events
+    FROM loaded d JOIN file_metrics m ON d.etag = m.etag""",
+)
+def arrival_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that arrive on three days, two of them before the first silver run, each delivered again later."""
+    lake = _new_lake(spark)
+    texts = feeds.damaged_documents(spark, sf_dir).drop("eid")
+    day = F.expr("ascii(substr(etag, 1, 1)) % 3")
+    for number, noon in enumerate(("2029-11-01T12:00:00Z", "2029-12-01T12:00:00Z")):
+        run_intake(spark, texts.filter(day <= number), lake, noon)
+    run_pending(spark, "run-1", lake, "2029-12-02T00:00:00Z", limit=None, on_unexpected="reject")
+    run_intake(spark, texts, lake, feeds.AS_OF)
+    run_pending(spark, "run-2", lake, feeds.AS_OF, limit=None, on_unexpected="reject")
+    stored = fresh(spark, lake.routed).select("etag", "route", "arrival_date")
+    state = L.current(fresh(spark, lake.ledger)).select("etag", "status", "run_id")
+    metrics = fresh(spark, lake.metrics).select("etag", "total_events")
+    return stored.join(state, "etag", "full").join(metrics, "etag", "left")
+
+
+@query(
+    "maintain_touched",
+    f"""WITH {feeds.SQL_SILVER}, dated AS (SELECT *, CAST(event_ts AS DATE) AS event_date FROM order_events)
+    SELECT event_id, order_id, amount, event_date,
+      max(CASE WHEN month(event_date) = 1 AND day(event_date) > 15 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY date_trunc('month', event_date)) = 1 AS rewritten
+    FROM dated""",
+)
+def maintain_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clustered, then late rows for every January: a second call rewrites these months only."""
+    lake = _new_lake(spark)
+    table, part = lake.silver("order_events"), lake.partition("order_events")
+    rows = lake.dated(feeds.order_events(spark, sf_dir).select(*SILVER["order_events"]), "order_events")
+    late = F.expr("coalesce(month(event_date) = 1 AND day(event_date) > 15, false)")
+    append(rows.filter(~late), table, part)
+    maintain(spark, lake, files=32)
+    before = fresh(spark, table).groupBy(part).agg(F.min("_metadata.file_name").alias("was"))
+    before = cut_lineage(before)
+    append(rows.filter(late), table, part)
+    maintain(spark, lake, files=32)
+    now = fresh(spark, table).select(
+        "event_id", "order_id", "amount", "event_date", part, F.col("_metadata.file_name").alias("file")
+    )
+    write = r"^part-[0-9]+-([0-9a-f-]{36})"
+    other = F.regexp_extract("file", write, 1) != F.regexp_extract("was", write, 1)
+    return now.join(before, part, "left").select(
+        "event_id", "order_id", "amount", "event_date", F.coalesce(other, F.lit(True)).alias("rewritten")
+    )
+
+
 @query(
     "intake_duplicates",
     f"""WITH {feeds.SQL_JUDGED}, {METRICS_SQL}, {feeds.SQL_DAMAGE}

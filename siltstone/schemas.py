@@ -91,20 +91,31 @@ FILE_METRICS = {
     "file_status": "STRING",
 }
 
-ROUTED = {"file_path": "STRING", "etag": "STRING", "value": "STRING", "route": "STRING"}
+# ``arrival_date`` is the day of the file's first claim, as the ledger has it.
+ROUTED = {
+    "file_path": "STRING",
+    "etag": "STRING",
+    "value": "STRING",
+    "route": "STRING",
+    "arrival_date": "DATE",
+}
 
 PARTITION = {
     **{domain: "event_date" for domain in DOMAINS},
     "rejected_events": "rejection_date",
-    "routed_files": "route",
+    "routed_files": "arrival_date",
     "fact_orders": "order_date",
     "fact_payments": "payment_date",
     "changes": "log_date",
     "file_ledger": "log_date",
     "ledger_snapshot": "is_open",
     "event_keys": "domain",
+    "clustered": "name",
 }
 
+# Tables with a partition column before that of ``PARTITION``.
+OUTER = {"routed_files": "route"}
+
 # Latest user event per user: what ``dim_users`` is taken from.
 USER_LATEST = {
     "user_id": "STRING",
@@ -127,6 +138,9 @@ TAKEN = {"consumer": "STRING", "entry": "STRING", "taken_at": "TIMESTAMP"}
 # Hashes of silver's event ids and the partitions that may hold them.
 EVENT_KEYS = {"domain": "STRING", "key": "BIGINT", "part": "DATE"}
 
+# Partitions as clustering left them: the write that made all their files, and how many files.
+CLUSTERED = {"name": "STRING", "part": "DATE", "job": "STRING", "files": "BIGINT"}
+
 # Columns each table is clustered by on a rewrite.
 CLUSTER_BY = {
     "user_events": ("event_id",),
@@ -202,6 +216,10 @@ class Lake:
     def event_keys(self) -> str:
         return f"{self.schema('control')}.event_keys"
 
+    @property
+    def clustered(self) -> str:
+        return f"{self.schema('control')}.clustered"
+
     @property
     def metrics(self) -> str:
         return f"{self.schema('control')}.file_metrics"
@@ -236,11 +254,12 @@ class Lake:
             self.metrics: FILE_METRICS,
             self.changes: CHANGES,
             self.taken: TAKEN,
+            self.clustered: CLUSTERED,
         }
 
     def published(self) -> set[str]:
         """Tables that are replaced as a whole: their location is their version."""
-        return {*(self.gold(table) for table in GOLD), self.user_latest, self.ledger_snapshot}
+        return {*(self.gold(table) for table in GOLD), self.user_latest, self.ledger_snapshot, self.clustered}
 
 
 def partition_column(date: str, grain: str) -> str:
@@ -264,8 +283,9 @@ def create_tables(
     tracked = spark.conf.get(_TRACK)
     try:
         for name, columns in lake.tables().items():
-            part = lake.partition(name.split(".")[-1])
-            by = f" PARTITIONED BY ({part})" if part else ""
+            short = name.split(".")[-1]
+            part = lake.partition(short)
+            by = f" PARTITIONED BY ({', '.join([*filter(None, [OUTER.get(short)]), part])})" if part else ""
             own = columns if part is None or part in columns else {**columns, part: "DATE"}
             # a published table's partitions are the folders of its location, not entries of the catalog
             spark.conf.set(_TRACK, str(name not in lake.published()).lower())

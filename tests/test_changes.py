@@ -10,8 +10,8 @@ from siltstone.operators.merge import append, fresh
 from siltstone.plans import gold, silver
 from siltstone.plans.gold import GOLD_CONSUMER, catch_up_gold, refresh_gold
 from siltstone.plans.silver import run_silver_batch
-from siltstone.schemas import GOLD, Lake, create_tables
-from siltstone.session import instant, scratch_path
+from siltstone.schemas import GOLD, Lake
+from siltstone.session import instant
 
 
 def at(day, n, domain="order_events", **payload):
@@ -41,14 +41,6 @@ def refreshed(spark, lake):
     return contents(spark, lake)
 
 
-@pytest.fixture(params=["day", "month"])
-def any_lake(spark, request):
-    path = scratch_path(spark, "lake")
-    lake = Lake(prefix=f"t{path[-10:]}_", grain=request.param)
-    create_tables(spark, lake, location=path)
-    return lake
-
-
 def test_catches_up_after_a_dead_driver(spark, any_lake):
     lake = any_lake
     run_silver_batch(spark, texts(spark, FIRST), lake, AS_OF)

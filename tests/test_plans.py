@@ -111,5 +111,6 @@ _RUNS = {
     "silver_batch", "silver_batch_staged", "silver_stream", "file_lifecycle", "gold_refresh",
     "gold_update", "gold_update_late", "cluster_rewrite", "cluster_partitioned", "routed_sink",
     "container_roundtrip", "intake_duplicates", "silver_replay", "silver_from_file_list",
-    "rejected_events_table", "silver_takeover", "gold_catch_up", "gold_from_files",
+    "rejected_events_table", "silver_takeover", "gold_catch_up", "gold_from_files", "arrival_routing",
+    "maintain_touched",
 }
