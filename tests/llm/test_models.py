@@ -178,6 +178,18 @@ def test_lm_odd_rows(spark):
     assert lm.score_texts(no_docs(spark), F.lit(False), BYTE).count() == 0
 
 
+def test_lm_scores_of_unknown_words(spark):
+    """Words that training lacks, however long and odd, cost no more than in the base but for a weight."""
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 20, 60)) for i in range(200)]
+    odd = ["".join(rng.choice("qxzjk0123456789\u0436\u4e2d") for _ in range(n)) for n in (5, 40, 200)]
+    rows += [(1000 + i, " ".join(odd[: i + 1])) for i in range(3)] + [(1003, " ".join(odd * 5)), (1004, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = lm.score_texts(docs, F.col("doc_id") >= 1000, BYTE).filter("held_out").collect()
+    assert len(got) == 5 and all(math.isfinite(r.score) for r in got)
+    assert all(r.score >= r.base_score - r.n_tokens for r in got)
+
+
 def test_word_counts_are_passed_on(spark, monkeypatch):
     monkeypatch.setattr(lm, "HELD_WORDS", 3)
     docs = spark.createDataFrame([("a b c d",), ("e f g h a",), ("a i j",), (None,)], "text string").coalesce(1)
