@@ -30,3 +30,20 @@ def test_documents_are_spread_by_their_number(spark, tmp_path, monkeypatch):
 
 def test_no_documents(spark, tmp_path):
     assert feeds.documents(spark, folder_of(spark, tmp_path, [])).count() == 0
+
+
+def test_half_of_the_files_has_a_small_plan(spark, tmp_path, monkeypatch):
+    """The choice by text is not pushed into the making of the text."""
+    from siltstone.queries import runs
+
+    seen = []
+
+    def stop(spark, texts, *rest):
+        seen.append(texts)
+        raise InterruptedError
+
+    monkeypatch.setattr(runs, "run_intake", stop)
+    with pytest.raises(InterruptedError):
+        runs.ledger_folded(spark, folder_of(spark, tmp_path, range(30)))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 2000 and 0 < seen[0].count() < 30
