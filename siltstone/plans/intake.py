@@ -17,6 +17,16 @@ from siltstone.schemas import Lake
 from siltstone.session import cut_lineage, instant
 
 
+def claimed_texts(classified: DataFrame, mine: DataFrame) -> DataFrame:
+    """The texts of ``mine(etag, file_path, arrival_date)``, each once: queues deliver at least once.
+
+    An etag is claimed under one path. So both are the key, as the join has dealt the texts
+    by them, and the texts are not shuffled again.
+    """
+    held = classified.select("file_path", "etag", "value", "route", "status").join(mine, ["etag", "file_path"])
+    return held.dropDuplicates(["etag", "file_path"])
+
+
 def run_intake(
     spark: SparkSession,
     texts: DataFrame,
@@ -41,8 +51,7 @@ def run_intake(
 
     arrived = utc_day(F.col("created_at")).alias("arrival_date")
     mine = claimed.select("etag", "file_path", arrived)
-    held = classified.select("file_path", "etag", "value", "route", "status").join(mine, ["etag", "file_path"])
-    held = held.dropDuplicates(["etag"])  # queues deliver at least once
+    held = claimed_texts(classified, mine)
     held = held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         store_texts(spark, lake, held.drop("status"), mine)

@@ -11,6 +11,7 @@ from siltstone.operators.merge import insert_new, unseen
 from siltstone.operators.metrics import file_metrics
 from siltstone.operators.rank import latest_by
 from siltstone.plans.gold import changed_orders
+from siltstone.plans.intake import claimed_texts
 from siltstone.queries import QUERIES, feeds
 from siltstone.session import instant
 
@@ -39,6 +40,20 @@ def test_filter_on_container_reason_does_not_parse_again(spark):
     assert count(r"from_json\(ArrayType", text) == 1
 
 
+def test_claimed_texts_are_shuffled_once(spark):
+    rows = [("a", "t", "x", "user_events", "VALIDATED"), ("a", "t", "x", "user_events", "VALIDATED"),
+            ("b", "t", "x", "user_events", "VALIDATED"), (None, "s", "y", "unrouted", "REJECTED")]
+    files = spark.createDataFrame(rows, "file_path string, etag string, value string, route string, status string")
+    mine = spark.createDataFrame([("t", "a", None)], "etag string, file_path string, arrival_date date")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        held = claimed_texts(files, mine)
+        assert count("Exchange hashpartitioning", plan(held)) == 2  # texts and claims
+        assert [(r.file_path, r.etag, r.value) for r in held.collect()] == [("a", "t", "x")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_metrics_need_one_shuffle(spark):
     judged = V.check_files(texts(spark, [container([event()])]), instant(AS_OF), "reject")
     assert count("Exchange", plan(file_metrics(judged))) == 1
