@@ -34,6 +34,11 @@ def test_checks_need_no_shuffle_and_parse_once(spark):
     assert "Python" not in text
 
 
+def test_payloads_are_written_as_json_only_where_needed(spark):
+    judged = V.check_files(texts(spark, [container([event()])]), instant(AS_OF), "reject")
+    assert "AS payload_json" not in plan(judged)  # a column would be made for every event
+
+
 def test_filter_on_container_reason_does_not_parse_again(spark):
     containers = V.judge_containers(V.parse_containers(texts(spark, [container([])])))
     text = plan(containers.filter("container_reason IS NOT NULL"))

@@ -3,6 +3,7 @@ import json
 import pytest
 
 from conftest import AS_OF, container, event, silver_rows, table_rows, texts
+from siltstone.operators import validation as V
 from siltstone.operators import ledger as L
 from siltstone.plans.intake import run_intake
 from siltstone.operators.validation import accepted, check_files
@@ -253,3 +254,21 @@ def test_lease_length(spark, lake):
     run_intake(spark, raw_files(spark, [("order_1.json", container([event(1)]))]), lake, AS_OF)
     started(spark, lake, "dead", lease_seconds=60)
     assert run_pending(spark, "soon", lake, "2024-06-01T00:01:00+00:00").count() == 1
+
+
+def test_fields_are_read_as_the_payloads_json(spark):
+    odd = ["1", "-0.001", "100.0", "1e2", "12345678901234567890.123", "123456789012345678901234567890", "true", "null",
+           '"1E+2"', '" 5 "', '"a\\u00e9\\n\\"b\\ud83d"', '"{}"', "{}", '{"b": 1.0, "a": [1, 2.50]}', "[1e2, null]",
+           "0.12499999999999999999", "99999999.994999999999999"]
+    names = ("order_id", "user_id", "amount", "currency", "status")
+    payloads = ["{" + ",".join(f'"{n}": {v}' for n in names) + "}" for v in odd]
+    rows = [(v, f'{{"events": [{{"payload": {p}}}]}}') for v, p in zip(odd, payloads)]
+    files = spark.createDataFrame(rows, "etag string, value string")
+    events = V.parse_containers(files).selectExpr("etag", "explode(events) AS event", "'order_events' AS event_type")
+    events = events.selectExpr("*", "event.payload AS payload", "from_json(to_json(event.payload), 'map<string,string>') AS was")
+    read = V.read_payload(events)
+    for r in read.collect():
+        assert [r[n] for n in names if n != "amount"] == [r.was[n] for n in names if n != "amount"], r.etag
+    money = read.selectExpr("etag", "amount", "CASE WHEN try_cast(was['amount'] AS double) >= 0 "
+                            "THEN try_cast(was['amount'] AS decimal(10,2)) END AS want")
+    assert all(r.amount == r.want for r in money.collect())
