@@ -230,7 +230,7 @@ def _of_documents(sql: str) -> str:
 def gold_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to silver in two runs, the first of them twice; gold catches up after each."""
     lake = _new_lake(spark)
-    texts = feeds.documents(spark, sf_dir)
+    texts = feeds.delivered(feeds.documents(spark, sf_dir))
     # a planted second delivery stands in the next document; none stands in one of 29 * n + 1
     middle = 29 * (feeds.load(spark, sf_dir, "events").count() // 58) + 1
     for part in (f"eid < {middle}", f"eid < {middle}", f"eid >= {middle}"):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 
 import pytest
@@ -47,3 +48,31 @@ def test_half_of_the_files_has_a_small_plan(spark, tmp_path, monkeypatch):
         runs.ledger_folded(spark, folder_of(spark, tmp_path, range(30)))
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert len(plan) < 2000 and 0 < seen[0].count() < 30
+
+
+@pytest.mark.parametrize(
+    "module, name, step",
+    [
+        ("runs", "arrival_routing", "run_intake"),
+        ("runs", "silver_takeover", "run_intake"),
+        ("runs", "intake_duplicates", "run_intake"),
+        ("runs", "file_lifecycle", "run_intake"),
+        ("runs", "silver_batch", "run_silver_batch"),
+        ("runs", "silver_replay", "run_silver_batch"),
+        ("runs", "silver_indexed", "run_silver_batch"),
+        ("star", "gold_from_files", "run_silver_batch"),
+    ],
+)
+def test_documents_read_more_than_once_are_made_once(spark, tmp_path, monkeypatch, module, name, step):
+    queries = importlib.import_module(f"siltstone.queries.{module}")
+    seen = []
+
+    def stop(spark, texts, *rest, **options):
+        seen.append(texts)
+        raise InterruptedError
+
+    monkeypatch.setattr(queries, step, stop)
+    with pytest.raises(InterruptedError):
+        getattr(queries, name)(spark, folder_of(spark, tmp_path, range(130)))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 2000 and "Repartition" not in plan and seen[0].count() > 0
