@@ -1,7 +1,10 @@
+from datetime import date
+
 import pytest
 
 from siltstone.operators import star
 from siltstone.operators.merge import append
+from siltstone.plans import gold
 from siltstone.plans.gold import refresh_gold, touched_days, update_gold
 from siltstone.queries import feeds
 from siltstone.schemas import GOLD, PARTITION, SILVER
@@ -160,3 +163,21 @@ def test_moves_late_events_and_early_payments(spark, lake):
     assert orders_now(spark, lake) == want
     update_gold(spark, [], lake)
     assert orders_now(spark, lake) == want
+
+
+def test_payments_are_written_where_they_are_read(spark, lake, monkeypatch):
+    seen = {}
+
+    def stop(df, table, *rest, **options):
+        seen["layout"] = (*rest, *options.values())
+        raise InterruptedError
+
+    real = gold.publish
+    monkeypatch.setattr(gold, "publish", lambda df, table, *r, **o: (stop if "fact_payments" in table else real)(df, table, *r, **o))
+    with pytest.raises(InterruptedError):
+        refresh_gold(spark, lake)
+    assert seen["layout"][-1] is True
+    monkeypatch.setattr(gold, "overwrite_partitions", stop)
+    with pytest.raises(InterruptedError):
+        update_gold(spark, [date(2024, 1, 1)], lake)
+    assert seen["layout"] == ()
