@@ -9,6 +9,8 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -241,6 +243,48 @@ def test_rounds_train_on_every_text(spark):
     assert np.array_equal(model.table[0], attention.start(counts, 9).table[0])
 
 
+def test_lm_texts_are_encoded_once(spark, tmp_path, monkeypatch):
+    """Stored ids and numbers of ids give the streams of the texts without the tokenizer."""
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randrange(0, 30), 50)) for i in range(40)] + [(40, None), (41, "x" * 3000 + " \u4e2d 1's\t")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    stored = lm._stored(docs, BYTE, str(tmp_path / "texts"))
+    assert stored.columns == ["doc_id", "text", "turn", "ids", "per_word"]
+    held = stored.orderBy("doc_id").select("text", "ids", "per_word").collect()
+    columns = [pa.array([r[i] for r in held], pa.string() if not i else pa.binary()) for i in range(3)]
+    texts = [(t or "").encode() for _, t in rows]
+    whole = lm.WordStream(texts, BYTE)
+    net = attention.start(np.ones((encoder(BYTE).mark_id + 1, 1 + 2 * attention.BESIDE)), encoder(BYTE).mark_id)
+    model = lm.Model(*[np.empty(0)] * 2, 0, 0, (1, 0, 0), net, encoder(BYTE).leads(), BYTE)
+    monkeypatch.setattr(lm, "encoder", lambda *_: pytest.fail("encoded again"))
+    batch = pa.RecordBatch.from_arrays(columns, ["text", "ids", "per_word"])
+    (got, a, b), = lm._streams(batch, model)
+    assert (a, b) == (0, len(rows))
+    for name in ("keys", "first", "ids", "per_word"):
+        assert np.array_equal(getattr(got, name), getattr(whole, name)), name
+
+
+def test_learning_keeps_single_precision_and_its_moments():
+    """A step neither turns the parameters' arithmetic into doubles nor makes the moments of a table anew."""
+    net = attention.train([np.arange(20)], 50, 49, epochs=0)
+    learner = attention.Learner(net)
+    x, target = attention.windows([np.arange(20)] * 3, 49)
+    learner.learn(x, target, (0.01, 0.01))
+    held = learner.moments["table"]
+    learner.learn(x, target, (0.01, 0.01))
+    assert learner.moments["table"] is held and all(m.dtype == np.float32 for m in held)
+    assert all(g.dtype == np.float32 for _, _, g in attention._gradients(net, x, net.kind[target]))
+
+
+def test_forward_of_late_places_only():
+    net = attention.train([np.arange(40)], 50, 49, epochs=1)
+    x = np.random.default_rng(1).integers(0, 50, (5, attention.WINDOW))
+    whole = net.forward(x)[0].reshape(5, attention.WINDOW, -1)
+    assert np.allclose(net.forward(x, 8)[0].reshape(5, attention.WINDOW - 8, -1), whole[:, 8:], atol=1e-5)
+    wide = np.linspace(-50, 50, 1001).astype(np.float32)
+    assert np.allclose(attention._tanh(wide.copy()), np.tanh(wide), atol=1e-6)
+
+
 def test_mixing_weights_by_counts():
     rng = np.random.default_rng(1)
     ratios = rng.integers(-40, 40, (500, 2)) * lm.RATIO_STEP
