@@ -6,12 +6,14 @@ A phrase can only be frequent if all its parts are, and if the hash bucket it fa
    by part of the hash space, so what one task adds up is bounded. The buckets that reach
    the least count are kept in a bit table of fixed size: it may let more phrases through,
    never fewer.
-2. The words and pairs in such buckets, and the triples whose two pairs are, are the
-   candidates; those that cannot reach the least count are dropped.
-3. Candidates go into double-array tries of bounded size, over word numbers below one root
-   per language. In every task all positions of a text step through the trie together,
-   level by level; the candidates that end in their states are counted, and the tasks' counts
-   added up. These counts alone make the result.
+2. The words and pairs in such buckets, and the triples whose two pairs are, go to the part
+   of their hash, once for each block of texts, with how often the block has them. In a
+   part, those that cannot reach the least count are dropped; the others are its candidates.
+3. A part's candidates go into double-array tries of bounded size, over word numbers below
+   one root per language. The phrases that the part got step through them together, level by
+   level, and the candidates that end in their states are counted. These counts alone make
+   the result. A part has a bounded share of the texts and meets its own candidates only, so
+   the texts are read as often for many candidates as for few.
 """
 
 from __future__ import annotations
@@ -40,8 +42,10 @@ TABLE = 1 << 20
 _U = np.uint64
 #: Parts a language's name from a phrase; it never occurs in UTF-8.
 _SPLIT = 0xFE
-#: Candidates whose counts make one row.
+#: Entries of one row.
 _CHUNK = 1 << 16
+#: Entries that step through a trie together.
+_STEPPED = 1 << 18
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E), END]] = True
@@ -49,6 +53,8 @@ _APART = _BREAK.copy()
 _APART[[0x20, 0x09]] = True
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, END]] = True
+_ENTRY = _BLANK.copy()
+_ENTRY[_SPLIT] = True
 
 
 def pieces_of(texts: list[bytes]) -> tuple[Cut, np.ndarray]:
@@ -214,10 +220,30 @@ def _strings(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
     return whole.cast(pa.string())
 
 
-def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: int, seed: int) -> DataFrame:
-    """``lang, phrase, words`` that may occur ``least`` times.
+_COUNTS = ["lang", "phrase", "words", "a"]
 
-    Tasks pass on each part's phrases sorted and compressed, with their counts.
+
+def _all_words(names: list[str], words: np.ndarray) -> pa.RecordBatch:
+    """Words of each language, beside the rows of phrases."""
+    size = len(names)
+    columns = [
+        pa.array([-1] * size, pa.int64()),
+        pa.array([0] * size, pa.int32()),
+        pa.array([x.encode() for x in names], pa.binary()),
+        pa.array([0] * size, pa.int64()),
+        pa.nulls(size, pa.binary()),
+        pa.array(words.astype(np.int64)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["part", "words", "entries", "bytes", "counts", "held"])
+
+
+def _counted(
+    texts: DataFrame, table: np.ndarray, buckets: Buckets, least: int, seed: int, trie_phrases: int
+) -> DataFrame:
+    """``lang, phrase, words, a`` of the phrases that occur ``least`` times.
+
+    Tasks pass on each part's phrases sorted and compressed, with their counts. All words of a
+    language are a row of their own, with no phrase and ``words`` 0.
     """
     sent = texts.sparkSession.sparkContext.broadcast(table)
 
@@ -225,10 +251,12 @@ def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: in
         for batch in batches:
             rows, langs = texts_of(batch.column(1)), _lang_keys(batch.column(0), seed)
             coded = batch.column(0).dictionary_encode()
-            names, code = [x.encode() for x in coded.dictionary.to_pylist()], coded.indices.to_numpy()
+            own, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            names, total = [x.encode() for x in own], np.zeros(len(own))
             for a, b in blocks(rows, 4 << 20):
                 cut, follows = pieces_of(rows[a:b])
                 plain, words, pairs = _levels(cut, follows, langs[a:b], seed)
+                total += np.bincount(code[a:b], np.diff(cut.first), len(names))
                 entries = _Entries(cut, code[a:b][cut.of()], names)
                 live = buckets.holds(sent.value, pairs) & follows
                 triples = np.zeros(len(words), np.uint64)
@@ -241,9 +269,16 @@ def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: in
                     place = np.flatnonzero(chosen)
                     met, where, count = np.unique(keys[place], return_index=True, return_counts=True)
                     part = buckets.part(met).astype(np.int64)
-                    yield from entries.packed(place[where], np.minimum(count, least), part, number)
+                    yield from entries.packed(place[where], count, part, number)
+            yield _all_words(own, total)
 
     def add_up(table: pa.Table) -> pa.Table:
+        size = table.column("words")[0].as_py()
+        if not size:
+            total = table.select(["entries", "held"]).group_by("entries").aggregate([("held", "sum")])
+            names = total["entries"].combine_chunks().cast(pa.string())
+            none = pa.nulls(len(total), pa.string())
+            return pa.table([names, none, pa.array([0] * len(total), pa.int32()), total["held_sum"]], names=_COUNTS)
         data, count = (
             np.frombuffer(b"".join(pa.decompress(x, n, "zstd", asbytes=True) for x, n in zip(*pair)), kind)
             for *pair, kind in (
@@ -251,20 +286,31 @@ def _candidates(texts: DataFrame, table: np.ndarray, buckets: Buckets, least: in
                 (table.column("counts").to_pylist(), table.column("held").to_pylist(), np.uint32),
             )
         )
+        del table
         stop = np.flatnonzero(data == END)
         start = np.concatenate(([0], stop[:-1] + 1))
+        middle = np.flatnonzero(data == _SPLIT)
         where, which = numbered(data, start, stop)
-        enough = np.bincount(which, count) >= least
-        where = where[enough]
-        middle = np.flatnonzero(data == _SPLIT)[where]
-        words = np.full(len(where), table.column("words")[0].as_py(), np.int32)
-        found = [_strings(data, start[where], middle), _strings(data, middle + 1, stop[where]), pa.array(words)]
-        return pa.table(found, ["lang", "phrase", "words"])
+        where = where[np.bincount(which, np.minimum(count, least)) >= least]
+        del which
+        langs = _strings(data, start[where], middle[where])
+        phrases = _strings(data, middle[where] + 1, stop[where])
+        del where
+        own = np.zeros(len(langs), np.int64)
+        for a in range(0, len(langs), trie_phrases):
+            trie = PhraseTrie(langs[a : a + trie_phrases], phrases[a : a + trie_phrases])
+            for b in range(0, len(stop), _STEPPED):
+                some = slice(b, b + _STEPPED)
+                found, nth = trie.ends(data, start[some], middle[some], stop[some], size)
+                own[a : a + trie.phrases] += np.bincount(found, count[some][nth], trie.phrases).astype(np.int64)
+        enough = np.flatnonzero(own >= least)
+        words = pa.array(np.full(len(enough), size, np.int32))
+        return pa.table([langs.take(enough), phrases.take(enough), words, pa.array(own[enough])], names=_COUNTS)
 
     packed = texts.mapInArrow(
         run, "part bigint, words int, entries binary, bytes bigint, counts binary, held bigint"
     )
-    return packed.groupBy("part", "words").applyInArrow(add_up, "lang string, phrase string, words int")
+    return packed.groupBy("part", "words").applyInArrow(add_up, "lang string, phrase string, words int, a bigint")
 
 
 class PhraseTrie:
@@ -322,52 +368,30 @@ class PhraseTrie:
             met.append(found[found >= 0])
         return np.concatenate(met), np.diff(cut.first)
 
-
-def _counted(texts: DataFrame, trie: PhraseTrie, cids: np.ndarray) -> DataFrame:
-    """Occurrences of the trie's candidates and of all words by language: ``cid, lang, n``.
-
-    A task passes on its counts in dense rows of ``_CHUNK`` candidates, compressed.
-    """
-    context = texts.sparkSession.sparkContext
-    sent, named = context.broadcast(trie), context.broadcast(cids)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = sent.value
-        own = np.zeros(trie.phrases, np.int64)
-        words: dict[str, int] = {}
-        for batch in batches:
-            rows, coded = texts_of(batch.column(1)), batch.column(0).dictionary_encode()
-            names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-            roots = trie.root_of(names)[code]
-            for a, b in blocks(rows, 2 << 20):
-                found, sizes = trie.accepted(rows[a:b], roots[a:b])
-                own += np.bincount(found, minlength=len(own))
-                for name, n in zip(names, np.bincount(code[a:b], sizes, len(names))):
-                    words[name] = words.get(name, 0) + int(n)
-        chunks = [c for c in range(0, len(own), _CHUNK) if own[c : c + _CHUNK].any()]
-        packed = [pa.compress(own[c : c + _CHUNK].tobytes(), "zstd", asbytes=True) for c in chunks]
-        columns = [
-            pa.array(chunks + [None] * len(words), pa.int64()),
-            pa.array(packed + [None] * len(words), pa.binary()),
-            pa.array([None] * len(chunks) + list(words), pa.string()),
-            pa.array([None] * len(chunks) + list(words.values()), pa.int64()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["chunk", "counts", "lang", "n"])
-
-    def add_up(table: pa.Table) -> pa.Table:
-        chunk = table.column("chunk")[0].as_py()
-        if chunk is None:
-            total = table.group_by("lang").aggregate([("n", "sum")])
-            return pa.table([pa.nulls(len(total), pa.int64()), total["lang"], total["n_sum"]], ["cid", "lang", "n"])
-        cids = named.value[chunk : chunk + _CHUNK]
-        own = np.zeros(len(cids), np.int64)
-        for packed in table.column("counts").to_pylist():
-            own += np.frombuffer(pa.decompress(packed, 8 * len(cids), "zstd", asbytes=True), np.int64)
-        met = np.flatnonzero(own)
-        return pa.table([pa.array(cids[met]), pa.nulls(len(met), pa.string()), pa.array(own[met])], ["cid", "lang", "n"])
-
-    packed = texts.mapInArrow(run, "chunk bigint, counts binary, lang string, n bigint")
-    return packed.groupBy("chunk").applyInArrow(add_up, "cid bigint, lang string, n bigint")
+    def ends(
+        self, data: np.ndarray, start: np.ndarray, middle: np.ndarray, stop: np.ndarray, words: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The candidates in whose states entries of ``words`` words end, and which entries do.
+
+        An entry has its language from ``start`` to ``middle`` and its phrase from there to ``stop``.
+        """
+        begin = int(start[0]) if len(start) else 0
+        data, start, middle, stop = data[begin : stop[-1] + 1 if len(stop) else 0], start - begin, middle - begin, stop - begin
+        name, lang = numbered(data, start, middle)
+        names = [data[a:b].tobytes().decode() for a, b in zip(start[name].tolist(), middle[name].tolist())]
+        state = self.root_of(names)[lang]
+        cut = cut_joined(data, middle + 1, _ENTRY)
+        nth = np.arange(len(start))
+        for level in range(words):
+            at = cut.first[nth] + level
+            number = self.lexicon.find(cut.data, cut.start[at], cut.stop[at]).astype(np.int64)
+            known = (state >= 0) & (number >= 0)
+            nth, state, number = nth[known], state[known], number[known]
+            state = self.array.step(state, number)
+            on = state >= 0
+            nth, state = nth[on], state[on]
+        found = self.accept[state]
+        return found[found >= 0], nth[found >= 0]
 
 
 _SCORE = (
@@ -437,25 +461,9 @@ def collocations(
     chars = texts.select(F.sum(F.length("text"))).first()[0] or 0
     buckets = Buckets(min(chars // PART_CHARS + 1, 1 << 20))
     table = _frequent_buckets(texts, buckets, least, seed)
-    found = _candidates(texts, table, buckets, least, seed)
-    found = keep(found.withColumn("cid", F.monotonically_increasing_id()), "candidates")
-    tries = -(-found.count() // trie_phrases)
-    counted = None
-    for nth in range(tries):
-        own = found.filter(F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)) == nth)
-        own = own.select("cid", "lang", "phrase").toArrow()
-        trie = PhraseTrie(*(own.column(c).combine_chunks() for c in ("lang", "phrase")))
-        counting = _counted(texts, trie, own.column("cid").to_numpy())
-        del own, trie
-        part = keep(counting, f"counts-{nth}")
-        if nth:
-            part = part.filter("cid IS NOT NULL")  # all words were counted the first time
-        counted = part if counted is None else counted.union(part)
-    if counted is None:
-        counted = spark.createDataFrame([], "cid bigint, lang string, n bigint")
-    exact = counted.filter(F.col("cid").isNotNull() & (F.col("n") >= least)).select("cid", F.col("n").alias("a"))
-    counts = keep(found.join(exact, "cid").select("lang", "phrase", "words", "a"), "counts")
-    total = counted.filter("cid IS NULL").select("lang", "n")
+    counted = keep(_counted(texts, table, buckets, least, seed, trie_phrases), "counts")
+    counts = counted.filter("words > 0")
+    total = counted.filter("words = 0").select("lang", F.col("a").alias("n"))
 
     best = _scored(counts).join(_covered(counts), ["lang", "phrase"], "left")
     best = best.filter(f"longer IS NULL OR 100 * longer < {int(inside_per_cent)} * a")

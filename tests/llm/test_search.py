@@ -175,6 +175,24 @@ def test_collocations(spark, monkeypatch, tries):
     assert len(want) > 20
 
 
+def test_more_tries_do_not_read_the_texts_more_often(spark):
+    rows = _phrase_rows(random.Random(6))
+
+    def rows_read(tries):
+        seen = spark.sparkContext.accumulator(0)
+
+        def noted(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        frame = spark.createDataFrame(rows, "text string, lang string").mapInArrow(noted, "text string, lang string")
+        assert C.collocations(frame, least=3, trie_phrases=tries).count() > 20
+        return seen.value
+
+    assert rows_read(20) == rows_read(1_000_000)
+
+
 def test_collocations_of_odd_rows(spark):
     got = C.collocations(odd_docs(spark), least=2).collect()
     want = _collocations_by_force([(r[1], r[2]) for r in odd_rows()], 2, 2000, 50)
